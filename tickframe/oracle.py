@@ -68,7 +68,7 @@ FROM (
          arg_max(l_extendedprice / NULLIF(l_quantity, 0),
                  struct_pack(a := l_orderkey, b := l_linenumber, c := l_partkey, d := l_extendedprice)) AS close,
          sum(l_quantity) AS volume,
-         sum(l_extendedprice) / NULLIF(sum(l_quantity), 0) AS vwap,
+         CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / NULLIF(sum(l_quantity), 0) AS vwap,
          CAST(count(*) AS DOUBLE) AS transactions
   FROM lineitem
   WHERE l_suppkey IS NOT NULL AND l_shipdate IS NOT NULL

@@ -43,7 +43,9 @@ def bars_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.min("price").alias("low"),
             F.max_by("price", seq).alias("close"),
             F.sum("l_quantity").alias("volume"),
-            safe_div(F.sum("l_extendedprice"), F.sum("l_quantity")).alias("vwap"),
+            # cent amounts summed exactly, so the ratio does not depend on summation order
+            safe_div(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double"),
+                     F.sum("l_quantity")).alias("vwap"),
             F.count(F.lit(1)).cast("double").alias("transactions"),
         )
     )
