@@ -91,19 +91,20 @@ def ewm_columns(df: DataFrame, specs: list[Ewm], depth: int, rn: str = "rn",
     by_t = W.by_ticker()
     radix = radix or RADIX
 
-    # Pass 0: previous observation and observation count of each source.
+    # Pass 0: previous observation and observation count, once per source column.
+    sources = list(dict.fromkeys(s.source for s in specs))
     prep = []
-    for s in specs:
-        x = F.col(s.source)
+    for src in sources:
+        x = F.col(src)
         prep.append(F.last(F.when(x.isNotNull(), F.col(rn)), ignorenulls=True).over(W.before())
-                    .alias(f"_p_{s.name}"))
-        prep.append(F.count(x).over(W.running()).alias(f"_n_{s.name}"))
+                    .alias(f"_p_{src}"))
+        prep.append(F.count(x).over(W.running()).alias(f"_n_{src}"))
     df = df.select("*", *prep, *extra)
 
     maps = []
     for s in specs:
         x, a = F.col(s.source), F.lit(s.alpha)
-        prev = F.col(f"_p_{s.name}")
+        prev = F.col(f"_p_{s.source}")
         d = F.pow(F.lit(1.0 - s.alpha), (F.col(rn) - prev).cast("double"))
         coef_a = F.when(x.isNull(), 1.0).when(prev.isNull(), 0.0).otherwise(d / (d + a))
         coef_b = F.when(x.isNull(), 0.0).when(prev.isNull(), x).otherwise(a * x / (d + a))
@@ -136,8 +137,8 @@ def ewm_columns(df: DataFrame, specs: list[Ewm], depth: int, rn: str = "rn",
     final = []
     for s in specs:
         m = max(s.min_periods, 1)
-        final.append(F.when(F.col(f"_n_{s.name}") >= m, F.col(f"_b_{s.name}")).alias(s.name))
-    drop = {f"_n_{s.name}" for s in specs} | {f"_b_{s.name}" for s in specs}
+        final.append(F.when(F.col(f"_n_{s.source}") >= m, F.col(f"_b_{s.name}")).alias(s.name))
+    drop = {f"_n_{src}" for src in sources} | {f"_b_{s.name}" for s in specs}
     return df.select(*[c for c in df.columns if c not in drop], *final)
 
 

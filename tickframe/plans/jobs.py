@@ -94,4 +94,4 @@ def backfill(spark: SparkSession, payload_path: str, bars_path: str, indicators_
              fmt: str = "json") -> bool:
     """Q-12: load all landed dates in one job, then rebuild the indicator table."""
     bars = load_days(spark, payload_path, bars_path, fmt)
-    return sink.replace_table(bulk_indicators(bars), indicators_path)
+    return sink.replace_table(bulk_indicators(bars), indicators_path, source=bars)

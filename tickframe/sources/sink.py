@@ -22,16 +22,31 @@ def _dynamic(df: DataFrame):
             .partitionBy(PARTITION_COLUMN))
 
 
+def by_date(df: DataFrame) -> DataFrame:
+    """Group rows of a date into few files before a date-partitioned write.
+
+    The jobs hash rows by ticker; written as they are, every task would open
+    a file for every date (tasks x dates small files).  A rebalance on the
+    partition column gives each date one or a few files, and AQE splits a
+    date that is too large instead of sending it to one task.
+    """
+    return df.hint("rebalance", PARTITION_COLUMN)
+
+
 def replace_days(df: DataFrame, path: str) -> None:
     """I-4 / I-6: replace exactly the dates present in ``df`` (no rows: nothing changes)."""
-    _dynamic(df).parquet(path)
+    _dynamic(by_date(df)).parquet(path)
+
 
+def replace_table(df: DataFrame, path: str, source: DataFrame | None = None) -> bool:
+    """I-5: full refresh; skipped when there is nothing to write (I-13).
 
-def replace_table(df: DataFrame, path: str) -> bool:
-    """I-5: full refresh; skipped when ``df`` is empty so a refresh never wipes the table (I-13)."""
-    if df.isEmpty():
+    With ``source`` (the job input) the emptiness check reads the input's
+    first row instead of running the job's plan a second time.
+    """
+    if (source if source is not None else df).isEmpty():
         return False
-    df.write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(path)
+    by_date(df).write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(path)
     return True
 
 
