@@ -35,6 +35,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import sqlexpr as X
 from ..functions import windows as W
 from ..functions.numeric import col
 
@@ -81,65 +82,64 @@ def max_series_rows(df: DataFrame) -> int:
 
 
 def ewm_columns(df: DataFrame, specs: list[Ewm], depth: int, rn: str = "rn",
-                extra: list[Column] | tuple = (), radix: int | None = None) -> DataFrame:
+                extra: list[str] | tuple = (), radix: int | None = None) -> DataFrame:
     """Add one column per spec (unrounded EWM, NULL before ``min_periods`` observations).
 
     ``df`` must carry ``ticker``, ``market_date`` and the 0-based row ordinal
     ``rn``; ``depth`` rounds of radix ``radix`` must cover the longest series
-    (``scan_depth``).  ``extra`` window columns are computed in the first pass.
+    (``scan_depth``).  ``extra`` (SQL ``expr AS name``) window columns are
+    computed in the first pass.  Each pass is one ``selectExpr``.
     """
-    by_t = W.by_ticker()
     radix = radix or RADIX
 
     # Pass 0: previous observation and observation count, once per source column.
     sources = list(dict.fromkeys(s.source for s in specs))
     prep = []
     for src in sources:
-        x = F.col(src)
-        prep.append(F.last(F.when(x.isNotNull(), F.col(rn)), ignorenulls=True).over(W.before())
-                    .alias(f"_p_{src}"))
-        prep.append(F.count(x).over(W.running()).alias(f"_n_{src}"))
-    df = df.select("*", *prep, *extra)
+        prep.append(f"last(CASE WHEN {src} IS NOT NULL THEN {rn} END, true) {X.BEFORE} AS _p_{src}")
+        prep.append(f"count({src}) {X.RUNNING} AS _n_{src}")
+    df = df.selectExpr("*", *prep, *extra)
 
+    one, zero = X.num(1.0), X.num(0.0)
     maps = []
     for s in specs:
-        x, a = F.col(s.source), F.lit(s.alpha)
-        prev = F.col(f"_p_{s.source}")
-        d = F.pow(F.lit(1.0 - s.alpha), (F.col(rn) - prev).cast("double"))
-        coef_a = F.when(x.isNull(), 1.0).when(prev.isNull(), 0.0).otherwise(d / (d + a))
-        coef_b = F.when(x.isNull(), 0.0).when(prev.isNull(), x).otherwise(a * x / (d + a))
-        maps += [coef_a.alias(f"_a_{s.name}"), coef_b.alias(f"_b_{s.name}")]
-    df = df.select(*[c for c in df.columns if not c.startswith("_p_")], *maps)
+        x, a, p = s.source, X.num(s.alpha), f"_p_{s.source}"
+        d = f"pow({X.num(1.0 - s.alpha)}, CAST({rn} - {p} AS DOUBLE))"
+        maps.append(f"CASE WHEN {x} IS NULL THEN {one} WHEN {p} IS NULL THEN {zero} "
+                    f"ELSE {d} / ({d} + {a}) END AS _a_{s.name}")
+        maps.append(f"CASE WHEN {x} IS NULL THEN {zero} WHEN {p} IS NULL THEN {x} "
+                    f"ELSE {a} * {x} / ({d} + {a}) END AS _b_{s.name}")
+    df = df.selectExpr(*[X.q(c) for c in df.columns if not c.startswith("_p_")], *maps)
 
     # Round k composes each row's map with the maps ending step, 2*step, ...
     # rows earlier (Horner form); rows before the series start are identities.
+    names = {f"_a_{s.name}" for s in specs} | {f"_b_{s.name}" for s in specs}
     step = 1
     for k in range(depth):
         last = k == depth - 1
         out = []
         for s in specs:
-            a_c, b_c = F.col(f"_a_{s.name}"), F.col(f"_b_{s.name}")
-            a_lag = [F.coalesce(F.lag(a_c, j * step).over(by_t), F.lit(1.0)) for j in range(1, radix)]
-            b_lag = [F.coalesce(F.lag(b_c, j * step).over(by_t), F.lit(0.0)) for j in range(1, radix)]
+            a_c, b_c = f"_a_{s.name}", f"_b_{s.name}"
+            a_lag = [f"coalesce(lag({a_c}, {j * step}) {X.OVER}, {one})" for j in range(1, radix)]
+            b_lag = [f"coalesce(lag({b_c}, {j * step}) {X.OVER}, {zero})" for j in range(1, radix)]
             inner = b_lag[-1]
             for j in range(radix - 3, -1, -1):
-                inner = b_lag[j] + a_lag[j] * inner
-            out.append((b_c + a_c * inner).alias(f"_b_{s.name}"))
+                inner = f"({b_lag[j]} + {a_lag[j]} * {inner})"
+            out.append(f"({b_c} + {a_c} * {inner}) AS {b_c}")
             if not last:
                 prod = a_c
                 for al in a_lag:
-                    prod = prod * al
-                out.append(prod.alias(f"_a_{s.name}"))
-        names = {f"_a_{s.name}" for s in specs} | {f"_b_{s.name}" for s in specs}
-        df = df.select(*[c for c in df.columns if c not in names], *out)
+                    prod = f"({prod} * {al})"
+                out.append(f"{prod} AS {a_c}")
+        df = df.selectExpr(*[X.q(c) for c in df.columns if c not in names], *out)
         step *= radix
 
     final = []
     for s in specs:
         m = max(s.min_periods, 1)
-        final.append(F.when(F.col(f"_n_{s.source}") >= m, F.col(f"_b_{s.name}")).alias(s.name))
+        final.append(f"CASE WHEN _n_{s.source} >= {m} THEN _b_{s.name} END AS {s.name}")
     drop = {f"_n_{src}" for src in sources} | {f"_b_{s.name}" for s in specs}
-    return df.select(*[c for c in df.columns if c not in drop], *final)
+    return df.selectExpr(*[X.q(c) for c in df.columns if c not in drop], *final)
 
 
 def ewm_reference(values, alpha: float, min_periods: int = 0):

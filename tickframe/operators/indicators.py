@@ -25,13 +25,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import sqlexpr as X
 from ..functions import windows as W
-from ..functions.numeric import pct_change, rnd, safe_div
 from ..schemas import (ALL_NULL_SUBSET, BAR_INPUT, INDICATOR_COLUMNS, TRAJECTORY_METRICS,
                        TRAJECTORY_WINDOWS)
 from .ewm import Ewm, ewm_columns, max_series_rows, scan_depth
-from .rolling import (lag, lag_columns, mean_present, rolling_mean, rolling_std, row_index,
-                      trend_fit, trend_parts)
+from .rolling import lag_name, mean_present_sql, trend_fit_sql, trend_parts_sql
 
 # EWM weights, spans and minimum periods of the indicator set.
 ATR_PERIODS = [14, 5, 21]
@@ -57,160 +56,151 @@ SECOND_LEVEL = [
 ]
 
 
-def _rsi(gain: str, loss: str):
+def _rsi(gain: str, loss: str) -> str:
     # A zero loss mean gives 100 (also for a flat series); NULL before min_periods.
-    up, dn = F.col(gain), F.col(loss)
-    rsi = F.when(dn == 0, F.lit(100.0)).otherwise(
-        F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + safe_div(up, dn)))
-    return rnd(rsi, 2)
+    h, one = X.num(100.0), X.num(1.0)
+    return X.rnd(f"CASE WHEN {loss} = 0 THEN {h} ELSE {h} - {h} / ({one} + {X.div(gain, loss)}) END", 2)
 
 
 def stage_moves(bars: DataFrame) -> DataFrame:
     """Stage 1: the EWM inputs; one Window operator, then row-local formulas."""
-    c, v = F.col("close"), F.col("volume")
-    s = bars.select(
+    s = bars.selectExpr(
         *BAR_INPUT,
-        row_index().alias("rn"),
-        lag("close").alias("prev_close"),
-        lag("high").alias("_prev_high"),
-        lag("low").alias("_prev_low"),
-        lag("volume").alias("_vol_l1"),
+        f"CAST(row_number() {X.OVER} - 1 AS INT) AS rn",
+        f"{X.lag('close')} AS prev_close",
+        f"{X.lag('high')} AS _prev_high",
+        f"{X.lag('low')} AS _prev_low",
+        f"{X.lag('volume')} AS _vol_l1",
     )
-    pc = F.col("prev_close")
-    delta = c - pc
-    up_move = F.col("high") - F.col("_prev_high")
-    down_move = F.col("_prev_low") - F.col("low")
-    return s.select(
+    zero = X.num(0.0)
+    delta = "(close - prev_close)"
+    up, down = "(high - _prev_high)", "(_prev_low - low)"
+    return s.selectExpr(
         "ticker", "market_date", "rn", "open", "high", "low", "close", "volume", "prev_close",
-        F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - pc),
-                   F.abs(F.col("low") - pc)).alias("true_range"),
-        F.when(delta.isNotNull(), F.greatest(delta, F.lit(0.0))).alias("up_move"),
-        F.when(delta.isNotNull(), -F.least(delta, F.lit(0.0))).alias("down_move"),
-        F.when((up_move > down_move) & (up_move > 0), up_move).otherwise(F.lit(0.0)).alias("plus_dm"),
-        F.when((down_move > up_move) & (down_move > 0), down_move).otherwise(F.lit(0.0)).alias("minus_dm"),
-        (F.coalesce(F.signum(delta), F.lit(0.0)) * v).alias("obv_change"),
-        rnd(pct_change(v, F.col("_vol_l1")), 2).alias("volume_dod_pct"),
+        "greatest(high - low, abs(high - prev_close), abs(low - prev_close)) AS true_range",
+        f"CASE WHEN {delta} IS NOT NULL THEN greatest({delta}, {zero}) END AS up_move",
+        f"CASE WHEN {delta} IS NOT NULL THEN -least({delta}, {zero}) END AS down_move",
+        f"CASE WHEN ({up} > {down}) AND ({up} > 0) THEN {up} ELSE {zero} END AS plus_dm",
+        f"CASE WHEN ({down} > {up}) AND ({down} > 0) THEN {down} ELSE {zero} END AS minus_dm",
+        f"coalesce(signum({delta}), {zero}) * volume AS obv_change",
+        f"{X.rnd(X.pct('volume', '_vol_l1'), 2)} AS volume_dod_pct",
     )
 
 
 def stage_first_ewm(s1: DataFrame, depth: int) -> DataFrame:
     """Stage 2: first-level EWMs and running OBV, then the formulas built on them."""
-    oc = F.col("obv_change")
-    obv = F.when(oc.isNotNull(), F.sum(oc).over(W.running())).alias("obv")
+    obv = f"CASE WHEN obv_change IS NOT NULL THEN sum(obv_change) {X.RUNNING} END AS obv"
     s2 = ewm_columns(s1, FIRST_LEVEL, depth, extra=[obv])
-    c, v = F.col("close"), F.col("volume")
-    atr = {n: rnd(f"_atr_{n}", 4) for n in ATR_PERIODS}
-    ema_9, ema_21 = rnd("_ema_9", 4), rnd("_ema_21", 4)
-    kc_mid = rnd("_kc_mid", 4)
-    vol_ema_5, vol_ema_21 = rnd("_vol_ema_5", 2), rnd("_vol_ema_21", 2)
+    h, two = X.num(100.0), X.num(2.0)
+    atr = {n: X.rnd(f"_atr_{n}", 4) for n in ATR_PERIODS}
+    ema_9, ema_21 = X.rnd("_ema_9", 4), X.rnd("_ema_21", 4)
+    kc_mid = X.rnd("_kc_mid", 4)
+    vol_ema_5, vol_ema_21 = X.rnd("_vol_ema_5", 2), X.rnd("_vol_ema_21", 2)
     rsi = {n: _rsi(f"_gain_{n}", f"_loss_{n}") for n in RSI_PERIODS}
-    plus_di = rnd(safe_div(F.lit(100.0) * F.col("_pdm"), atr[14]), 2)
-    minus_di = rnd(safe_div(F.lit(100.0) * F.col("_mdm"), atr[14]), 2)
-    dx = F.lit(100.0) * safe_div(F.abs(plus_di - minus_di), plus_di + minus_di)
-    return s2.select(
-        "ticker", "market_date", "rn", "open", "close", "volume", "prev_close", "obv",
-        "volume_dod_pct",
-        atr[14].alias("atr_14"),
-        rnd(safe_div(atr[14], c) * F.lit(100.0), 4).alias("atr_14_pct"),
-        atr[5].alias("atr_5"),
-        atr[21].alias("atr_21"),
-        rnd(pct_change(atr[5], atr[21]), 2).alias("atr_5_21_dist_pct"),
-        ema_9.alias("ema_9"),
-        ema_21.alias("ema_21"),
-        rnd(pct_change(ema_9, ema_21), 2).alias("ema_9_21_dist_pct"),
-        rnd(F.col("_ema_12") - F.col("_ema_26"), 4).alias("macd"),
-        kc_mid.alias("kc_mid"),
-        rnd(kc_mid + F.lit(2.0) * F.col(f"_atr_{KELTNER_ATR_PERIOD}"), 4).alias("kc_upper"),
-        rnd(kc_mid - F.lit(2.0) * F.col(f"_atr_{KELTNER_ATR_PERIOD}"), 4).alias("kc_lower"),
-        rsi[14].alias("rsi_14"),
-        rsi[5].alias("rsi_5"),
-        rsi[21].alias("rsi_21"),
-        rnd(rsi[5] - rsi[21], 2).alias("rsi_5_21_diff"),
-        plus_di.alias("plus_di"),
-        minus_di.alias("minus_di"),
-        dx.alias("dx"),
-        vol_ema_5.alias("vol_ema_5"),
-        vol_ema_21.alias("vol_ema_21"),
-        rnd(pct_change(vol_ema_5, vol_ema_21), 2).alias("vol_5_21_dist_pct"),
-        rnd(safe_div(v, vol_ema_5), 2).alias("rvol_ema_5"),
-        rnd(safe_div(v, vol_ema_21), 2).alias("rvol_ema_21"),
+    plus_di = X.rnd(X.div(f"{h} * _pdm", atr[14]), 2)
+    minus_di = X.rnd(X.div(f"{h} * _mdm", atr[14]), 2)
+    dx = f"{h} * {X.div(f'abs({plus_di} - {minus_di})', f'{plus_di} + {minus_di}')}"
+    k_atr = f"_atr_{KELTNER_ATR_PERIOD}"
+    return s2.selectExpr(
+        "ticker", "market_date", "rn", "open", "close", "volume", "prev_close", "obv", "volume_dod_pct",
+        f"{atr[14]} AS atr_14",
+        f"{X.rnd(f'{X.div(atr[14], 'close')} * {h}', 4)} AS atr_14_pct",
+        f"{atr[5]} AS atr_5",
+        f"{atr[21]} AS atr_21",
+        f"{X.rnd(X.pct(atr[5], atr[21]), 2)} AS atr_5_21_dist_pct",
+        f"{ema_9} AS ema_9",
+        f"{ema_21} AS ema_21",
+        f"{X.rnd(X.pct(ema_9, ema_21), 2)} AS ema_9_21_dist_pct",
+        f"{X.rnd('_ema_12 - _ema_26', 4)} AS macd",
+        f"{kc_mid} AS kc_mid",
+        f"{X.rnd(f'{kc_mid} + {two} * {k_atr}', 4)} AS kc_upper",
+        f"{X.rnd(f'{kc_mid} - {two} * {k_atr}', 4)} AS kc_lower",
+        f"{rsi[14]} AS rsi_14",
+        f"{rsi[5]} AS rsi_5",
+        f"{rsi[21]} AS rsi_21",
+        f"{X.rnd(f'{rsi[5]} - {rsi[21]}', 2)} AS rsi_5_21_diff",
+        f"{plus_di} AS plus_di",
+        f"{minus_di} AS minus_di",
+        f"{dx} AS dx",
+        f"{vol_ema_5} AS vol_ema_5",
+        f"{vol_ema_21} AS vol_ema_21",
+        f"{X.rnd(X.pct(vol_ema_5, vol_ema_21), 2)} AS vol_5_21_dist_pct",
+        f"{X.rnd(X.div('volume', vol_ema_5), 2)} AS rvol_ema_5",
+        f"{X.rnd(X.div('volume', vol_ema_21), 2)} AS rvol_ema_21",
     )
 
 
 def stage_second_ewm(s2: DataFrame, depth: int) -> DataFrame:
     """Stage 3: second-level EWMs and the first differences of rounded outputs."""
     extra = [
-        rnd(F.col("rvol_ema_5") - lag("rvol_ema_5"), 2).alias("rvol_ema_5_dod_diff"),
-        rnd(F.col("rsi_14") - lag("rsi_14"), 2).alias("rsi_14_dod_diff"),
-        rnd(pct_change(F.col("atr_14"), lag("atr_14")), 2).alias("atr_14_dod_pct"),
+        f"{X.rnd(f'rvol_ema_5 - {X.lag('rvol_ema_5')}', 2)} AS rvol_ema_5_dod_diff",
+        f"{X.rnd(f'rsi_14 - {X.lag('rsi_14')}', 2)} AS rsi_14_dod_diff",
+        f"{X.rnd(X.pct('atr_14', X.lag('atr_14')), 2)} AS atr_14_dod_pct",
     ]
     s3 = ewm_columns(s2, SECOND_LEVEL, depth, extra=extra)
-    macd_signal = rnd("_macd_signal", 4)
-    return s3.select(
-        *[x for x in s3.columns if not x.startswith("_") and x != "dx"],
-        macd_signal.alias("macd_signal"),
-        rnd(F.col("macd") - macd_signal, 4).alias("macd_hist"),
-        rnd("_adx", 2).alias("adx_14"),
+    macd_signal = X.rnd("_macd_signal", 4)
+    return s3.selectExpr(
+        *[X.q(x) for x in s3.columns if not x.startswith("_") and x != "dx"],
+        f"{macd_signal} AS macd_signal",
+        f"{X.rnd(f'macd - {macd_signal}', 4)} AS macd_hist",
+        f"{X.rnd('_adx', 2)} AS adx_14",
     )
 
 
 def stage_wide(s3: DataFrame) -> DataFrame:
     """Stage 4: the remaining lags and rolling windows, then the row-local outputs."""
     widest = max(TRAJECTORY_WINDOWS)
-    lags = [c for m in TRAJECTORY_METRICS for c in lag_columns(m, widest)]
-    w = s3.select(
+    lags = [f"{X.lag(m, k)} AS {lag_name(m, k)}" for m in TRAJECTORY_METRICS for k in range(1, widest)]
+    w = s3.selectExpr(
         "*",
-        lag("close", 5).alias("_close_l5"),
-        lag("close", 21).alias("_close_l21"),
-        lag("volume", 5).alias("_vol_l5"),
-        lag("volume", 21).alias("_vol_l21"),
-        rolling_mean("close", 50).alias("_sma_50"),
-        rolling_mean("close", 200).alias("_sma_200"),
-        rolling_mean("close", 20).alias("_sma_20"),
-        rolling_std("close", 20).alias("_std_20"),
-        rolling_mean("volume", 10).alias("_vol_sma_10"),
-        rolling_mean("volume", 60).alias("_vol_sma_60"),
-        lag("volume_dod_pct", 1).alias("_vdp_l1"),
-        lag("volume_dod_pct", 2).alias("_vdp_l2"),
-        lag("rsi_14_dod_diff", 1).alias("_rdd_l1"),
-        lag("rsi_14_dod_diff", 2).alias("_rdd_l2"),
+        f"{X.lag('close', 5)} AS _close_l5",
+        f"{X.lag('close', 21)} AS _close_l21",
+        f"{X.lag('volume', 5)} AS _vol_l5",
+        f"{X.lag('volume', 21)} AS _vol_l21",
+        f"{X.guarded('avg', 'close', 50)} AS _sma_50",
+        f"{X.guarded('avg', 'close', 200)} AS _sma_200",
+        f"{X.guarded('avg', 'close', 20)} AS _sma_20",
+        f"{X.guarded('stddev_samp', 'close', 20)} AS _std_20",
+        f"{X.guarded('avg', 'volume', 10)} AS _vol_sma_10",
+        f"{X.guarded('avg', 'volume', 60)} AS _vol_sma_60",
+        f"{X.lag('volume_dod_pct', 1)} AS _vdp_l1",
+        f"{X.lag('volume_dod_pct', 2)} AS _vdp_l2",
+        f"{X.lag('rsi_14_dod_diff', 1)} AS _rdd_l1",
+        f"{X.lag('rsi_14_dod_diff', 2)} AS _rdd_l2",
         *lags,
     )
-    w = w.select("*", *[p for m in TRAJECTORY_METRICS for n in TRAJECTORY_WINDOWS
-                        for p in trend_parts(m, n)])
-    c, v = F.col("close"), F.col("volume")
-    sma_50, sma_200 = rnd("_sma_50", 4), rnd("_sma_200", 4)
-    vol_sma_10, vol_sma_60 = rnd("_vol_sma_10", 2), rnd("_vol_sma_60", 2)
+    w = w.selectExpr("*", *[p for m in TRAJECTORY_METRICS for n in TRAJECTORY_WINDOWS for p in trend_parts_sql(m, n)])
+    two = X.num(2.0)
+    sma_50, sma_200 = X.rnd("_sma_50", 4), X.rnd("_sma_200", 4)
+    vol_sma_10, vol_sma_60 = X.rnd("_vol_sma_10", 2), X.rnd("_vol_sma_60", 2)
     traj = []
     for m in TRAJECTORY_METRICS:
         for n in TRAJECTORY_WINDOWS:
-            slope, r2 = trend_fit(m, n)
-            traj += [rnd(slope, 4).alias(f"{m}_slope_{n}d"), rnd(r2, 4).alias(f"{m}_r2_{n}d")]
-    return w.select(
-        *[x for x in w.columns if not x.startswith("_")],
-        rnd(pct_change(F.col("open"), F.col("prev_close")), 4).alias("gap_pct"),
-        rnd(pct_change(c, F.col("prev_close")), 4).alias("price_change_dod_pct"),
-        rnd(pct_change(c, F.col("_close_l5")), 4).alias("price_change_wow_pct"),
-        rnd(pct_change(c, F.col("_close_l21")), 4).alias("price_change_mom_pct"),
-        rnd(pct_change(c, F.col("open")), 4).alias("open_to_close_pct"),
-        sma_50.alias("sma_50"),
-        rnd(pct_change(c, sma_50), 2).alias("sma_50_dist_pct"),
-        sma_200.alias("sma_200"),
-        rnd(pct_change(c, sma_200), 2).alias("sma_200_dist_pct"),
-        rnd("_sma_20", 4).alias("bb_mid"),
-        rnd(F.col("_sma_20") + F.lit(2.0) * F.col("_std_20"), 4).alias("bb_upper"),
-        rnd(F.col("_sma_20") - F.lit(2.0) * F.col("_std_20"), 4).alias("bb_lower"),
-        vol_sma_10.alias("vol_sma_10"),
-        vol_sma_60.alias("vol_sma_60"),
-        rnd(safe_div(v, vol_sma_10), 2).alias("rvol_sma_10"),
-        rnd(safe_div(v, vol_sma_60), 2).alias("rvol_sma_60"),
-        rnd(pct_change(v, F.col("_vol_l5")), 2).alias("volume_wow_pct"),
-        rnd(pct_change(v, F.col("_vol_l21")), 2).alias("volume_mom_pct"),
-        rnd(F.col("macd_hist") - F.col(f"_lag1_macd_hist"), 4).alias("macd_hist_dod_diff"),
-        rnd(mean_present([F.col("_vdp_l2"), F.col("_vdp_l1"), F.col("volume_dod_pct")]), 2)
-        .alias("volume_dod_sma_3"),
-        rnd(mean_present([F.col("_rdd_l2"), F.col("_rdd_l1"), F.col("rsi_14_dod_diff")]), 2)
-        .alias("rsi_velocity_3d"),
+            slope, r2 = trend_fit_sql(m, n)
+            traj += [f"{X.rnd(slope, 4)} AS {m}_slope_{n}d", f"{X.rnd(r2, 4)} AS {m}_r2_{n}d"]
+    return w.selectExpr(
+        *[X.q(x) for x in w.columns if not x.startswith("_")],
+        f"{X.rnd(X.pct('open', 'prev_close'), 4)} AS gap_pct",
+        f"{X.rnd(X.pct('close', 'prev_close'), 4)} AS price_change_dod_pct",
+        f"{X.rnd(X.pct('close', '_close_l5'), 4)} AS price_change_wow_pct",
+        f"{X.rnd(X.pct('close', '_close_l21'), 4)} AS price_change_mom_pct",
+        f"{X.rnd(X.pct('close', 'open'), 4)} AS open_to_close_pct",
+        f"{sma_50} AS sma_50",
+        f"{X.rnd(X.pct('close', sma_50), 2)} AS sma_50_dist_pct",
+        f"{sma_200} AS sma_200",
+        f"{X.rnd(X.pct('close', sma_200), 2)} AS sma_200_dist_pct",
+        f"{X.rnd('_sma_20', 4)} AS bb_mid",
+        f"{X.rnd(f'_sma_20 + {two} * _std_20', 4)} AS bb_upper",
+        f"{X.rnd(f'_sma_20 - {two} * _std_20', 4)} AS bb_lower",
+        f"{vol_sma_10} AS vol_sma_10",
+        f"{vol_sma_60} AS vol_sma_60",
+        f"{X.rnd(X.div('volume', vol_sma_10), 2)} AS rvol_sma_10",
+        f"{X.rnd(X.div('volume', vol_sma_60), 2)} AS rvol_sma_60",
+        f"{X.rnd(X.pct('volume', '_vol_l5'), 2)} AS volume_wow_pct",
+        f"{X.rnd(X.pct('volume', '_vol_l21'), 2)} AS volume_mom_pct",
+        f"{X.rnd(f'macd_hist - {lag_name('macd_hist', 1)}', 4)} AS macd_hist_dod_diff",
+        f"{X.rnd(mean_present_sql(['_vdp_l2', '_vdp_l1', 'volume_dod_pct']), 2)} AS volume_dod_sma_3",
+        f"{X.rnd(mean_present_sql(['_rdd_l2', '_rdd_l1', 'rsi_14_dod_diff']), 2)} AS rsi_velocity_3d",
         *traj,
     )
 

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions import sqlexpr as X
 from ..functions import windows as W
 from ..functions.numeric import col
 
@@ -61,15 +62,19 @@ def fit_name(metric: str, n: int, part: str) -> str:
     return f"_{part}_{metric}_{n}"
 
 
-def trend_parts(metric: str, n: int) -> list[Column]:
-    """First half of ``trend_fit``: window mean and ``Sxy`` as columns (shared by later terms)."""
-    values = window_values(metric, n)
-    sxy = _sum([v * F.lit(j - (n - 1) / 2.0) for j, v in enumerate(values)])
-    mean = _sum(values) / F.lit(float(n))
-    return [mean.alias(fit_name(metric, n, "mean")), sxy.alias(fit_name(metric, n, "sxy"))]
+def _window_names(metric: str, n: int) -> list[str]:
+    return [lag_name(metric, n - 1 - j) if j < n - 1 else metric for j in range(n)]
 
 
-def trend_fit(metric: str, n: int, flat: float = 1e-8) -> tuple[Column, Column]:
+def trend_parts_sql(metric: str, n: int) -> list[str]:
+    """First half of the fit as SQL: window mean and ``Sxy`` (shared by later terms)."""
+    values = _window_names(metric, n)
+    sxy = X.total([f"({v} * {X.num(j - (n - 1) / 2.0)})" for j, v in enumerate(values)])
+    mean = f"({X.total(values)} / {X.num(float(n))})"
+    return [f"{mean} AS {fit_name(metric, n, 'mean')}", f"{sxy} AS {fit_name(metric, n, 'sxy')}"]
+
+
+def trend_fit_sql(metric: str, n: int, flat: float = 1e-8) -> tuple[str, str]:
     """Least-squares slope and r2 of the last ``n`` values of ``metric`` against the row index.
 
     Closed form over the centred index ``x_j = j - (n-1)/2``:
@@ -77,18 +82,35 @@ def trend_fit(metric: str, n: int, flat: float = 1e-8) -> tuple[Column, Column]:
     and ``r2 = 0`` when the sample std is below ``flat`` (a flat line).  Any
     NULL in the window (including rows before the window is full) gives NULL.
     Sums run oldest to newest, so the result does not depend on the engine.
-    Needs the columns of ``lag_columns`` and ``trend_parts``.
+    Needs the columns of ``lag_columns`` and ``trend_parts_sql``.
     """
-    values = window_values(metric, n)
-    mean, sxy = F.col(fit_name(metric, n, "mean")), F.col(fit_name(metric, n, "sxy"))
-    sxx = n * (n * n - 1) / 12.0
-    syy = _sum([(v - mean) * (v - mean) for v in values])
-    slope = sxy / F.lit(sxx)
-    std = F.sqrt(syy / F.lit(float(n - 1)))
-    r2 = F.when(std < F.lit(flat), F.lit(0.0)).otherwise(sxy * sxy / (F.lit(sxx) * syy))
+    values = _window_names(metric, n)
+    mean, sxy = fit_name(metric, n, "mean"), fit_name(metric, n, "sxy")
+    sxx = X.num(n * (n * n - 1) / 12.0)
+    syy = X.total([f"(({v} - {mean}) * ({v} - {mean}))" for v in values])
+    slope = f"({sxy} / {sxx})"
+    std = f"sqrt({syy} / {X.num(float(n - 1))})"
+    r2 = f"CASE WHEN {std} < {X.num(flat)} THEN {X.num(0.0)} ELSE {sxy} * {sxy} / ({sxx} * {syy}) END"
     return slope, r2
 
 
+def trend_parts(metric: str, n: int) -> list[Column]:
+    return [F.expr(e) for e in trend_parts_sql(metric, n)]
+
+
+def trend_fit(metric: str, n: int, flat: float = 1e-8) -> tuple[Column, Column]:
+    slope, r2 = trend_fit_sql(metric, n, flat)
+    return F.expr(slope), F.expr(r2)
+
+
+def mean_present_sql(names: list[str]) -> str:
+    """Mean of the non-null values (NULL when none), summed oldest to newest."""
+    zero, one = X.num(0.0), X.num(1.0)
+    tot = X.total([f"coalesce({c}, {zero})" for c in names])
+    cnt = X.total([f"CASE WHEN {c} IS NOT NULL THEN {one} ELSE {zero} END" for c in names])
+    return f"CASE WHEN {cnt} > 0 THEN {tot} / {cnt} END"
+
+
 def mean_present(values: list[Column]) -> Column:
     """Mean of the non-null values (NULL when none), summed oldest to newest."""
     total = _sum([F.coalesce(v, F.lit(0.0)) for v in values])

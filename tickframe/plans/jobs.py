@@ -12,9 +12,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.ewm import scan_depth
 from ..operators.indicators import drop_all_null, indicators
 from ..sources import ingest, sink
 
@@ -32,15 +33,18 @@ def bulk_indicators(bars: DataFrame, depth: int | None = None, partitions: int |
     return drop_all_null(indicators(ingest.scan_bars(bars), depth=depth, partitions=partitions))
 
 
-def obv_anchor(stored: DataFrame, day: dt.date | str | Column) -> DataFrame:
-    """J-4: per ticker, the latest stored OBV strictly before ``day``.
+def obv_anchor(stored: DataFrame, day: dt.date | str | Column, since: Column | None = None) -> DataFrame:
+    """J-4: per ticker, the latest stored OBV strictly before ``day`` (and not before ``since``).
 
     An aggregate (``max_by``), so each input partition keeps one candidate
-    per ticker before the shuffle.
+    per ticker before the shuffle; both date bounds prune partitions.
     """
+    cond = F.col("market_date") < _date(day)
+    if since is not None:
+        cond = cond & (F.col("market_date") >= since)
     latest = F.max_by(F.struct(F.col("market_date").alias("anchor_date"), F.col("obv").alias("anchor_obv")),
                       F.col("market_date"))
-    return (stored.where(F.col("market_date") < _date(day)).groupBy("ticker").agg(latest.alias("a"))
+    return (stored.where(cond).groupBy("ticker").agg(latest.alias("a"))
             .select("ticker", "a.anchor_date", "a.anchor_obv"))
 
 
@@ -55,17 +59,26 @@ def daily_indicators(bars: DataFrame, stored: DataFrame | None, day: dt.date | s
     naive sum at the latest stored date inside the slice (J-6; 0 when that
     date is outside the slice, J-5).  Slopes and r2 do not depend on the
     offset, so the offset is applied to the selected date only.
+
+    The slice is computed once: the anchor (one row per ticker) is joined to
+    it and only the target and anchor rows of each ticker go on to the
+    offset window.  Without ``depth`` the scan depth comes from the slice
+    bound (one row per calendar day per ticker), so no extra job runs.
     """
     d = _date(day)
+    since = F.date_sub(d, lookback_days)
+    depth = depth or scan_depth(lookback_days + 1)
     ind = indicators(ingest.scan_bars(bars, d, lookback_days), depth=depth, partitions=partitions)
-    today = ind.where(F.col("market_date") == d)
-    if stored is not None:
-        anchor = obv_anchor(stored, d)
-        naive = ind.select("ticker", F.col("market_date").alias("anchor_date"), F.col("obv").alias("naive_obv"))
-        offset = anchor.join(naive, ["ticker", "anchor_date"]).select(
-            "ticker", (F.col("anchor_obv") - F.col("naive_obv")).alias("offset"))
-        today = today.join(offset, "ticker", "left").withColumn(
-            "obv", F.col("obv") + F.coalesce(F.col("offset"), F.lit(0.0))).drop("offset")
+    if stored is None:
+        return drop_all_null(ind.where(F.col("market_date") == d))
+    anchor = obv_anchor(stored, d, since)
+    rows = ind.join(anchor, "ticker", "left").where(
+        (F.col("market_date") == d) | (F.col("market_date") == F.col("anchor_date")))
+    per_ticker = Window.partitionBy("ticker")
+    offset = F.max(F.when(F.col("market_date") == F.col("anchor_date"),
+                          F.col("anchor_obv") - F.col("obv"))).over(per_ticker)
+    today = (rows.withColumn("_offset", offset).where(F.col("market_date") == d)
+             .withColumn("obv", F.col("obv") + F.coalesce(F.col("_offset"), F.lit(0.0))))
     return drop_all_null(today.select(*ind.columns))
 
 
