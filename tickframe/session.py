@@ -57,9 +57,15 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a temp folder only when none is configured."""
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests, the bench) may fall back to a
+    temporary folder; on a cluster the setting must name shared storage.
+    """
     path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder before running these jobs")
         path = tempfile.mkdtemp(prefix="tickframe-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     if not spark.sparkContext.getCheckpointDir():
