@@ -71,3 +71,16 @@ def guarded_by_count(fn: str, c: str, n: int, running_count: str, min_periods: i
     m = n if min_periods is None else min_periods
     in_frame = f"({running_count} - coalesce(lag({running_count}, {n}) {OVER}, 0))"
     return f"CASE WHEN {in_frame} >= {m} THEN {fn}({c}) {trailing(n)} END"
+
+
+def mean_by_running_sum(c_sum: str, n: int, running_count: str) -> str:
+    """Mean of the last ``n`` rows when all ``n`` are present, from running sums.
+
+    ``(S(i) - S(i-n)) / n`` with ``S`` the running sum: O(1) per row, where a
+    sliding ``avg`` frame is summed again for every row.  Exact for integer
+    data (volumes); for prices the difference of running sums is within a
+    few ulps of the running sum, far below the 4-digit rounding applied after.
+    """
+    in_frame = f"({running_count} - coalesce(lag({running_count}, {n}) {OVER}, 0))"
+    window_sum = f"({c_sum} - coalesce(lag({c_sum}, {n}) {OVER}, {num(0.0)}))"
+    return f"CASE WHEN {in_frame} >= {n} THEN {window_sum} / {num(float(n))} END"

@@ -29,15 +29,13 @@ null gaps need no special case.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sqlexpr as X
 from ..functions import windows as W
-from ..functions.numeric import col
 
 
 @dataclass(frozen=True)
@@ -161,4 +159,4 @@ def ewm_reference(values, alpha: float, min_periods: int = 0):
     return out
 
 
-__all__ = ["Ewm", "ewm_columns", "ewm_reference", "max_series_rows", "scan_depth", "col"]
+__all__ = ["Ewm", "ewm_columns", "ewm_reference", "max_series_rows", "scan_depth"]

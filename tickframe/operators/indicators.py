@@ -90,7 +90,8 @@ def stage_moves(bars: DataFrame) -> DataFrame:
 def stage_first_ewm(s1: DataFrame, depth: int) -> DataFrame:
     """Stage 2: first-level EWMs and running OBV, then the formulas built on them."""
     obv = f"CASE WHEN obv_change IS NOT NULL THEN sum(obv_change) {X.RUNNING} END AS obv"
-    counts = [f"count(close) {X.RUNNING} AS n_close", f"count(volume) {X.RUNNING} AS n_volume"]
+    counts = [f"count(close) {X.RUNNING} AS n_close", f"count(volume) {X.RUNNING} AS n_volume",
+              f"sum(close) {X.RUNNING} AS s_close", f"sum(volume) {X.RUNNING} AS s_volume"]
     s2 = ewm_columns(s1, FIRST_LEVEL, depth, extra=[obv, *counts])
     h, two = X.num(100.0), X.num(2.0)
     atr = {n: X.rnd(f"_atr_{n}", 4) for n in ATR_PERIODS}
@@ -104,7 +105,7 @@ def stage_first_ewm(s1: DataFrame, depth: int) -> DataFrame:
     k_atr = f"_atr_{KELTNER_ATR_PERIOD}"
     return s2.selectExpr(
         "ticker", "market_date", "rn", "open", "close", "volume", "prev_close", "obv", "volume_dod_pct",
-        "n_close", "n_volume",
+        "n_close", "n_volume", "s_close", "s_volume",
         f"{atr[14]} AS atr_14",
         f"{X.rnd(f'{X.div(atr[14], 'close')} * {h}', 4)} AS atr_14_pct",
         f"{atr[5]} AS atr_5",
@@ -159,12 +160,12 @@ def stage_wide(s3: DataFrame) -> DataFrame:
         f"{X.lag('close', 21)} AS _close_l21",
         f"{X.lag('volume', 5)} AS _vol_l5",
         f"{X.lag('volume', 21)} AS _vol_l21",
-        f"{X.guarded_by_count('avg', 'close', 50, 'n_close')} AS _sma_50",
-        f"{X.guarded_by_count('avg', 'close', 200, 'n_close')} AS _sma_200",
+        f"{X.mean_by_running_sum('s_close', 50, 'n_close')} AS _sma_50",
+        f"{X.mean_by_running_sum('s_close', 200, 'n_close')} AS _sma_200",
         f"{X.guarded_by_count('avg', 'close', 20, 'n_close')} AS _sma_20",
         f"{X.guarded_by_count('stddev_samp', 'close', 20, 'n_close')} AS _std_20",
-        f"{X.guarded_by_count('avg', 'volume', 10, 'n_volume')} AS _vol_sma_10",
-        f"{X.guarded_by_count('avg', 'volume', 60, 'n_volume')} AS _vol_sma_60",
+        f"{X.mean_by_running_sum('s_volume', 10, 'n_volume')} AS _vol_sma_10",
+        f"{X.mean_by_running_sum('s_volume', 60, 'n_volume')} AS _vol_sma_60",
         f"{X.lag('volume_dod_pct', 1)} AS _vdp_l1",
         f"{X.lag('volume_dod_pct', 2)} AS _vdp_l2",
         f"{X.lag('rsi_14_dod_diff', 1)} AS _rdd_l1",
