@@ -84,9 +84,18 @@ def test_daily_obv_is_anchored(spark):
     bulk = jobs.bulk_indicators(bars, partitions=2).cache()
     day = bars.agg(F.max("market_date")).first()[0]
     daily = jobs.daily_indicators(bars, bulk, day, lookback_days=400, partitions=2)
-    want = {r["ticker"]: r["obv"] for r in bulk.where(F.col("market_date") == day).collect()}
-    got = {r["ticker"]: r["obv"] for r in daily.collect()}
-    assert got == want  # the short slice restarts the sum; the anchor restores it
+    bulk_rows = {r["ticker"]: r for r in bulk.where(F.col("market_date") == day).collect()}
+    daily_rows = {r["ticker"]: r for r in daily.collect()}
+    # the short slice restarts the running sum; the anchor restores it
+    assert {t: r["obv"] for t, r in daily_rows.items()} == {t: r["obv"] for t, r in bulk_rows.items()}
+    # row-window columns whose window fits in the slice equal the bulk build
+    covered = ["prev_close", "gap_pct", "price_change_mom_pct", "sma_50", "sma_50_dist_pct", "bb_mid",
+               "bb_upper", "vol_sma_60", "volume_mom_pct", "close_slope_21d", "close_r2_21d",
+               "obv_slope_10d", "obv_r2_10d"]
+    for t, r in daily_rows.items():
+        for c in covered:
+            assert r[c] == bulk_rows[t][c], (t, c)
+    assert all(r["sma_200"] is None for r in daily_rows.values())  # ~85 bars in 400 days
 
 
 def test_stream_loader_merges_batches(spark):
