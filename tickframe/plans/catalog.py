@@ -115,7 +115,15 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "zero_line_crossover": lambda s, sf: S.zero_line_crossover(T(s, sf)),
         "zero_line_crossover_all": lambda s, sf: S.zero_line_crossover(T(s, sf), as_of="all"),
     }
-    return q
+    return {name: _configured(fn) for name, fn in q.items()}
+
+
+def _configured(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Apply the session settings the jobs rely on (UTC zone for the date/timestamp columns)."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        configure(spark)
+        return fn(spark, sf)
+    return run
 
 
 # ----------------------------------------------------------------------------- DuckDB side
