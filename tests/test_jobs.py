@@ -141,3 +141,22 @@ def test_register_views_runs_sql(spark):
     n = spark.sql("""SELECT count(*) FROM daily_indicators di JOIN financedatabase fd ON di.ticker = fd.ticker
                      WHERE di.market_date = (SELECT max(market_date) FROM daily_market_data)""").first()[0]
     assert n >= 0
+
+
+def test_command_line_modes(spark, capsys):
+    from tickframe.__main__ import main
+    root = tempfile.mkdtemp(prefix="tf-cli-")
+    land, bars_path, ind_path = f"{root}/landing", f"{root}/bars", f"{root}/indicators"
+    payload = fixtures.payload_from_lineitem(spark, SF_SMALL)
+    days = [r[0] for r in payload.select("market_date").distinct().orderBy("market_date").collect()]
+    landed_days.land(payload.where(F.col("market_date") < days[-1]), land)
+    assert main(["backfill", "--landing", land, "--bars", bars_path, "--indicators", ind_path]) == 0
+    before = spark.read.parquet(ind_path).count()
+    landed_days.land(payload.where(F.col("market_date") == days[-1]), land)
+    assert main(["daily", "--landing", land, "--bars", bars_path, "--indicators", ind_path]) == 0
+    after = spark.read.parquet(ind_path)
+    assert after.where(F.col("market_date") == days[-1]).count() > 0
+    assert after.count() > before
+    assert main(["recalculate", "--bars", bars_path, "--indicators", ind_path]) == 0
+    out = capsys.readouterr().out
+    assert "business days without bars" in out and f"refreshed {days[-1]}" in out
