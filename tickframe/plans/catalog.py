@@ -21,7 +21,7 @@ from ..sources.sink import duplicate_keys
 from . import jobs, quality
 
 # ----------------------------------------------------------------------------- shared inputs
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str], DataFrame] = {}
 
 
 def bars(spark: SparkSession, sf: str) -> DataFrame:
@@ -35,7 +35,7 @@ def inst(spark: SparkSession, sf: str) -> DataFrame:
 def indicator_table(spark: SparkSession, sf: str) -> DataFrame:
     """The stored indicator table (Q-9 output), built once per session and checkpointed."""
     configure(spark)
-    key = (id(spark._jsparkSession), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _TABLES:
         _TABLES[key] = jobs.bulk_indicators(bars(spark, sf)).checkpoint(eager=True)
     return _TABLES[key]
@@ -73,7 +73,8 @@ def _daily(lookback: int):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         configure(spark)
         b = bars(spark, sf)
-        day = b.select(F.max("market_date")).scalar()
+        # the daily job takes its date as a parameter: resolve the latest bar date once
+        day = b.agg(F.max("market_date")).first()[0]
         return jobs.daily_indicators(b, indicator_table(spark, sf), day, lookback)
     return run
 

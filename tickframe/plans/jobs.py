@@ -60,6 +60,9 @@ def daily_indicators(bars: DataFrame, stored: DataFrame | None, day: dt.date | s
     date is outside the slice, J-5).  Slopes and r2 do not depend on the
     offset, so the offset is applied to the selected date only.
 
+    ``day`` is a date (or a date literal); a scalar-subquery Column works but
+    is evaluated once per filter that uses it.
+
     The slice is computed once: the anchor (one row per ticker) is joined to
     it and only the target and anchor rows of each ticker go on to the
     offset window.  Without ``depth`` the scan depth comes from the slice

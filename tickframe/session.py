@@ -15,6 +15,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+CODEGEN_CACHE_ENTRIES = 2000
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -34,6 +35,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # The indicator job generates ~140 classes; with the default cache of
+        # 100 every run recompiles them and the JIT starts cold (static conf:
+        # on a cluster it belongs in the executors' configuration).
+        .config("spark.sql.codegen.cache.maxEntries", str(CODEGEN_CACHE_ENTRIES))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
