@@ -32,11 +32,6 @@ def pct_change(cur: Column | str, base: Column | str) -> Column:
     return safe_div(col(cur) - col(base), col(base)) * F.lit(100.0)
 
 
-def pct_dist(a: Column | str, b: Column | str) -> Column:
-    """Distance of ``a`` from ``b`` in percent of ``b``."""
-    return pct_change(a, b)
-
-
 def dec_round(c: Column | str, digits: int) -> Column:
     """Half-up rounding of the decimal value (SQL ``ROUND(CAST(x AS NUMERIC), d)``), as double."""
     return F.round(col(c).cast("decimal(38,12)"), digits).cast("double")
