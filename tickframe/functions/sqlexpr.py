@@ -56,13 +56,10 @@ def total(terms: list[str]) -> str:
     return out
 
 
-def guarded(fn: str, c: str, n: int, min_periods: int | None = None) -> str:
-    m = n if min_periods is None else min_periods
-    return f"CASE WHEN count({c}) {trailing(n)} >= {m} THEN {fn}({c}) {trailing(n)} END"
-
-
 def guarded_by_count(fn: str, c: str, n: int, running_count: str, min_periods: int | None = None) -> str:
-    """``guarded`` with the frame's non-null count taken from a running count.
+    """``fn`` over the last ``n`` rows when at least ``min_periods`` of them are non-null.
+
+    The frame's non-null count comes from a running count:
 
     ``running_count(i) - running_count(i - n)`` is the count over the last
     ``n`` rows exactly (integers), without a second sliding aggregate that
