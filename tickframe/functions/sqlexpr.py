@@ -59,11 +59,9 @@ def total(terms: list[str]) -> str:
 def guarded_by_count(fn: str, c: str, n: int, running_count: str, min_periods: int | None = None) -> str:
     """``fn`` over the last ``n`` rows when at least ``min_periods`` of them are non-null.
 
-    The frame's non-null count comes from a running count:
-
-    ``running_count(i) - running_count(i - n)`` is the count over the last
-    ``n`` rows exactly (integers), without a second sliding aggregate that
-    Spark would recompute over the whole frame for every row.
+    The frame's non-null count is ``running_count(i) - running_count(i - n)``,
+    exact in integers, instead of a second sliding aggregate that Spark would
+    recompute over the whole frame for every row.
     """
     m = n if min_periods is None else min_periods
     in_frame = f"({running_count} - coalesce(lag({running_count}, {n}) {OVER}, 0))"
