@@ -1,0 +1 @@
+"""Indicator, EWM, rolling-window and screen operators."""

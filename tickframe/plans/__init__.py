@@ -1,0 +1 @@
+"""Jobs, checks, registered queries and SQL views."""

@@ -1,0 +1 @@
+"""Fixture mapping, ingest and sinks."""
