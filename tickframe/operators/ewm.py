@@ -73,10 +73,17 @@ def scan_depth(max_rows: int, radix: int | None = None) -> int:
     return max(depth, 1)
 
 
+def series_stats(df: DataFrame) -> tuple[int, int]:
+    """Longest series (rows of one ticker, bounded by the days of history) and total rows.
+
+    One narrow aggregate: partial counts per ticker, then one row.
+    """
+    row = df.groupBy(W.PARTITION).count().agg(F.max("count").alias("m"), F.sum("count").alias("n")).first()
+    return (int(row["m"] or 1), int(row["n"] or 0)) if row else (1, 0)
+
+
 def max_series_rows(df: DataFrame) -> int:
-    """Longest series (rows of one ticker); bounded by the days of history."""
-    row = df.groupBy(W.PARTITION).count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 1) if row else 1
+    return series_stats(df)[0]
 
 
 def ewm_columns(df: DataFrame, specs: list[Ewm], depth: int, rn: str = "rn",
@@ -159,4 +166,4 @@ def ewm_reference(values, alpha: float, min_periods: int = 0):
     return out
 
 
-__all__ = ["Ewm", "ewm_columns", "ewm_reference", "max_series_rows", "scan_depth"]
+__all__ = ["Ewm", "ewm_columns", "ewm_reference", "max_series_rows", "scan_depth", "series_stats"]

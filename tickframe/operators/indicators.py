@@ -29,7 +29,7 @@ from ..functions import sqlexpr as X
 from ..functions import windows as W
 from ..schemas import (ALL_NULL_SUBSET, BAR_INPUT, INDICATOR_COLUMNS, TRAJECTORY_METRICS,
                        TRAJECTORY_WINDOWS)
-from .ewm import Ewm, ewm_columns, max_series_rows, scan_depth
+from .ewm import Ewm, ewm_columns, scan_depth, series_stats
 from .rolling import lag_name, mean_present_sql, trend_fit_sql, trend_parts_sql
 
 # EWM weights, spans and minimum periods of the indicator set.
@@ -208,23 +208,30 @@ def stage_wide(s3: DataFrame) -> DataFrame:
     )
 
 
+ROWS_PER_PARTITION = 2_000_000  # bars per task of the window stages (~1.6 GB of wide rows, streamed)
+
+
 def indicators(bars: DataFrame, depth: int | None = None, partitions: int | None = None,
                keep_rn: bool = False) -> DataFrame:
     """All 96 indicator columns for every bar (no row filter applied).
 
-    ``depth`` is the number of EWM scan rounds, ``ceil(log2(longest series))``;
-    when omitted it is measured with one small aggregate over ``bars``.
-    ``partitions`` sets the one hash exchange on ``ticker`` (default:
-    ``spark.sql.shuffle.partitions``).  It is fixed explicitly because the
-    shuffled bars are narrow while the rows the windows build are ~14x wider:
-    partitions sized by the shuffle alone would be too few.
+    ``depth`` is the number of EWM scan rounds, ``ceil(log4(longest series))``.
+    ``partitions`` sets the one hash exchange on ``ticker``.  When either is
+    omitted, one narrow aggregate over ``bars`` measures the longest series
+    and the row count; partitions are then ``max(default parallelism,
+    rows / ROWS_PER_PARTITION)``.  The count is fixed explicitly because the
+    shuffled bars are narrow while the rows the windows build are ~14x
+    wider (AQE would size by the former), and it does not depend on a
+    session-wide ``spark.sql.shuffle.partitions`` sized for other jobs.
     """
     spark = bars.sparkSession
     bars = bars.select(*BAR_INPUT)
-    if depth is None:
-        depth = scan_depth(max_series_rows(bars))
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bars = bars.repartition(n, W.PARTITION)
+    if depth is None or partitions is None:
+        longest, rows = series_stats(bars)
+        depth = depth or scan_depth(longest)
+        partitions = partitions or max(spark.sparkContext.defaultParallelism,
+                                       -(-rows // ROWS_PER_PARTITION), 1)
+    bars = bars.repartition(partitions, W.PARTITION)
     s3 = stage_second_ewm(stage_first_ewm(stage_moves(bars), depth), depth)
     cols = INDICATOR_COLUMNS + (["rn"] if keep_rn else [])
     return stage_wide(s3).select(*cols)
