@@ -42,3 +42,14 @@ def test_latest_screen_uses_scalar_subquery_and_topk(spark):
     ind = jobs.bulk_indicators(fixtures.bars_from_lineitem(spark, SF_SMALL), depth=5)
     p = plan(screens.attention_score(ind))
     assert "Subquery" in p and "TakeOrderedAndProject" in p
+
+
+def test_exchange_sized_from_data_not_session_default(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        p = plan(indicators(fixtures.bars_from_lineitem(spark, SF_SMALL)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    n = spark.sparkContext.defaultParallelism
+    assert f"hashpartitioning(ticker#" in p and f", {n}), REPARTITION_BY_NUM" in p
