@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import cross_parsing
+from tickframe.llm import cross_parsing, toxicity_cnn
 from tickframe.llm._common import fold, let_workers_import
 
 
@@ -16,6 +16,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity_cnn.ToxicityModel:
+    """Fitted on labelled documents whose fold of five is not 0."""
+    return toxicity_cnn.fit(docs, labels.where(fold(F.col("doc_id"), 5) != 0))
+
+
+def op5_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity_model(docs, _table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    return toxicity_cnn.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from documents whose fold of three is not 1."""
     docs = _table(spark, sf_dir, "documents")
@@ -27,6 +41,7 @@ def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_toxicity_cnn": op5_toxicity_cnn,
         "op10_cross_parsing": op10_cross_parsing,
     }
 
