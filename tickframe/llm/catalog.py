@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import cross_parsing, toxicity_cnn
+from tickframe.llm import cross_parsing, simhash_pivots, toxicity_cnn
 from tickframe.llm._common import fold, let_workers_import
 
 
@@ -16,6 +16,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document."""
+    found = simhash_pivots.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity_cnn.ToxicityModel:
     """Fitted on labelled documents whose fold of five is not 0."""
     return toxicity_cnn.fit(docs, labels.where(fold(F.col("doc_id"), 5) != 0))
@@ -41,6 +47,7 @@ def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_simhash_pivots": op1_simhash_pivots,
         "op5_toxicity_cnn": op5_toxicity_cnn,
         "op10_cross_parsing": op10_cross_parsing,
     }
