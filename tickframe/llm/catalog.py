@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import cross_parsing, simhash_pivots, toxicity_cnn
+from tickframe.llm import cover_dedup, cross_parsing, simhash_pivots, toxicity_cnn
 from tickframe.llm._common import fold, let_workers_import
 
 
@@ -36,6 +36,12 @@ def op5_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op7_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document, how many of them repeated passages take, and a digest of the rest."""
+    found = cover_dedup.remove_repetitions(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from documents whose fold of three is not 1."""
     docs = _table(spark, sf_dir, "documents")
@@ -49,6 +55,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_pivots": op1_simhash_pivots,
         "op5_toxicity_cnn": op5_toxicity_cnn,
+        "op7_cover_dedup": op7_cover_dedup,
         "op10_cross_parsing": op10_cross_parsing,
     }
 
