@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import cover_dedup, cross_parsing, simhash_pivots, toxicity_cnn
+from tickframe.llm import cover_dedup, cross_parsing, cutting_stock, simhash_pivots, toxicity_cnn
 from tickframe.llm._common import fold, let_workers_import
 
 
@@ -42,6 +42,11 @@ def op7_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op8_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return cutting_stock.pack(_table(spark, sf_dir, "documents"))
+
+
 def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from documents whose fold of three is not 1."""
     docs = _table(spark, sf_dir, "documents")
@@ -56,6 +61,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_simhash_pivots": op1_simhash_pivots,
         "op5_toxicity_cnn": op5_toxicity_cnn,
         "op7_cover_dedup": op7_cover_dedup,
+        "op8_cutting_stock": op8_cutting_stock,
         "op10_cross_parsing": op10_cross_parsing,
     }
 
