@@ -36,7 +36,6 @@ GRAIN = 8
 GAP = 0.002
 COLUMNS_PER_CLASS = 8
 ROUNDS = 2
-SMOOTHING = 0.7
 END_ID = 1
 BATCH_CHARS = 4_000_000
 
@@ -70,41 +69,42 @@ def solve_relaxed(demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
     """Patterns (rows) and how often each is used (fractions) so that every class meets its demand, by column generation."""
     rows = np.flatnonzero(demand)
     need = demand[rows].astype(float)
+    # a basis column is a pattern (cost 1) or the surplus of a class (cost 0, pattern -1)
     basis = np.zeros((len(rows), len(demand)), dtype=np.int64)
     basis[np.arange(len(rows)), rows] = capacity // (rows + 1)
+    cost = np.ones(len(rows))
     inverse = np.diag(1.0 / basis[np.arange(len(rows)), rows])
     used = inverse @ need
-    bound, centre = 0.0, np.zeros(len(demand))
+    bound = float(np.arange(1, len(demand) + 1) @ demand) / capacity
     for step in range(COLUMNS_PER_CLASS * len(rows)):
         duals = np.zeros(len(demand))
-        duals[rows] = np.maximum(inverse.sum(axis=0), 0)
-        # price at a point between the best dual values so far and the present ones, which swing widely; a pattern that
-        # doesn't improve the program is followed by one priced at the present values
-        for values in ((SMOOTHING * centre + (1 - SMOOTHING) * duals), duals):
-            value, pattern = price(values, capacity)
-            below = float(values[rows] @ need) / max(value, 1)  # no solution of the program can be smaller
-            if below > bound:
-                bound, centre = below, values / max(value, 1)
-            if duals @ pattern > 1 + 1e-7:
+        duals[rows] = cost @ inverse
+        if duals.min() < -1e-9:
+            pattern, price_of = np.zeros(len(demand), dtype=np.int64), 0.0
+            pattern[duals.argmin()] = -1
+        else:
+            value, pattern = price(duals, capacity)
+            bound = max(bound, float(duals[rows] @ need) / max(value, 1))  # no solution of the program can be smaller
+            price_of = 1.0
+            if cost @ used <= bound * (1 + GAP) or value <= 1 + 1e-7:
                 break
-        if used.sum() <= bound * (1 + GAP) or duals @ pattern <= 1 + 1e-7:
-            break
         column = inverse @ pattern[rows]
         grows = np.flatnonzero(column > 1e-9)
         if not len(grows):
             break
-        out = grows[np.argmin(used[grows] / column[grows])]
+        ratio = used[grows] / column[grows]
+        out = grows[np.flatnonzero(ratio <= ratio.min() + 1e-12)[-1]] if step % 2 else grows[ratio.argmin()]
         share = used[out] / column[out]
         used = np.maximum(used - share * column, 0)
         used[out] = share
         inverse[out] /= column[out]
         others = np.arange(len(rows)) != out
         inverse[others] -= np.outer(column[others], inverse[out])
-        basis[out] = pattern
-        if step % 200 == 199:  # against rounding errors of the updates
+        basis[out], cost[out] = pattern, price_of
+        if step % 100 == 99:  # against rounding errors of the updates
             inverse = np.linalg.inv(basis[:, rows].T.astype(float))
             used = np.maximum(inverse @ need, 0)
-    return basis, used
+    return basis[cost > 0], used[cost > 0]
 
 
 def plan(demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
