@@ -7,8 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import cover_dedup, cross_parsing, cutting_stock, simhash_pivots, toxicity_cnn
-from tickframe.llm._common import fold, let_workers_import
+from tickframe.llm import (
+    compression_bands,
+    cover_dedup,
+    cross_parsing,
+    cutting_stock,
+    kmeans_tree,
+    simhash_pivots,
+    token_files,
+    toxicity_cnn,
+    warc_revisit,
+)
+from tickframe.llm._common import fold, let_workers_import, scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +32,27 @@ def op1_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, written as token files and read from them."""
+    path = scratch_path(spark, "tokens")
+    token_files.write_tokens(_table(spark, sf_dir, "documents"), path)
+    return token_files.read_documents(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
+
+
+def op3_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document and whether the rules keep it."""
+    return compression_bands.rules(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def op4_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the archives that hold every page, read back and resolved."""
+    path = scratch_path(spark, "warc")
+    warc_revisit.write_archives(_table(spark, sf_dir, "pages"), path)
+    return warc_revisit.resolved(warc_revisit.read_records(spark, path)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity_cnn.ToxicityModel:
     """Fitted on labelled documents whose fold of five is not 0."""
     return toxicity_cnn.fit(docs, labels.where(fold(F.col("doc_id"), 5) != 0))
@@ -47,6 +78,12 @@ def op8_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cutting_stock.pack(_table(spark, sf_dir, "documents"))
 
 
+def op9_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every fiftieth vector among all vectors."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return kmeans_tree.neighbours(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from documents whose fold of three is not 1."""
     docs = _table(spark, sf_dir, "documents")
@@ -59,9 +96,13 @@ def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_pivots": op1_simhash_pivots,
+        "op2_token_files": op2_token_files,
+        "op3_compression_bands": op3_compression_bands,
+        "op4_warc_revisit": op4_warc_revisit,
         "op5_toxicity_cnn": op5_toxicity_cnn,
         "op7_cover_dedup": op7_cover_dedup,
         "op8_cutting_stock": op8_cutting_stock,
+        "op9_kmeans_tree": op9_kmeans_tree,
         "op10_cross_parsing": op10_cross_parsing,
     }
 
