@@ -16,6 +16,7 @@ from tickframe.llm import (
     simhash_pivots,
     token_files,
     toxicity_cnn,
+    unigram_pieces,
     warc_revisit,
 )
 from tickframe.llm._common import fold, let_workers_import, scratch_path
@@ -67,6 +68,16 @@ def op5_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op6_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, their digest, and whether decoding gives the text back."""
+    encoder = unigram_pieces.Encoder(unigram_pieces.read_vocabulary())
+    coded = unigram_pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), encoder)
+    found = unigram_pieces.decode(coded, encoder)
+    return found.select(
+        "doc_id", (F.length("pieces") / 4).cast("bigint").alias("n_pieces"), F.crc32("pieces").alias("ids_crc32"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 def op7_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document, how many of them repeated passages take, and a digest of the rest."""
     found = cover_dedup.remove_repetitions(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -100,6 +111,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_compression_bands": op3_compression_bands,
         "op4_warc_revisit": op4_warc_revisit,
         "op5_toxicity_cnn": op5_toxicity_cnn,
+        "op6_unigram_pieces": op6_unigram_pieces,
         "op7_cover_dedup": op7_cover_dedup,
         "op8_cutting_stock": op8_cutting_stock,
         "op9_kmeans_tree": op9_kmeans_tree,
