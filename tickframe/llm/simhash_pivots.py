@@ -52,6 +52,9 @@ CHANCE_PAIRS = 16
 BLOCK_ROWS = 1024
 
 FIELDS = [T.StructField("fp", T.LongType())]
+#: Smallest stand-in for a missing document id, and how many there are.
+_STAND_INS = 1 << 40
+_NO_ID = 2**63 - 1 - _STAND_INS
 
 
 def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -252,16 +255,44 @@ def _as_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+def _classes(prints: DataFrame, max_distance: int) -> DataFrame:
+    """(f, node, class_id) for each fingerprint f: its smallest doc_id, and the smallest of its component.
+
+    A fingerprint that only rows without doc_id have gets a stand-in of its own, larger than any id.
+    """
+    stand_in = F.lit(_NO_ID) + F.pmod(F.xxhash64("fp"), F.lit(_STAND_INS))
+    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+                    .select("fp", F.coalesce("least", stand_in).alias("node")), "simhash-nodes")
+    found = components(links(nodes, max_distance), "simhash-links")
+    return nodes.join(found, "node", "left").select(
+        F.col("fp").alias("f"), "node", F.coalesce("component", "node").alias("class_id"))
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs`` (doc_id, text).
 
     component_id is the smallest doc_id whose fingerprint can be reached by links, the row's own included.  Null and
     empty texts have fingerprint 0 and link like any other; rows with a null doc_id get the component of their
-    fingerprint, null if no row of the component has an id.  Repeated rows stay repeated.
+    fingerprint, null if no row of the component has an id.  Repeated rows stay repeated, and rows of one doc_id with
+    different texts join their fingerprints' components.
+    """
+    prints = written(fingerprints(docs.select("doc_id", "text"), shingle_words).select("doc_id", "fp"), "simhash")
+    component = F.when(F.col("class_id") < _NO_ID, F.col("class_id"))
+    return (prints.join(_classes(prints, max_distance), F.col("fp") == F.col("f"))
+            .select("doc_id", "fp", component.alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """``docs`` (doc_id, text and any other columns) with one row of each component: that of the smallest doc_id.
+
+    Of rows that share this doc_id one stays; of a component without any doc_id one row of one fingerprint.
     """
+    names = docs.columns
     prints = written(fingerprints(docs.select("doc_id", "text"), shingle_words).select("doc_id", "fp"), "simhash")
-    # a fingerprint's node is its smallest doc_id; two fingerprints of one repeated doc_id are joined through it
-    nodes = written(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash-nodes")
-    found = components(links(nodes.select("node", "fp"), max_distance), "simhash-links")
-    classes = (nodes.join(found, "node", "left").select(F.col("fp").alias("f"), F.coalesce("component", "node").alias("component_id")))
-    return prints.join(classes, F.col("fp") == F.col("f"), "left").select("doc_id", "fp", "component_id")
+    classes = written(_classes(prints, max_distance), "simhash-classes")
+    first = classes.where("node = class_id")
+    ids = first.where(F.col("node") < _NO_ID).select("node").distinct()
+    named = docs.join(ids, F.col("doc_id") == F.col("node"), "left_semi").dropDuplicates(["doc_id"])
+    unnamed = fingerprints(docs.where("doc_id is null"), shingle_words).join(
+        first.where(F.col("node") >= _NO_ID), F.col("fp") == F.col("f"), "left_semi").dropDuplicates(["fp"])
+    return named.select(*names).union(unnamed.select(*names))

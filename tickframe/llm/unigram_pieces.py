@@ -79,8 +79,8 @@ class DoubleArray:
         size = 2 * len(nodes) + 600
         self.base, self.check, self.value = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
         free = np.ones(size, dtype=bool)
-        free[0] = False
-        place, low = np.zeros(len(nodes), np.int64), 1
+        free[:258] = False  # so that any code's base is positive
+        place, low = np.zeros(len(nodes), np.int64), 258
         for node, moves in enumerate(nodes):  # parents come before children
             here = int(place[node])
             self.value[here] = ends.get(node, -1)
@@ -88,17 +88,16 @@ class DoubleArray:
                 continue
             while not free[low]:
                 low += 1
+            if low + 2048 > len(free):
+                self._grow()
+                free = np.concatenate([free, np.ones(len(self.base) - len(free), dtype=bool)])
             if len(moves) == 1:  # most nodes: the child takes the first free place behind its code
                 (c, child), = moves.items()
-                at = low if low > c + 1 else c + 2
-                while at < len(free) and not free[at]:
-                    at += 1
-                if at < len(free) - 257:
-                    self.base[here] = at - c - 1
-                    free[at], self.check[at], place[child] = False, here, at
-                    continue
+                self.base[here] = low - c - 1
+                free[low], self.check[low], place[child] = False, here, low
+                continue
             codes = np.fromiter(moves, dtype=np.int64) + 1
-            start = max(1, low - int(codes.max()))
+            start = low - int(codes.max())
             while True:  # the first base from which all children's places are free
                 if start + 1024 + 257 > len(free):
                     self._grow()
