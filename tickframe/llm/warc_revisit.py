@@ -121,7 +121,7 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REV
             for payload, *values in zip(byte_texts(batch.column("html")), *columns, strict=True):
                 if out is None:
                     name, records, size = f"{uuid.uuid4().hex}.warc.gz", 0, 0
-                    out = system.open_output_stream(f"{folder}/{name}")
+                    out = system.open_output_stream(f"{folder}/{name}", compression=None)
                 packer = zlib.compressobj(6, zlib.DEFLATED, 31)
                 member = packer.compress(_record(dict(zip(names, values, strict=True)), payload, stamp)) + packer.flush()
                 out.write(member)
