@@ -81,7 +81,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                 write_array(f"{path}/{name}.offsets", starts_of(np.asarray(read_array(f"{path}/{name}.lengths", "<i8"))) + base)
             yield batch
 
-    based.repartition("shard").mapInArrow(rebase, based.schema).write.parquet(f"{path}/manifest")
+    based.repartition(max(1, shards.count()), "shard").mapInArrow(rebase, based.schema).write.parquet(f"{path}/manifest")
     return spark.read.parquet(f"{path}/manifest")
 
 
@@ -107,6 +107,6 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                         ["doc_id", "start", "n_tokens", "tokens"])
 
     manifest = spark.read.parquet(f"{path}/manifest")
-    return (manifest.select("name", "dtype", "base").repartition("name")
+    return (manifest.select("name", "dtype", "base").repartition(max(1, manifest.count()), "name")  # a task per shard or so
             .mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, tokens binary"))
 
