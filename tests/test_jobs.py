@@ -4,11 +4,13 @@ import datetime as dt
 import math
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from tickframe.operators.indicators import indicators
 from tickframe.plans import jobs
-from tickframe.schemas import INDICATOR_COLUMNS, PAYLOAD
+from tickframe.schemas import BARS, INDICATOR_COLUMNS, PAYLOAD
 from tickframe.sources import fixtures, ingest, sink
 from tickframe.streaming import landed_days
 
@@ -140,7 +142,7 @@ def test_register_views_runs_sql(spark):
                    fixtures.instruments_from_supplier(spark, SF_SMALL))
     n = spark.sql("""SELECT count(*) FROM daily_indicators di JOIN financedatabase fd ON di.ticker = fd.ticker
                      WHERE di.market_date = (SELECT max(market_date) FROM daily_market_data)""").first()[0]
-    assert n >= 0
+    assert n > 0
 
 
 def test_command_line_modes(spark, capsys):
@@ -160,3 +162,62 @@ def test_command_line_modes(spark, capsys):
     assert main(["recalculate", "--bars", bars_path, "--indicators", ind_path]) == 0
     out = capsys.readouterr().out
     assert "business days without bars" in out and f"refreshed {days[-1]}" in out
+
+
+def test_full_refresh_keeps_no_other_date(spark):
+    path = tempfile.mkdtemp(prefix="tf-full-") + "/t"
+    d1, d2 = dt.date(2024, 1, 2), dt.date(2024, 1, 3)
+    both = ingest.clean_payload(payload_df(spark, [obj(d1, "A", 1.0), obj(d2, "A", 2.0)]))
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    for mode in ("static", "dynamic"):
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        try:
+            sink.replace_table(both, path)
+            sink.replace_table(both.where(F.col("market_date") == d1), path)
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+        assert [r["market_date"] for r in ingest.read_bars(spark, path).collect()] == [d1]
+
+
+def test_reset_empties_both_tables_and_days_can_follow(spark):
+    root = tempfile.mkdtemp(prefix="tf-reset-")
+    bars_path, ind_path = f"{root}/bars", f"{root}/ind"
+    day = dt.date(2024, 1, 2)
+    bars = ingest.clean_payload(payload_df(spark, [obj(day, "A", 1.0)]))
+    sink.replace_days(bars, bars_path)
+    sink.reset_all(spark, bars_path, ind_path)
+    assert ingest.read_bars(spark, bars_path).count() == 0 and sink.latest_date(spark, bars_path) is None
+    sink.replace_days(bars, bars_path)
+    assert [r["ticker"] for r in ingest.read_bars(spark, bars_path).collect()] == ["A"]
+    jobs.refresh_day(spark, bars_path, ind_path, day)  # the indicator table is empty, not missing
+
+
+def test_backfill_with_reset_keeps_only_landed_dates(spark):
+    root = tempfile.mkdtemp(prefix="tf-back-")
+    d1, d2 = dt.date(2024, 1, 2), dt.date(2024, 1, 3)
+    sink.replace_days(ingest.clean_payload(payload_df(spark, [obj(d1, "A", 1.0)])), f"{root}/bars")
+    landed_days.land(payload_df(spark, [obj(d2, "A", 1.0)]), f"{root}/land")
+    jobs.backfill(spark, f"{root}/land", f"{root}/bars", f"{root}/ind", reset=True)
+    assert [r["market_date"] for r in ingest.read_bars(spark, f"{root}/bars").collect()] == [d2]
+
+
+def test_duplicate_bars_and_short_scans_fail_the_job(spark):
+    day = dt.date(2024, 1, 2)
+    bars = ingest.clean_payload(payload_df(spark, [obj(day + dt.timedelta(days=i), "A", 1.0) for i in range(20)]))
+    with pytest.raises(Exception, match="duplicate key: A 2024-01-02"):
+        jobs.bulk_indicators(bars.union(bars.limit(1)), partitions=1).collect()
+    with pytest.raises(Exception, match="longer than the scan"):
+        indicators(bars, partitions=1, max_rows=4).collect()
+
+
+def test_only_a_missing_table_counts_as_none(spark):
+    root = tempfile.mkdtemp(prefix="tf-none-")
+    assert sink.stored_table(spark, f"{root}/none", BARS) is None
+    with pytest.raises(Exception):
+        sink.stored_table(spark, "nosuchscheme://x/t", BARS)
+
+
+def test_infinities_are_no_observations(spark):
+    day = dt.date(2024, 1, 2)
+    r = ingest.clean_payload(payload_df(spark, [obj(day, "A", 1.0, math.inf)])).first()
+    assert r["close"] is None and r["volume"] == 1.0

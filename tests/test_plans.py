@@ -9,6 +9,7 @@ from tickframe.operators import screens
 from tickframe.operators.indicators import indicators
 from tickframe.plans import jobs
 from tickframe.sources import fixtures, ingest, sink
+from tickframe.streaming import landed_days
 
 
 def plan(df) -> str:
@@ -19,7 +20,7 @@ def test_indicator_job_shuffles_once(spark):
     path = tempfile.mkdtemp(prefix="tf-plan-") + "/bars"
     sink.replace_days(fixtures.bars_from_lineitem(spark, SF_SMALL), path)
     bars = ingest.read_bars(spark, path)
-    p = plan(indicators(bars, depth=5))
+    p = plan(indicators(bars, partitions=2, max_rows=1000))
     assert p.count("Exchange hashpartitioning(ticker") == 1
     assert p.count("Exchange") == 1
     assert p.count("Sort [") == 1                    # one sort serves every window stage
@@ -39,7 +40,7 @@ def test_daily_slice_prunes_partitions(spark):
 
 
 def test_latest_screen_uses_scalar_subquery_and_topk(spark):
-    ind = jobs.bulk_indicators(fixtures.bars_from_lineitem(spark, SF_SMALL), depth=5)
+    ind = jobs.bulk_indicators(fixtures.bars_from_lineitem(spark, SF_SMALL))
     p = plan(screens.attention_score(ind))
     assert "Subquery" in p and "TakeOrderedAndProject" in p
 
@@ -53,3 +54,33 @@ def test_exchange_sized_from_data_not_session_default(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     n = spark.sparkContext.defaultParallelism
     assert f"hashpartitioning(ticker#" in p and f", {n}), REPARTITION_BY_NUM" in p
+
+
+def test_latest_date_comes_from_folder_names_and_one_partition_is_read(spark):
+    path = tempfile.mkdtemp(prefix="tf-plan-") + "/months"
+    months = fixtures.monthly_summary(fixtures.bars_from_lineitem(spark, SF_SMALL))
+    sink.replace_table(months, path)
+    day = sink.latest_date(spark, path)
+    assert day == months.agg(F.max("market_date")).first()[0]
+    df = screens.as_of_dates(spark.read.parquet(path), day)
+    text = plan(df)
+    assert text.count("FileScan") == 1 and "Subquery" not in text and f"= {day}" in text[text.index("PartitionFilters"):]
+    assert sink.latest_date(spark, path + "-none") is None
+
+
+def test_daily_formulas_run_behind_the_date_filter(spark):
+    bars = fixtures.bars_from_lineitem(spark, SF_SMALL)
+    text = plan(jobs.daily_indicators(bars, None, "1998-08-01", partitions=2))
+    # the last window operator is below the filter on the date, the 40 trends above it
+    assert text.index("Filter (market_date#") < text.index("Window [")
+    assert "SortAggregate" not in plan(jobs.obv_anchor(jobs.bulk_indicators(bars, partitions=2), "1998-08-01")).split("Window [")[0]
+
+
+def test_one_day_load_reads_one_folder(spark):
+    root = tempfile.mkdtemp(prefix="tf-land-")
+    landed_days.land(fixtures.payload_from_lineitem(spark, SF_SMALL).withColumn(
+        "market_date", F.trunc("market_date", "year")), root)
+    df = ingest.read_payload(spark, root, day="1995-01-01")
+    text = plan(df)
+    assert "PartitionFilters: [isnotnull(market_date" in text and "1995-01-01" in text
+    assert {str(r[0]) for r in df.select("market_date").distinct().collect()} == {"1995-01-01"}

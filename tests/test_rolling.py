@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickframe.operators.rolling import (lag_columns, mean_present, rolling_mean, rolling_std, row_index,
-                                         trend_fit, trend_parts, window_values)
+from tickframe.functions import sqlexpr as X
+from tickframe.operators.rolling import lag_columns, mean_present, trend_fit, trend_parts, window_values
 
 SCHEMA = T.StructType([T.StructField("ticker", T.StringType()), T.StructField("market_date", T.DateType()),
                        T.StructField("y", T.DoubleType())])
@@ -47,14 +47,21 @@ def test_flat_window_has_zero_r2(spark):
     assert last["s"] == 0.0 and last["r2"] == 0.0
 
 
-def test_guarded_mean_and_std(spark):
-    vals = [float(i) for i in range(1, 8)] + [None] + [8.0, 9.0, 10.0]
-    out = frame(spark, vals).select(rolling_mean("y", 3).alias("m"), rolling_std("y", 3).alias("s"),
-                                    row_index().alias("rn")).orderBy("rn").collect()
-    assert out[0]["m"] is None and out[1]["m"] is None
-    assert out[2]["m"] == 2.0 and abs(out[2]["s"] - 1.0) < 1e-12
-    assert out[8]["m"] is None  # window holds the null
-    assert out[10]["m"] == 9.0
+@pytest.mark.parametrize("n", [10, 50, 60])
+def test_block_means_equal_frames_with_nulls_and_outliers(spark, n):
+    rng = np.random.default_rng(n)
+    vals = [float(v) for v in rng.normal(10, 1, 260)]
+    vals[20], vals[90] = 1e16, None
+    df = frame(spark, vals).selectExpr("*", f"count(y) {X.RUNNING} AS n_y", f"{X.block_sum('y')} AS s_y")
+    rows = df.selectExpr("market_date", f"{X.mean_by_blocks('s_y', n, 'n_y')} AS m",
+                         f"{X.guarded_by_count('stddev_samp', 'y', n, 'n_y')} AS s").orderBy("market_date").collect()
+    for i, r in enumerate(rows):
+        win = vals[max(0, i - n + 1): i + 1]
+        if len(win) < n or None in win:
+            assert r["m"] is None and r["s"] is None
+        else:
+            assert r["m"] == pytest.approx(np.mean(win), rel=1e-12)
+            assert r["s"] == pytest.approx(np.std(win, ddof=1), rel=1e-6)
 
 
 def test_mean_present(spark):

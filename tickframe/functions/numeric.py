@@ -1,6 +1,6 @@
 """Column helpers for the null, division and rounding rules of the indicator maths.
 
-* Inputs hold NULL, never NaN (``nan_to_null`` at ingest).
+* Inputs hold NULL, never NaN or an infinity (``finite_or_null`` at ingest).
 * A zero divisor yields NULL (``safe_div``), as ANSI mode would raise.
 * Indicator rounding is half-to-even on the binary value: ``rint(x*10^d)/10^d``
   (``rnd``).  Screen rounding is half-up on the decimal value (``dec_round``).
@@ -27,17 +27,12 @@ def safe_div(num: Column | str, den: Column | str) -> Column:
     return F.try_divide(col(num), col(den))
 
 
-def pct_change(cur: Column | str, base: Column | str) -> Column:
-    """``(cur - base) / base * 100`` with NULL for a zero base."""
-    return safe_div(col(cur) - col(base), col(base)) * F.lit(100.0)
-
-
 def dec_round(c: Column | str, digits: int) -> Column:
     """Half-up rounding of the decimal value (SQL ``ROUND(CAST(x AS NUMERIC), d)``), as double."""
     return F.round(col(c).cast("decimal(38,12)"), digits).cast("double")
 
 
-def nan_to_null(c: Column | str) -> Column:
-    """NaN is not a missing value in Spark ordering; map it to NULL."""
+def finite_or_null(c: Column | str) -> Column:
+    """NaN and infinities are no observations: NULL (Spark would order NaN above every number)."""
     c = col(c)
-    return F.when(~F.isnan(c), c)
+    return F.when(~F.isnan(c) & (F.abs(c) < float("inf")), c)

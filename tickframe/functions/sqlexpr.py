@@ -3,9 +3,7 @@
 A stage with hundreds of expressions is handed to ``selectExpr`` as text:
 one call that the JVM parses, instead of one Python-to-JVM call per Column
 operation (thousands per stage), which made building the plan cost more
-than running it on small inputs.  Each builder produces the same expression
-tree as its Column counterpart in ``numeric``/``windows``, so results are
-identical.
+than running it on small inputs.
 """
 
 from __future__ import annotations
@@ -68,14 +66,21 @@ def guarded_by_count(fn: str, c: str, n: int, running_count: str, min_periods: i
     return f"CASE WHEN {in_frame} >= {m} THEN {fn}({c}) {trailing(n)} END"
 
 
-def mean_by_running_sum(c_sum: str, n: int, running_count: str) -> str:
-    """Mean of the last ``n`` rows when all ``n`` are present, from running sums.
+MEAN_BLOCK = 10
 
-    ``(S(i) - S(i-n)) / n`` with ``S`` the running sum: O(1) per row, where a
-    sliding ``avg`` frame is summed again for every row.  Exact for integer
-    data (volumes); for prices the difference of running sums is within a
-    few ulps of the running sum, far below the 4-digit rounding applied after.
+
+def block_sum(c: str) -> str:
+    """Sum of the last ``MEAN_BLOCK`` rows: the building block of the longer means."""
+    return f"sum({c}) {trailing(MEAN_BLOCK)}"
+
+
+def mean_by_blocks(block: str, n: int, running_count: str) -> str:
+    """Mean of the last ``n`` rows (a multiple of ``MEAN_BLOCK``) when all of them are present.
+
+    The sum of ``n / MEAN_BLOCK`` block sums read by lag, where a sliding
+    ``avg`` frame is summed again for every row.  Only rows of the frame
+    enter, so one bad value leaves the result ``n`` rows later.
     """
     in_frame = f"({running_count} - coalesce(lag({running_count}, {n}) {OVER}, 0))"
-    window_sum = f"({c_sum} - coalesce(lag({c_sum}, {n}) {OVER}, {num(0.0)}))"
-    return f"CASE WHEN {in_frame} >= {n} THEN {window_sum} / {num(float(n))} END"
+    blocks = total([f"lag({block}, {k}) {OVER}" if k else block for k in range(n - MEAN_BLOCK, -1, -MEAN_BLOCK)])
+    return f"CASE WHEN {in_frame} >= {n} THEN {blocks} / {num(float(n))} END"

@@ -82,17 +82,13 @@ def series_stats(df: DataFrame) -> tuple[int, int]:
     return (int(row["m"] or 1), int(row["n"] or 0)) if row else (1, 0)
 
 
-def max_series_rows(df: DataFrame) -> int:
-    return series_stats(df)[0]
-
-
 def ewm_columns(df: DataFrame, specs: list[Ewm], depth: int, rn: str = "rn",
                 extra: list[str] | tuple = (), radix: int | None = None) -> DataFrame:
     """Add one column per spec (unrounded EWM, NULL before ``min_periods`` observations).
 
     ``df`` must carry ``ticker``, ``market_date`` and the 0-based row ordinal
     ``rn``; ``depth`` rounds of radix ``radix`` must cover the longest series
-    (``scan_depth``).  ``extra`` (SQL ``expr AS name``) window columns are
+    (``scan_depth``): a row beyond their reach fails the job.  ``extra`` (SQL ``expr AS name``) window columns are
     computed in the first pass.  Each pass is one ``selectExpr``.
     """
     radix = radix or RADIX
@@ -142,7 +138,8 @@ def ewm_columns(df: DataFrame, specs: list[Ewm], depth: int, rn: str = "rn",
     final = []
     for s in specs:
         m = max(s.min_periods, 1)
-        final.append(f"CASE WHEN _n_{s.source} >= {m} THEN _b_{s.name} END AS {s.name}")
+        final.append(f"CASE WHEN {rn} >= {radix ** depth} THEN CAST(raise_error('series longer than the scan reaches') AS DOUBLE) "
+                     f"WHEN _n_{s.source} >= {m} THEN _b_{s.name} END AS {s.name}")
     drop = {f"_n_{src}" for src in sources} | {f"_b_{s.name}" for s in specs}
     return df.selectExpr(*[X.q(c) for c in df.columns if c not in drop], *final)
 
@@ -166,4 +163,4 @@ def ewm_reference(values, alpha: float, min_periods: int = 0):
     return out
 
 
-__all__ = ["Ewm", "ewm_columns", "ewm_reference", "max_series_rows", "scan_depth", "series_stats"]
+__all__ = ["Ewm", "ewm_columns", "ewm_reference", "scan_depth", "series_stats"]

@@ -17,7 +17,8 @@ Stages (a later stage needs rounded outputs of an earlier one):
 3. 2 second-level EWMs (MACD signal on rounded MACD, ADX on DX) with the
    first differences of rounded RVOL, RSI and ATR;
 4. lags 5/21, rolling means / std of close and volume, MACD histogram
-   change, 3-row means, and the rolling regressions of five metrics.
+   change, 3-row means, and the rolling regressions of five metrics; all
+   windows first, then the formulas of one row each.
 """
 
 from __future__ import annotations
@@ -63,10 +64,15 @@ def _rsi(gain: str, loss: str) -> str:
 
 
 def stage_moves(bars: DataFrame) -> DataFrame:
-    """Stage 1: the EWM inputs; one Window operator, then row-local formulas."""
+    """Stage 1: the EWM inputs; one Window operator, then row-local formulas.
+
+    A (ticker, market_date) that occurs twice fails the job here: the rows
+    are sorted by it, so the check costs one lag and no pass of its own.
+    """
     s = bars.selectExpr(
         *BAR_INPUT,
-        f"CAST(row_number() {X.OVER} - 1 AS INT) AS rn",
+        f"CAST(row_number() {X.OVER} - 1 AS INT) AS _rn",
+        f"{X.lag('market_date')} AS _prev_date",
         f"{X.lag('close')} AS prev_close",
         f"{X.lag('high')} AS _prev_high",
         f"{X.lag('low')} AS _prev_low",
@@ -76,7 +82,10 @@ def stage_moves(bars: DataFrame) -> DataFrame:
     delta = "(close - prev_close)"
     up, down = "(high - _prev_high)", "(_prev_low - low)"
     return s.selectExpr(
-        "ticker", "market_date", "rn", "open", "high", "low", "close", "volume", "prev_close",
+        "ticker", "market_date",
+        "CASE WHEN _prev_date = market_date "
+        "THEN CAST(raise_error(concat('duplicate key: ', ticker, ' ', market_date)) AS INT) ELSE _rn END AS rn",
+        "open", "high", "low", "close", "volume", "prev_close",
         "greatest(high - low, abs(high - prev_close), abs(low - prev_close)) AS true_range",
         f"CASE WHEN {delta} IS NOT NULL THEN greatest({delta}, {zero}) END AS up_move",
         f"CASE WHEN {delta} IS NOT NULL THEN -least({delta}, {zero}) END AS down_move",
@@ -91,7 +100,7 @@ def stage_first_ewm(s1: DataFrame, depth: int) -> DataFrame:
     """Stage 2: first-level EWMs and running OBV, then the formulas built on them."""
     obv = f"CASE WHEN obv_change IS NOT NULL THEN sum(obv_change) {X.RUNNING} END AS obv"
     counts = [f"count(close) {X.RUNNING} AS n_close", f"count(volume) {X.RUNNING} AS n_volume",
-              f"sum(close) {X.RUNNING} AS s_close", f"sum(volume) {X.RUNNING} AS s_volume"]
+              f"{X.block_sum('close')} AS s_close", f"{X.block_sum('volume')} AS s_volume"]
     s2 = ewm_columns(s1, FIRST_LEVEL, depth, extra=[obv, *counts])
     h, two = X.num(100.0), X.num(2.0)
     atr = {n: X.rnd(f"_atr_{n}", 4) for n in ATR_PERIODS}
@@ -150,28 +159,32 @@ def stage_second_ewm(s2: DataFrame, depth: int) -> DataFrame:
     )
 
 
-def stage_wide(s3: DataFrame) -> DataFrame:
-    """Stage 4: the remaining lags and rolling windows, then the row-local outputs."""
+def stage_wide_windows(s3: DataFrame) -> DataFrame:
+    """Stage 4, windows: the remaining lags and rolling windows."""
     widest = max(TRAJECTORY_WINDOWS)
     lags = [f"{X.lag(m, k)} AS {lag_name(m, k)}" for m in TRAJECTORY_METRICS for k in range(1, widest)]
-    w = s3.selectExpr(
+    return s3.selectExpr(
         "*",
         f"{X.lag('close', 5)} AS _close_l5",
         f"{X.lag('close', 21)} AS _close_l21",
         f"{X.lag('volume', 5)} AS _vol_l5",
         f"{X.lag('volume', 21)} AS _vol_l21",
-        f"{X.mean_by_running_sum('s_close', 50, 'n_close')} AS _sma_50",
-        f"{X.mean_by_running_sum('s_close', 200, 'n_close')} AS _sma_200",
+        f"{X.mean_by_blocks('s_close', 50, 'n_close')} AS _sma_50",
+        f"{X.mean_by_blocks('s_close', 200, 'n_close')} AS _sma_200",
         f"{X.guarded_by_count('avg', 'close', 20, 'n_close')} AS _sma_20",
         f"{X.guarded_by_count('stddev_samp', 'close', 20, 'n_close')} AS _std_20",
-        f"{X.mean_by_running_sum('s_volume', 10, 'n_volume')} AS _vol_sma_10",
-        f"{X.mean_by_running_sum('s_volume', 60, 'n_volume')} AS _vol_sma_60",
+        f"{X.mean_by_blocks('s_volume', 10, 'n_volume')} AS _vol_sma_10",
+        f"{X.mean_by_blocks('s_volume', 60, 'n_volume')} AS _vol_sma_60",
         f"{X.lag('volume_dod_pct', 1)} AS _vdp_l1",
         f"{X.lag('volume_dod_pct', 2)} AS _vdp_l2",
         f"{X.lag('rsi_14_dod_diff', 1)} AS _rdd_l1",
         f"{X.lag('rsi_14_dod_diff', 2)} AS _rdd_l2",
         *lags,
     )
+
+
+def stage_wide_outputs(w: DataFrame) -> DataFrame:
+    """Stage 4, outputs: formulas of one row each, so rows may be filtered before."""
     w = w.selectExpr("*", *[p for m in TRAJECTORY_METRICS for n in TRAJECTORY_WINDOWS for p in trend_parts_sql(m, n)])
     two = X.num(2.0)
     sma_50, sma_200 = X.rnd("_sma_50", 4), X.rnd("_sma_200", 4)
@@ -211,30 +224,37 @@ def stage_wide(s3: DataFrame) -> DataFrame:
 ROWS_PER_PARTITION = 2_000_000  # bars per task of the window stages (~1.6 GB of wide rows, streamed)
 
 
-def indicators(bars: DataFrame, depth: int | None = None, partitions: int | None = None,
-               keep_rn: bool = False) -> DataFrame:
-    """All 96 indicator columns for every bar (no row filter applied).
-
-    ``depth`` is the number of EWM scan rounds, ``ceil(log4(longest series))``.
-    ``partitions`` sets the one hash exchange on ``ticker``.  When either is
-    omitted, one narrow aggregate over ``bars`` measures the longest series
-    and the row count; partitions are then ``max(default parallelism,
-    rows / ROWS_PER_PARTITION)``.  The count is fixed explicitly because the
-    shuffled bars are narrow while the rows the windows build are ~14x
-    wider (AQE would size by the former), and it does not depend on a
-    session-wide ``spark.sql.shuffle.partitions`` sized for other jobs.
+def windowed(bars: DataFrame, max_rows: int | None = None, partitions: int | None = None) -> DataFrame:
+    """Bars with all window columns of the 96 outputs; ``stage_wide_outputs`` finishes any subset of the rows.
+
+    The number of EWM rounds follows the longest series: ``max_rows`` where
+    the caller knows a bound (a longer series fails the job, see
+    ``ewm_columns``), else measured.  ``partitions`` sets the one hash
+    exchange on ``ticker``.  When either is omitted, one narrow aggregate over
+    ``bars`` measures the longest series and the row count; partitions are
+    then ``max(default parallelism, rows / ROWS_PER_PARTITION)``.  The count is
+    fixed explicitly because the shuffled bars are narrow while the rows the
+    windows build are ~14x wider (AQE would size by the former), and it does
+    not depend on a session-wide ``spark.sql.shuffle.partitions`` sized for
+    other jobs.
     """
     spark = bars.sparkSession
     bars = bars.select(*BAR_INPUT)
-    if depth is None or partitions is None:
+    if max_rows is None or partitions is None:
         longest, rows = series_stats(bars)
-        depth = depth or scan_depth(longest)
+        max_rows = max_rows or longest
         partitions = partitions or max(spark.sparkContext.defaultParallelism,
                                        -(-rows // ROWS_PER_PARTITION), 1)
+    depth = scan_depth(max_rows)
     bars = bars.repartition(partitions, W.PARTITION)
-    s3 = stage_second_ewm(stage_first_ewm(stage_moves(bars), depth), depth)
+    return stage_wide_windows(stage_second_ewm(stage_first_ewm(stage_moves(bars), depth), depth))
+
+
+def indicators(bars: DataFrame, partitions: int | None = None, max_rows: int | None = None,
+               keep_rn: bool = False) -> DataFrame:
+    """All 96 indicator columns for every bar (no row filter applied); see ``windowed`` for the arguments."""
     cols = INDICATOR_COLUMNS + (["rn"] if keep_rn else [])
-    return stage_wide(s3).select(*cols)
+    return stage_wide_outputs(windowed(bars, max_rows, partitions)).select(*cols)
 
 
 def drop_all_null(ind: DataFrame) -> DataFrame:

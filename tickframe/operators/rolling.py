@@ -21,25 +21,6 @@ def lag(c: Column | str, n: int = 1) -> Column:
     return F.lag(col(c), n).over(W.by_ticker())
 
 
-def row_index() -> Column:
-    """0-based ordinal of the row within its ticker."""
-    return (F.row_number().over(W.by_ticker()) - 1).cast("int")
-
-
-def rolling_mean(c: Column | str, n: int, min_periods: int | None = None) -> Column:
-    """Mean of the last ``n`` rows, NULL unless at least ``min_periods`` are non-null."""
-    m = n if min_periods is None else min_periods
-    frame = W.trailing(n)
-    return F.when(F.count(col(c)).over(frame) >= m, F.avg(col(c)).over(frame))
-
-
-def rolling_std(c: Column | str, n: int, min_periods: int | None = None) -> Column:
-    """Sample standard deviation (ddof 1) of the last ``n`` rows, guarded like ``rolling_mean``."""
-    m = n if min_periods is None else min_periods
-    frame = W.trailing(n)
-    return F.when(F.count(col(c)).over(frame) >= m, F.stddev_samp(col(c)).over(frame))
-
-
 def lag_name(metric: str, k: int) -> str:
     return f"_lag{k}_{metric}"
 

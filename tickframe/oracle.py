@@ -3,16 +3,46 @@
 This is the independent check of the Spark jobs: plain window SQL for the
 row-window indicators and a recursive CTE that folds each ticker's rows one
 by one for the exponentially weighted means (the sequential definition,
-against which the Spark prefix scan is compared).  Tables ``lineitem``,
+against which the Spark prefix scan is compared).  Trends are sums written
+out, not SQL's regression aggregates: slopes of rounded values lie on ties of
+the 4-digit rounding, which only the same sums decide alike.  Periods, weights and column names are written out here
+and not taken from the operators.  Tables ``lineitem``,
 ``supplier``, ``nation`` and ``region`` are DuckDB views.
 """
 
 from __future__ import annotations
 
-from .operators.indicators import (ADX_PERIOD, ATR_PERIODS, EMA_SPANS, KELTNER_ATR_PERIOD,
-                                   MACD_SIGNAL_SPAN, RSI_PERIODS, VOLUME_EMA_SPANS)
-from .operators.ewm import Ewm
-from .schemas import ALL_NULL_SUBSET, INDICATOR_COLUMNS, TRAJECTORY_METRICS, TRAJECTORY_WINDOWS
+from typing import NamedTuple
+
+# Output columns in order, as text.
+INDICATOR_COLUMNS = """
+ticker market_date close prev_close gap_pct price_change_dod_pct price_change_wow_pct price_change_mom_pct
+open_to_close_pct atr_14 atr_14_pct atr_5 atr_21 atr_5_21_dist_pct sma_50 sma_50_dist_pct sma_200 sma_200_dist_pct
+ema_9 ema_21 ema_9_21_dist_pct macd macd_signal macd_hist bb_mid bb_upper bb_lower kc_mid kc_upper kc_lower
+rsi_14 rsi_5 rsi_21 rsi_5_21_diff adx_14 plus_di minus_di obv vol_ema_5 vol_sma_10 vol_ema_21 vol_sma_60
+vol_5_21_dist_pct rvol_ema_5 rvol_sma_10 rvol_ema_21 rvol_sma_60 rvol_ema_5_dod_diff volume_dod_pct volume_wow_pct
+volume_mom_pct rsi_14_dod_diff macd_hist_dod_diff atr_14_dod_pct volume_dod_sma_3 rsi_velocity_3d
+""".split() + [f"{m}_{kind}_{n}d" for m in ("close", "rsi_14", "obv", "macd_hist", "atr_14")
+               for n in (3, 5, 10, 21) for kind in ("slope", "r2")]
+TREND_METRICS = ["close", "rsi_14", "obv", "macd_hist", "atr_14"]
+
+
+class Fold(NamedTuple):
+    """An exponentially weighted mean: new weight ``alpha``, first value after ``min_periods`` observations."""
+
+    name: str
+    source: str
+    alpha: float
+    min_periods: int = 0
+
+
+def spans(name: str, source: str, span: int) -> Fold:
+    return Fold(name, source, 1.0 / (1.0 + (span - 1) / 2.0))
+
+
+def periods(name: str, source: str, n: int) -> Fold:
+    # 1 / n by way of the centre of mass, for the same double as the definition
+    return Fold(name, source, 1.0 / (1.0 + (1.0 / (1.0 / n) - 1.0)), n)
 
 
 def lit(x: float) -> str:
@@ -60,7 +90,7 @@ SELECT ticker, market_date, open, high, low, close, volume, vwap,
        epoch_ms(CAST(market_date AS TIMESTAMP)) AS "timestamp", transactions,
        CAST(market_date AS TIMESTAMP) AS datetime
 FROM (
-  SELECT CAST(l_suppkey AS VARCHAR) AS ticker, CAST(l_shipdate AS DATE) AS market_date,
+  SELECT unnested AS ticker, CAST(l_shipdate AS DATE) AS market_date,
          arg_min(l_extendedprice / NULLIF(l_quantity, 0),
                  struct_pack(a := l_orderkey, b := l_linenumber, c := l_partkey, d := l_extendedprice)) AS open,
          max(l_extendedprice / NULLIF(l_quantity, 0)) AS high,
@@ -70,22 +100,21 @@ FROM (
          sum(l_quantity) AS volume,
          CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / NULLIF(sum(l_quantity), 0) AS vwap,
          CAST(count(*) AS DOUBLE) AS transactions
-  FROM lineitem
+  FROM (SELECT *, CAST(l_suppkey AS VARCHAR) AS unnested FROM lineitem UNION ALL SELECT *, l_returnflag FROM lineitem) li
   WHERE l_suppkey IS NOT NULL AND l_shipdate IS NOT NULL
   GROUP BY 1, 2
 ) g
 """
 
 INSTRUMENTS_SQL = """
-SELECT CAST(s.s_suppkey AS VARCHAR) AS ticker, s.s_name AS name, 'Equity' AS asset_class,
-       r.r_name AS sector, n.n_name AS industry_group, n.n_name AS industry,
+SELECT CAST(s.s_suppkey AS VARCHAR) AS ticker, CASE WHEN s.s_suppkey % 10 <> 3 THEN s.s_name END AS name,
+       'Equity' AS asset_class, CASE WHEN s.s_suppkey % 10 <> 7 THEN r.r_name END AS sector, n.n_name AS industry_group, n.n_name AS industry,
        'X' || CAST(n.n_regionkey AS VARCHAR) AS exchange, r.r_name AS market, n.n_name AS country,
        'USD' AS currency, CASE WHEN s.s_acctbal >= 5000 THEN 'Large Cap' ELSE 'Small Cap' END AS market_cap,
        concat_ws(' ', s.s_name, 'in', n.n_name) AS summary
 FROM supplier s
 LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
 LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
-WHERE s.s_acctbal >= 0
 """
 
 PAYLOAD_SQL = """
@@ -104,7 +133,7 @@ FROM lineitem
 
 
 # --------------------------------------------------------------------------- EWM fold
-def _ewm_fold(cte: str, source: str, specs: list[Ewm], carry: list[str]) -> str:
+def _ewm_fold(cte: str, source: str, specs: list[Fold], carry: list[str]) -> str:
     """Recursive CTE stepping each ticker's rows in order, one state triple per series."""
     anchor, step = [], []
     for s in specs:
@@ -130,29 +159,27 @@ def _ewm_fold(cte: str, source: str, specs: list[Ewm], carry: list[str]) -> str:
 )"""
 
 
-def _ewm_out(s: Ewm) -> str:
+def _ewm_out(s: Fold) -> str:
     return f"CASE WHEN n_{s.name} >= {max(s.min_periods, 1)} THEN w_{s.name} END"
 
 
-def _specs():
-    first = (
-        [Ewm.span(f"{n}", "close", sp) for n, sp in EMA_SPANS.items()]
-        + [Ewm.weight(f"atr{n}", "true_range", 1.0 / n, n) for n in ATR_PERIODS + [KELTNER_ATR_PERIOD]]
-        + [Ewm.span(f"{n}", "volume", sp) for n, sp in VOLUME_EMA_SPANS.items()]
-        + [Ewm.weight(f"gain{n}", "up_move", 1.0 / n, n) for n in RSI_PERIODS]
-        + [Ewm.weight(f"loss{n}", "down_move", 1.0 / n, n) for n in RSI_PERIODS]
-        + [Ewm.weight("pdm", "plus_dm", 1.0 / ADX_PERIOD, ADX_PERIOD),
-           Ewm.weight("mdm", "minus_dm", 1.0 / ADX_PERIOD, ADX_PERIOD)]
-    )
-    second = [Ewm.span("macd_signal", "macd", MACD_SIGNAL_SPAN),
-              Ewm.weight("adx", "dx", 1.0 / ADX_PERIOD, ADX_PERIOD)]
-    return first, second
+FIRST_FOLDS = [
+    spans("ema_9", "close", 9), spans("ema_21", "close", 21), spans("ema_12", "close", 12), spans("ema_26", "close", 26),
+    spans("kc_mid", "close", 20),
+    periods("atr14", "true_range", 14), periods("atr5", "true_range", 5), periods("atr21", "true_range", 21),
+    periods("atr10", "true_range", 10),
+    spans("vol_ema_5", "volume", 5), spans("vol_ema_21", "volume", 21),
+    periods("gain14", "up_move", 14), periods("gain5", "up_move", 5), periods("gain21", "up_move", 21),
+    periods("loss14", "down_move", 14), periods("loss5", "down_move", 5), periods("loss21", "down_move", 21),
+    periods("pdm", "plus_dm", 14), periods("mdm", "minus_dm", 14),
+]
+SECOND_FOLDS = [spans("macd_signal", "macd", 9), periods("adx", "dx", 14)]
 
 
 def indicator_ctes(bars: str = "bars", prefix: str = "") -> list[str]:
     """CTEs ending in ``{prefix}ind`` (all 96 columns, every bar) over the bar CTE ``bars``."""
     p = prefix
-    first, second = _specs()
+    first, second = FIRST_FOLDS, SECOND_FOLDS
     s0 = f"""{p}s0 AS (
   SELECT ticker, market_date, open, high, low, close, volume,
          CAST(row_number() {over()} - 1 AS INTEGER) AS rn,
@@ -201,7 +228,7 @@ def indicator_ctes(bars: str = "bars", prefix: str = "") -> list[str]:
 )"""
     fold1 = _ewm_fold(f"{p}e1", f"{p}s1b", first, [])
     e = {s.name: _ewm_out(s) for s in first}
-    atr = {n: rnd(e[f"atr{n}"], 4) for n in ATR_PERIODS}
+    atr = {n: rnd(e[f"atr{n}"], 4) for n in (14, 5, 21)}
 
     def rsi(n):
         up, dn = e[f"gain{n}"], e[f"loss{n}"]
@@ -220,8 +247,8 @@ def indicator_ctes(bars: str = "bars", prefix: str = "") -> list[str]:
          {ema9} AS ema_9, {ema21} AS ema_21, {rnd(pct(ema9, ema21), 2)} AS ema_9_21_dist_pct,
          {rnd(f"({e['ema_12']}) - ({e['ema_26']})", 4)} AS macd,
          {kc_mid} AS kc_mid,
-         {rnd(f"{kc_mid} + {lit(2.0)} * ({e[f'atr{KELTNER_ATR_PERIOD}']})", 4)} AS kc_upper,
-         {rnd(f"{kc_mid} - {lit(2.0)} * ({e[f'atr{KELTNER_ATR_PERIOD}']})", 4)} AS kc_lower,
+         {rnd(f"{kc_mid} + {lit(2.0)} * ({e['atr10']})", 4)} AS kc_upper,
+         {rnd(f"{kc_mid} - {lit(2.0)} * ({e['atr10']})", 4)} AS kc_lower,
          {rsi(14)} AS rsi_14, {rsi(5)} AS rsi_5, {rsi(21)} AS rsi_21,
          {rnd(f"{rsi(5)} - {rsi(21)}", 2)} AS rsi_5_21_diff,
          {plus_di} AS plus_di, {minus_di} AS minus_di,
@@ -248,8 +275,8 @@ def indicator_ctes(bars: str = "bars", prefix: str = "") -> list[str]:
          {rnd(e2['adx'], 2)} AS adx_14
   FROM {p}s4 b JOIN {p}e2 x ON x.ticker = b.ticker AND x.rn = b.rn
 )"""
-    widest = max(TRAJECTORY_WINDOWS)
-    lag_cols = [f"lag({m}, {k}) {over()} AS l{k}_{m}" for m in TRAJECTORY_METRICS for k in range(1, widest)]
+    widest = 21
+    lag_cols = [f"lag({m}, {k}) {over()} AS l{k}_{m}" for m in TREND_METRICS for k in range(1, widest)]
 
     def vals(m, n):
         return [f"l{n - 1 - j}_{m}" if j < n - 1 else m for j in range(n)]
@@ -261,8 +288,8 @@ def indicator_ctes(bars: str = "bars", prefix: str = "") -> list[str]:
         return out
 
     parts, traj = [], []
-    for m in TRAJECTORY_METRICS:
-        for n in TRAJECTORY_WINDOWS:
+    for m in TREND_METRICS:
+        for n in (3, 5, 10, 21):
             v = vals(m, n)
             sxy = total([f"({x} * {lit(j - (n - 1) / 2.0)})" for j, x in enumerate(v)])
             parts += [f"({total(v)} / {lit(float(n))}) AS mean_{m}_{n}", f"{sxy} AS sxy_{m}_{n}"]
@@ -301,7 +328,7 @@ def indicator_ctes(bars: str = "bars", prefix: str = "") -> list[str]:
 
 def all_null_filter(alias: str = "") -> str:
     a = f"{alias}." if alias else ""
-    return "NOT (" + " AND ".join(f"{a}{c} IS NULL" for c in ALL_NULL_SUBSET) + ")"
+    return f"coalesce({a}atr_14, {a}sma_50, {a}sma_200, {a}rvol_ema_5, {a}rsi_14) IS NOT NULL"
 
 
 def with_ctes(ctes: list[str], body: str) -> str:

@@ -8,6 +8,8 @@ scale factor, as jobs and screens would read the stored tables.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +17,15 @@ from pyspark.sql import functions as F
 
 from .. import oracle as O
 from ..operators import screens as S
-from ..session import configure
-from ..sources import fixtures, ingest
+from ..session import checkpoint_dir, configure
+from ..sources import fixtures, ingest, sink
 from ..sources.sink import duplicate_keys
+from ..streaming import landed_days
 from . import jobs, quality
 
 # ----------------------------------------------------------------------------- shared inputs
 _TABLES: dict[tuple[str, ...], DataFrame] = {}
+_LATEST: dict[tuple[str, ...], dt.date | None] = {}
 
 
 def bars(spark: SparkSession, sf: str) -> DataFrame:
@@ -46,6 +50,53 @@ def indicator_table(spark: SparkSession, sf: str) -> DataFrame:
     return _TABLES[key]
 
 
+def latest(spark: SparkSession, sf: str) -> dt.date | str:
+    """Latest date of the indicator table, read once per session and then passed to the screens as a literal.
+
+    A stored table has it in its folder names (``sink.latest_date``); the checkpointed one is asked for it.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LATEST:
+        _LATEST[key] = indicator_table(spark, sf).agg(F.max("market_date")).first()[0]
+    return _LATEST[key] or "latest"
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    return f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def refreshed_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """I-5: a monthly summary of all bars written as a table, then replaced by one without the months from 1997 on."""
+    path = scratch(spark, "refresh")
+    months = fixtures.monthly_summary(bars(spark, sf))
+    sink.replace_table(months, path)
+    sink.replace_table(months.where(F.col("market_date") < F.lit("1997-01-01").cast("date")), path)
+    return spark.read.parquet(path)
+
+
+def one_day_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Q-11: all payload objects landed in a folder per month; the bar table after loading the folder of one of them."""
+    landing, table = scratch(spark, "landing"), scratch(spark, "bars")
+    payload = fixtures.payload_from_lineitem(spark, sf)
+    landed_days.land(payload.withColumn("market_date", F.trunc("market_date", "month")).hint("rebalance", "market_date"), landing)
+    return jobs.load_days(spark, landing, table, day=ONE_DAY)
+
+
+def new_tickers_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Q-10 where tickers ending in 7 are new: the stored table has no anchor for them (J-5)."""
+    stored = indicator_table(spark, sf).where(~F.col("ticker").endswith("7"))
+    return jobs.daily_indicators(bars(spark, sf), stored, bars(spark, sf).agg(F.max("market_date")).first()[0])
+
+
+def gaps_in_range(spark: SparkSession, sf: str) -> DataFrame:
+    """I-12 over a range that begins and ends 30 days beyond the bars."""
+    b = bars(spark, sf)
+    return ingest.missing_business_days(spark, b, F.date_sub(b.select(F.min("market_date")).scalar(), 30),
+                                        F.date_add(b.select(F.max("market_date")).scalar(), 30))
+
+
+ONE_DAY = "1995-06-01"
+
 # Screen variants for the fixture data (the reference literals
 # name no sector or country of the fixture, and its latest day is sparse).
 LOOSE_SQUEEZE = {"vol_min": 10.0, "atr_max": -5.0, "sma_band": 8.0, "rsi_lo": 40.0, "rsi_hi": 60.0}
@@ -92,33 +143,39 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "payload_duplicate_keys": lambda s, sf: duplicate_keys(
             fixtures.payload_from_lineitem(s, sf).where(F.col("ticker").isNotNull()),
             ["market_date", "ticker"]),
-        "bar_duplicate_keys": lambda s, sf: quality.key_check(bars(s, sf)),
-        "missing_business_days": lambda s, sf: ingest.missing_business_days(s, bars(s, sf)),
+        "bar_duplicate_keys": lambda s, sf: quality.key_check(bars(s, sf).union(bars(s, sf).where("volume > 60"))),
+        "missing_business_days": gaps_in_range,
+        "full_refresh": refreshed_twice,
+        "one_day_load": one_day_load,
         "indicators_full": lambda s, sf: T(s, sf),
         **{name: _family(cols) for name, cols in FAMILIES.items()},
         "indicator_invariants": lambda s, sf: quality.invariant_violations(T(s, sf)),
         "obv_anchor": lambda s, sf: jobs.obv_anchor(T(s, sf), T(s, sf).select(F.max("market_date")).scalar()),
         "daily_build": _daily(jobs.DAILY_LOOKBACK_DAYS),
         "daily_build_full_history": _daily(100000),
-        "attention_score": lambda s, sf: S.attention_score(T(s, sf)),
+        "daily_build_new_tickers": new_tickers_daily,
+        "attention_score": lambda s, sf: S.attention_score(T(s, sf), latest(s, sf)),
+        "attention_score_all_top3": lambda s, sf: S.attention_score(T(s, sf), as_of="all", k=3),
         "attention_score_all": lambda s, sf: S.attention_score(T(s, sf), as_of="all"),
-        "attention_score_enhanced": lambda s, sf: S.enhanced_attention_score(T(s, sf), I(s, sf)),
+        "attention_score_enhanced": lambda s, sf: S.enhanced_attention_score(T(s, sf), I(s, sf), latest(s, sf)),
+        "attention_score_enhanced_all_top1": lambda s, sf: S.enhanced_attention_score(
+            T(s, sf), I(s, sf), as_of="all", k=1, country=FIXTURE_COUNTRY, sector=FIXTURE_SECTOR),
         "attention_score_enhanced_all_fixture": lambda s, sf: S.enhanced_attention_score(
             T(s, sf), I(s, sf), as_of="all", country=FIXTURE_COUNTRY, sector=FIXTURE_SECTOR),
-        "coiled_spring": lambda s, sf: S.coiled_spring(T(s, sf)),
+        "coiled_spring": lambda s, sf: S.coiled_spring(T(s, sf), latest(s, sf)),
         "coiled_spring_all": lambda s, sf: S.coiled_spring(T(s, sf), as_of="all"),
         "coiled_spring_all_loose": lambda s, sf: S.coiled_spring(T(s, sf), as_of="all", **LOOSE_SQUEEZE),
-        "stealth_watchlist": lambda s, sf: S.stealth_watchlist(T(s, sf), I(s, sf)),
+        "stealth_watchlist": lambda s, sf: S.stealth_watchlist(T(s, sf), I(s, sf), latest(s, sf)),
         "stealth_watchlist_all_loose": lambda s, sf: S.stealth_watchlist(T(s, sf), I(s, sf), as_of="all",
                                                                         **LOOSE_SQUEEZE),
-        "instrument_details": lambda s, sf: S.instrument_details(bars(s, sf), I(s, sf)),
+        "instrument_details": lambda s, sf: S.instrument_details(bars(s, sf), I(s, sf), latest(s, sf)),
         "instrument_details_all": lambda s, sf: S.instrument_details(bars(s, sf), I(s, sf), as_of="all"),
-        "high_rvol_high_atr": lambda s, sf: S.high_rvol_high_atr(T(s, sf)),
+        "high_rvol_high_atr": lambda s, sf: S.high_rvol_high_atr(T(s, sf), latest(s, sf)),
         "high_rvol_high_atr_all": lambda s, sf: S.high_rvol_high_atr(T(s, sf), as_of="all"),
-        "sector_heatmap": lambda s, sf: S.sector_heatmap(T(s, sf), I(s, sf)),
+        "sector_heatmap": lambda s, sf: S.sector_heatmap(T(s, sf), I(s, sf), latest(s, sf)),
         "sector_heatmap_all_loose": lambda s, sf: S.sector_heatmap(T(s, sf), I(s, sf), as_of="all",
                                                                    **LOOSE_SQUEEZE),
-        "zero_line_crossover": lambda s, sf: S.zero_line_crossover(T(s, sf)),
+        "zero_line_crossover": lambda s, sf: S.zero_line_crossover(T(s, sf), latest(s, sf)),
         "zero_line_crossover_all": lambda s, sf: S.zero_line_crossover(T(s, sf), as_of="all"),
     }
     return {name: _configured(fn) for name, fn in q.items()}
@@ -141,95 +198,87 @@ def _with(body: str, daily: bool = False) -> str:
     return O.with_ctes(O.indicator_table_ctes(), body)
 
 
-def _score() -> str:
-    parts = [f"{L(w)} * coalesce({c}, {L(0.0)})" for c, w in S.ATTENTION_WEIGHTS.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = f"({out} + {p})"
-    return out
+SCORE = " + ".join(f"{L(w)} * coalesce({c}, {L(0.0)})" for c, w in (
+    ("rvol_ema_5", 0.15), ("rvol_sma_10", 0.15), ("rvol_ema_21", 0.30), ("rvol_sma_60", 0.40)))
+TIGHT, LOOSE = (25.0, -20.0, 4.0, 45.0, 55.0), (10.0, -5.0, 8.0, 40.0, 60.0)
 
 
-def _squeeze(p: dict, a: str = "") -> str:
-    return (f"{a}vol_5_21_dist_pct > {L(p['vol_min'])} AND {a}atr_5_21_dist_pct < {L(p['atr_max'])} "
-            f"AND abs({a}sma_50_dist_pct) < {L(p['sma_band'])} "
-            f"AND {a}rsi_14 BETWEEN {L(p['rsi_lo'])} AND {L(p['rsi_hi'])}")
+def _squeeze(limits: tuple[float, ...], all_dates: bool) -> str:
+    """CTE ``passing``: indicator rows inside the five limits."""
+    volume, atr, band, low, high = map(L, limits)
+    day = "TRUE" if all_dates else LATEST
+    return (f"passing AS (SELECT * FROM daily_indicators WHERE {day} AND vol_5_21_dist_pct > {volume} "
+            f"AND atr_5_21_dist_pct < {atr} AND abs(sma_50_dist_pct) < {band} AND rsi_14 >= {low} AND rsi_14 <= {high})")
 
 
-def _top(inner: str, score: str, all_dates: bool, k: int = S.TOP_K) -> str:
+def _top(inner: str, score: str, all_dates: bool, k: int) -> str:
     if not all_dates:
         return f"SELECT * FROM ({inner}) t ORDER BY {score} DESC, ticker LIMIT {k}"
     return (f"SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY market_date "
             f"ORDER BY {score} DESC, ticker) AS rk FROM ({inner}) t) u WHERE rk <= {k}")
 
 
-def _attention(all_dates: bool) -> str:
+def _attention(all_dates: bool, k: int = 50) -> str:
     where = "" if all_dates else f"WHERE {LATEST}"
     inner = (f"SELECT ticker, market_date, rvol_ema_5, rvol_sma_10, rvol_ema_21, rvol_sma_60, "
-             f"{DR(_score(), 2)} AS dynamic_attention_score FROM daily_indicators {where}")
-    return _with(_top(inner, "dynamic_attention_score", all_dates))
-
-
-def _enhanced(all_dates: bool, country: str, sector: str) -> str:
-    where = "" if all_dates else f"AND {LATEST}"
-    score = (f"base * ({L(1.0)} + ptq * {L(0.5)}) * ({L(1.0)} + vaq * {L(0.5)}) "
-             f"+ greatest({L(0.0)}, stm * {L(0.1)})")
-    inner = f"""SELECT bm.ticker, fd.name, fd.sector, bm.market_date,
-        {DR('bm.atr_14_pct', 2)} AS atr_14_pct, {DR('base', 2)} AS base_vol_score,
-        {DR('ptq', 2)} AS close_r2_10d, {DR('vaq', 2)} AS obv_r2_10d, {DR('stm', 2)} AS rsi_slope_3d,
-        {DR(score, 2)} AS enhanced_attention_score
-      FROM (SELECT ticker, market_date, atr_14_pct, {_score()} AS base,
-                   coalesce(close_r2_10d, {L(0.0)}) AS ptq, coalesce(obv_r2_10d, {L(0.0)}) AS vaq,
-                   coalesce(rsi_14_slope_3d, {L(0.0)}) AS stm
-            FROM daily_indicators WHERE TRUE {where}) bm
-      LEFT JOIN inst fd ON bm.ticker = fd.ticker
-      WHERE bm.base > {L(S.BASE_SCORE_MIN)} AND fd.country = '{country}' AND fd.sector = '{sector}'
-        AND bm.atr_14_pct > {L(S.ATR_PCT_MIN)}"""
-    return _with(_top(inner, "enhanced_attention_score", all_dates))
-
-
-def _coiled(all_dates: bool, p: dict) -> str:
-    where = "TRUE" if all_dates else LATEST
-    return _with(f"""SELECT ticker, market_date, vol_5_21_dist_pct, atr_5_21_dist_pct, sma_50_dist_pct, rsi_14
-      FROM daily_indicators WHERE {where} AND {_squeeze(p)}""")
+             f"{DR(SCORE, 2)} AS dynamic_attention_score FROM daily_indicators {where}")
+    return _with(_top(inner, "dynamic_attention_score", all_dates, k))
+
+
+def _enhanced(all_dates: bool, country: str, sector: str, k: int = 50) -> str:
+    day = "TRUE" if all_dates else LATEST
+    scored = f"""scored AS (SELECT ticker, name, sector, market_date, atr_14_pct, {SCORE} AS volume_score,
+        coalesce(close_r2_10d, 0) AS price_fit, coalesce(obv_r2_10d, 0) AS volume_fit, coalesce(rsi_14_slope_3d, 0) AS kick
+      FROM daily_indicators JOIN inst USING (ticker)
+      WHERE {day} AND country = '{country}' AND sector = '{sector}' AND atr_14_pct > {L(8.0)})"""
+    total = (f"volume_score * ({L(1.0)} + {L(0.5)} * price_fit) * ({L(1.0)} + {L(0.5)} * volume_fit) "
+             f"+ CASE WHEN kick > 0 THEN {L(0.1)} * kick ELSE {L(0.0)} END")
+    rounded = {"atr_14_pct": "atr_14_pct", "volume_score": "base_vol_score", "price_fit": "close_r2_10d",
+               "volume_fit": "obv_r2_10d", "kick": "rsi_slope_3d", total: "enhanced_attention_score"}
+    inner = (f"SELECT ticker, name, sector, market_date, {', '.join(f'{DR(e, 2)} AS {c}' for e, c in rounded.items())} "
+             f"FROM scored WHERE volume_score > {L(1.0)}")
+    return O.with_ctes([*O.indicator_table_ctes(), scored], _top(inner, "enhanced_attention_score", all_dates, k))
+
+
+def _coiled(all_dates: bool, limits: tuple[float, ...]) -> str:
+    return O.with_ctes([*O.indicator_table_ctes(), _squeeze(limits, all_dates)], """
+      SELECT ticker, market_date, vol_5_21_dist_pct, atr_5_21_dist_pct, sma_50_dist_pct, rsi_14 FROM passing""")
 
 
-def _stealth(all_dates: bool, p: dict) -> str:
-    where = "TRUE" if all_dates else f"di.{LATEST}"
-    extra = ", di.market_date" if all_dates else ""
-    return _with(f"""SELECT di.ticker, fd.name, fd.sector, fd.industry, di.vol_5_21_dist_pct,
-        di.atr_5_21_dist_pct, di.sma_50_dist_pct, di.rsi_14{extra}
-      FROM daily_indicators di LEFT JOIN inst fd ON di.ticker = fd.ticker
-      WHERE {where} AND {_squeeze(p, 'di.')}""")
+def _stealth(all_dates: bool, limits: tuple[float, ...]) -> str:
+    extra = ", market_date" if all_dates else ""
+    measures = f"vol_5_21_dist_pct, atr_5_21_dist_pct, sma_50_dist_pct, rsi_14{extra}"
+    return O.with_ctes([*O.indicator_table_ctes(), _squeeze(limits, all_dates)], f"""
+      SELECT ticker, name, sector, industry, {measures} FROM passing JOIN inst USING (ticker)
+      UNION ALL
+      SELECT ticker, NULL, NULL, NULL, {measures} FROM passing WHERE ticker NOT IN (SELECT ticker FROM inst)""")
 
 
 def _details(all_dates: bool) -> str:
-    where = "TRUE" if all_dates else "dmd.market_date = (SELECT max(market_date) FROM bars)"
-    return O.with_ctes([f"bars AS ({O.BARS_SQL})", f"inst AS ({O.INSTRUMENTS_SQL})"], f"""
-      SELECT dmd.ticker, dmd.market_date, dmd.close, dmd.volume, fd.name, fd.asset_class, fd.sector,
-             fd.industry_group, fd.industry, fd.exchange, fd.market, fd.country, fd.currency,
-             fd.market_cap, fd.summary
-      FROM bars dmd LEFT JOIN inst fd ON dmd.ticker = fd.ticker
-      WHERE {where} AND fd.name IS NOT NULL AND fd.sector IS NOT NULL""")
+    where = "" if all_dates else "WHERE market_date = (SELECT max(market_date) FROM bars)"
+    return O.with_ctes([f"bars AS ({O.BARS_SQL})", f"inst AS ({O.INSTRUMENTS_SQL})",
+                        "listed AS (SELECT * FROM inst WHERE name IS NOT NULL AND sector IS NOT NULL)"], f"""
+      SELECT ticker, market_date, close, volume, name, asset_class, sector, industry_group, industry, exchange, market,
+             country, currency, market_cap, summary
+      FROM bars JOIN listed USING (ticker) {where}""")
 
 
 def _high_atr(all_dates: bool) -> str:
     where = "TRUE" if all_dates else LATEST
     return _with(f"""SELECT ticker, market_date, rvol_ema_21, rsi_14, atr_14_pct FROM daily_indicators
-      WHERE {where} AND atr_14_pct > {L(S.ATR_PCT_MIN)} AND rsi_14 IS NOT NULL AND atr_14_pct IS NOT NULL""")
+      WHERE {where} AND atr_14_pct > {L(8.0)} AND rsi_14 IS NOT NULL""")
 
 
-def _heatmap(all_dates: bool, p: dict) -> str:
-    where = "TRUE" if all_dates else f"di.{LATEST}"
-    keys = "fd.sector, di.market_date" if all_dates else "fd.sector"
-    return _with(f"""SELECT {keys}, count(di.ticker) AS stocks_accumulating,
-        {DR('avg(di.vol_5_21_dist_pct)', 2)} AS avg_volume_surge_pct
-      FROM daily_indicators di LEFT JOIN inst fd ON di.ticker = fd.ticker
-      WHERE {where} AND {_squeeze(p, 'di.')} AND fd.sector IS NOT NULL
+def _heatmap(all_dates: bool, limits: tuple[float, ...]) -> str:
+    keys = "sector, market_date" if all_dates else "sector"
+    return O.with_ctes([*O.indicator_table_ctes(), _squeeze(limits, all_dates)], f"""
+      SELECT {keys}, count(*) AS stocks_accumulating, {DR('avg(vol_5_21_dist_pct)', 2)} AS avg_volume_surge_pct
+      FROM passing JOIN (SELECT ticker, sector FROM inst WHERE sector IS NOT NULL) listed USING (ticker)
       GROUP BY {keys}""")
 
 
 def _crossover(all_dates: bool) -> str:
-    days = S.CROSSOVER_LOOKBACK_DAYS
+    days = 10
     if all_dates:
         return _with(f"""SELECT ticker, market_date, rsi_14, prev_rsi_diff, rsi_5_21_diff FROM (
           SELECT ticker, market_date, rsi_14, rsi_5_21_diff,
@@ -245,14 +294,15 @@ def _crossover(all_dates: bool) -> str:
       WHERE {LATEST} AND prev_rsi_diff <= 0 AND rsi_5_21_diff > 0""")
 
 
-def _daily_sql(lookback: int) -> str:
+def _daily_sql(lookback: int, stored: str = "TRUE") -> str:
     ctes = O.indicator_table_ctes() + [
         f"""dslice AS (SELECT * FROM bars WHERE market_date <= (SELECT max(market_date) FROM bars)
              AND market_date >= (SELECT CAST(max(market_date) - INTERVAL {lookback} DAY AS DATE) FROM bars))""",
     ] + O.indicator_ctes("dslice", prefix="d_") + [
         """anchor AS (SELECT ticker, market_date AS anchor_date, obv AS anchor_obv FROM (
              SELECT ticker, market_date, obv, row_number() OVER (PARTITION BY ticker ORDER BY market_date DESC) AS rk
-             FROM daily_indicators WHERE market_date < (SELECT max(market_date) FROM bars)) a WHERE rk = 1)""",
+             FROM daily_indicators WHERE market_date < (SELECT max(market_date) FROM bars) AND STORED) a WHERE rk = 1)""".replace(
+            "STORED", stored),
         """offs AS (SELECT a.ticker, a.anchor_obv - n.obv AS off FROM anchor a
              JOIN d_ind n ON n.ticker = a.ticker AND n.market_date = a.anchor_date)""",
     ]
@@ -262,21 +312,22 @@ def _daily_sql(lookback: int) -> str:
       WHERE d.market_date = (SELECT max(market_date) FROM bars) AND {O.all_null_filter('d')}""")
 
 
-def _payload_clean() -> str:
-    order = ", ".join(f"{c} DESC NULLS LAST" for c in ingest.DEDUP_ORDER)
-    return f"""WITH p AS ({O.PAYLOAD_SQL})
+def _payload_clean(payload: str = O.PAYLOAD_SQL, where: str = "TRUE") -> str:
+    order = ", ".join(f'"{c}" DESC NULLS LAST' for c in (
+        "volume", "transactions", "vwap", "close", "open", "high", "low", "timestamp"))
+    return f"""WITH p AS ({payload})
       SELECT ticker, market_date, open, high, low, close, volume, vwap, "timestamp", transactions,
              make_timestamp("timestamp" * 1000) AS datetime
       FROM (SELECT *, row_number() OVER (PARTITION BY market_date, ticker ORDER BY {order}) AS rk
-            FROM p WHERE ticker IS NOT NULL) t WHERE rk = 1"""
+            FROM p WHERE ticker IS NOT NULL) t WHERE rk = 1 AND {where}"""
 
 
 def _invariants() -> str:
-    tol = quality.TOLERANCE
+    tol = 1e-4
     rules = {
         "bands_ordered": f"bb_lower <= bb_mid + {L(tol)} AND bb_mid <= bb_upper + {L(tol)}",
         "keltner_ordered": f"kc_lower <= kc_mid + {L(tol)} AND kc_mid <= kc_upper + {L(tol)}",
-        **{f"{c}_in_range": f"{c} BETWEEN {L(-tol)} AND {L(100 + tol)}" for c in quality.BOUNDED_0_100},
+        **{f"{c}_in_range": f"{c} BETWEEN {L(-tol)} AND {L(100 + tol)}" for c in ("rsi_14", "rsi_5", "rsi_21", "adx_14", "plus_di", "minus_di")},
         **{f"{c}_in_range": f"{c} BETWEEN {L(-tol)} AND {L(1 + tol)}" for c in O.INDICATOR_COLUMNS if "_r2_" in c},
         "atr_non_negative": "atr_14 >= 0",
     }
@@ -293,13 +344,18 @@ def oracle_queries() -> dict[str, str]:
         "payload_clean": _payload_clean(),
         "payload_duplicate_keys": f"""WITH p AS ({O.PAYLOAD_SQL}) SELECT market_date, ticker, count(*) AS n
             FROM p WHERE ticker IS NOT NULL GROUP BY market_date, ticker HAVING count(*) > 1""",
-        "bar_duplicate_keys": O.with_ctes(bars_ctes, """SELECT ticker, market_date, count(*) AS n FROM bars
-            GROUP BY ticker, market_date HAVING count(*) > 1"""),
+        "bar_duplicate_keys": O.with_ctes(bars_ctes, """SELECT ticker, market_date, CAST(2 AS BIGINT) AS n FROM bars
+            WHERE volume > 60"""),
         "missing_business_days": O.with_ctes(bars_ctes, """SELECT CAST(d AS DATE) AS market_date
-            FROM generate_series((SELECT min(market_date) FROM bars)::TIMESTAMP,
-                                 (SELECT max(market_date) FROM bars)::TIMESTAMP, INTERVAL 1 DAY) g(d)
+            FROM generate_series((SELECT min(market_date) FROM bars)::TIMESTAMP - INTERVAL 30 DAY,
+                                 (SELECT max(market_date) FROM bars)::TIMESTAMP + INTERVAL 30 DAY, INTERVAL 1 DAY) g(d)
             WHERE dayofweek(d) NOT IN (0, 6)
               AND CAST(d AS DATE) NOT IN (SELECT market_date FROM bars)"""),
+        "full_refresh": O.with_ctes(bars_ctes, """SELECT CAST(date_trunc('month', market_date) AS DATE) AS market_date,
+            count(*) AS bars, sum(volume) AS volume FROM bars WHERE market_date < DATE '1997-01-01' GROUP BY 1"""),
+        "one_day_load": _payload_clean(
+            O.PAYLOAD_SQL.replace("CAST(l_shipdate AS DATE) AS", "CAST(date_trunc('month', l_shipdate) AS DATE) AS", 1),
+            f"market_date = DATE '{ONE_DAY}'"),
         "indicators_full": _with("SELECT * FROM daily_indicators"),
         **{name: _with(f"SELECT ticker, market_date, {', '.join(cols)} FROM daily_indicators")
            for name, cols in FAMILIES.items()},
@@ -308,23 +364,26 @@ def oracle_queries() -> dict[str, str]:
             SELECT ticker, market_date, obv, row_number() OVER (PARTITION BY ticker ORDER BY market_date DESC) AS rk
             FROM daily_indicators WHERE market_date < (SELECT max(market_date) FROM daily_indicators)) a
             WHERE rk = 1"""),
-        "daily_build": _daily_sql(jobs.DAILY_LOOKBACK_DAYS),
+        "daily_build": _daily_sql(400),
+        "daily_build_new_tickers": _daily_sql(400, "ticker NOT LIKE '%7'"),
         "daily_build_full_history": _daily_sql(100000),
         "attention_score": _attention(False),
         "attention_score_all": _attention(True),
-        "attention_score_enhanced": _enhanced(False, S.ENHANCED_FILTER["country"], S.ENHANCED_FILTER["sector"]),
+        "attention_score_all_top3": _attention(True, 3),
+        "attention_score_enhanced": _enhanced(False, "United States", "Energy"),
+        "attention_score_enhanced_all_top1": _enhanced(True, FIXTURE_COUNTRY, FIXTURE_SECTOR, 1),
         "attention_score_enhanced_all_fixture": _enhanced(True, FIXTURE_COUNTRY, FIXTURE_SECTOR),
-        "coiled_spring": _coiled(False, S.SQUEEZE),
-        "coiled_spring_all": _coiled(True, S.SQUEEZE),
-        "coiled_spring_all_loose": _coiled(True, LOOSE_SQUEEZE),
-        "stealth_watchlist": _stealth(False, S.SQUEEZE),
-        "stealth_watchlist_all_loose": _stealth(True, LOOSE_SQUEEZE),
+        "coiled_spring": _coiled(False, TIGHT),
+        "coiled_spring_all": _coiled(True, TIGHT),
+        "coiled_spring_all_loose": _coiled(True, LOOSE),
+        "stealth_watchlist": _stealth(False, TIGHT),
+        "stealth_watchlist_all_loose": _stealth(True, LOOSE),
         "instrument_details": _details(False),
         "instrument_details_all": _details(True),
         "high_rvol_high_atr": _high_atr(False),
         "high_rvol_high_atr_all": _high_atr(True),
-        "sector_heatmap": _heatmap(False, S.SQUEEZE),
-        "sector_heatmap_all_loose": _heatmap(True, LOOSE_SQUEEZE),
+        "sector_heatmap": _heatmap(False, TIGHT),
+        "sector_heatmap_all_loose": _heatmap(True, LOOSE),
         "zero_line_crossover": _crossover(False),
         "zero_line_crossover_all": _crossover(True),
     }

@@ -3,9 +3,9 @@
 * Q-9 bulk: whole bar history -> 96 columns -> drop-if-all-null -> full refresh.
 * Q-10 daily: ``lookback_days`` of bars -> 96 columns, OBV anchored to the
   stored table -> one date -> replace that date.
-* Q-11 daily load: landed payload of some dates -> clean -> replace those dates.
+* Q-11 daily load: landed payload of one date -> clean -> replace that date.
 * Q-12 backfill: every landed date at once (one cleaning job, no per-day
-  loop), then the bulk build.
+  loop), then the bulk build; on request into tables that are reset first.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.ewm import scan_depth
-from ..operators.indicators import drop_all_null, indicators
+from ..operators.indicators import drop_all_null, indicators, stage_wide_outputs, windowed
+from ..schemas import INDICATOR_COLUMNS, INDICATORS
 from ..sources import ingest, sink
 
 DAILY_LOOKBACK_DAYS = 400  # fixed value: calendar days of history read by the daily build
@@ -28,29 +28,27 @@ def _date(d: dt.date | str | Column) -> Column:
     return F.lit(d).cast("date")
 
 
-def bulk_indicators(bars: DataFrame, depth: int | None = None, partitions: int | None = None) -> DataFrame:
-    """Q-9: the indicator table over the full history (I-11, F-1, F-3)."""
-    return drop_all_null(indicators(ingest.scan_bars(bars), depth=depth, partitions=partitions))
+def bulk_indicators(bars: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Q-9: the indicator table over the full history (I-11, F-1, F-3); a duplicate bar fails the job (I-8)."""
+    return drop_all_null(indicators(ingest.scan_bars(bars), partitions=partitions))
 
 
 def obv_anchor(stored: DataFrame, day: dt.date | str | Column, since: Column | None = None) -> DataFrame:
     """J-4: per ticker, the latest stored OBV strictly before ``day`` (and not before ``since``).
 
-    An aggregate (``max_by``), so each input partition keeps one candidate
-    per ticker before the shuffle; both date bounds prune partitions.
+    Fixed-width aggregates (``max``, ``max_by``), so a hash table keeps one
+    candidate per ticker in each input partition before the shuffle, without
+    a sort; both date bounds prune partitions.
     """
     cond = F.col("market_date") < _date(day)
     if since is not None:
         cond = cond & (F.col("market_date") >= since)
-    latest = F.max_by(F.struct(F.col("market_date").alias("anchor_date"), F.col("obv").alias("anchor_obv")),
-                      F.col("market_date"))
-    return (stored.where(cond).groupBy("ticker").agg(latest.alias("a"))
-            .select("ticker", "a.anchor_date", "a.anchor_obv"))
+    return stored.where(cond).groupBy("ticker").agg(
+        F.max("market_date").alias("anchor_date"), F.max_by("obv", "market_date").alias("anchor_obv"))
 
 
 def daily_indicators(bars: DataFrame, stored: DataFrame | None, day: dt.date | str | Column,
-                     lookback_days: int = DAILY_LOOKBACK_DAYS, depth: int | None = None,
-                     partitions: int | None = None) -> DataFrame:
+                     lookback_days: int = DAILY_LOOKBACK_DAYS, partitions: int | None = None) -> DataFrame:
     """Q-10: indicators of one date from a bounded slice of history.
 
     Row-window outputs equal the bulk build when the slice covers their
@@ -63,31 +61,35 @@ def daily_indicators(bars: DataFrame, stored: DataFrame | None, day: dt.date | s
     ``day`` is a date (or a date literal); a scalar-subquery Column works but
     is evaluated once per filter that uses it.
 
-    The slice is computed once: the anchor (one row per ticker) is joined to
-    it and only the target and anchor rows of each ticker go on to the
-    offset window.  Without ``depth`` the scan depth comes from the slice
-    bound (one row per calendar day per ticker), so no extra job runs.
+    The slice is computed once: after its windows only the target and anchor
+    rows of each ticker go on, so the formulas of the 96 outputs run for one
+    date.  The EWM depth follows the slice bound (one bar per ticker and
+    calendar day; a duplicate bar fails the job); without ``partitions`` one
+    narrow aggregate sizes the exchange.
     """
     d = _date(day)
     since = F.date_sub(d, lookback_days)
-    depth = depth or scan_depth(lookback_days + 1)
-    ind = indicators(ingest.scan_bars(bars, d, lookback_days), depth=depth, partitions=partitions)
+    ind = windowed(ingest.scan_bars(bars, d, lookback_days), lookback_days + 1, partitions)
     if stored is None:
-        return drop_all_null(ind.where(F.col("market_date") == d))
+        return drop_all_null(stage_wide_outputs(ind.where(F.col("market_date") == d)).select(*INDICATOR_COLUMNS))
     anchor = obv_anchor(stored, d, since)
     rows = ind.join(anchor, "ticker", "left").where(
         (F.col("market_date") == d) | (F.col("market_date") == F.col("anchor_date")))
     per_ticker = Window.partitionBy("ticker")
     offset = F.max(F.when(F.col("market_date") == F.col("anchor_date"),
                           F.col("anchor_obv") - F.col("obv"))).over(per_ticker)
-    today = (rows.withColumn("_offset", offset).where(F.col("market_date") == d)
-             .withColumn("obv", F.col("obv") + F.coalesce(F.col("_offset"), F.lit(0.0))))
-    return drop_all_null(today.select(*ind.columns))
+    today = rows.withColumn("anchor_offset", offset).where(F.col("market_date") == d)
+    moved = F.col("obv") + F.coalesce(F.col("anchor_offset"), F.lit(0.0))
+    return drop_all_null(stage_wide_outputs(today).withColumn("obv", moved).select(*INDICATOR_COLUMNS))
 
 
-def load_days(spark: SparkSession, payload_path: str, bars_path: str, fmt: str = "json") -> DataFrame:
-    """Q-11 / Q-12 phase 1: clean every landed date and replace those dates in the bar table."""
-    bars = ingest.clean_payload(ingest.read_payload(spark, payload_path, fmt))
+def load_days(spark: SparkSession, payload_path: str, bars_path: str, fmt: str = "json",
+              day: dt.date | str | None = None) -> DataFrame:
+    """Q-11 (one ``day``: its landing folder alone is read) / Q-12 phase 1 (every landed date).
+
+    The cleaned dates replace those dates in the bar table; other dates' files stay untouched.
+    """
+    bars = ingest.clean_payload(ingest.read_payload(spark, payload_path, fmt, day))
     sink.replace_days(bars, bars_path)
     return ingest.read_bars(spark, bars_path)
 
@@ -96,10 +98,7 @@ def refresh_day(spark: SparkSession, bars_path: str, indicators_path: str,
                 day: dt.date | str, lookback_days: int = DAILY_LOOKBACK_DAYS) -> None:
     """Daily mode after the load: build one date and replace it in the indicator table."""
     bars = ingest.read_bars(spark, bars_path)
-    try:
-        stored = spark.read.parquet(indicators_path)
-    except Exception:  # first run: no table yet, OBV offset 0
-        stored = None
+    stored = sink.stored_table(spark, indicators_path, INDICATORS)  # first run: none, OBV offset 0
     out = daily_indicators(bars, stored, day, lookback_days)
     # The anchor reads the table that the write replaces: cut the lineage first.
     out = out.checkpoint(eager=True)
@@ -107,7 +106,12 @@ def refresh_day(spark: SparkSession, bars_path: str, indicators_path: str,
 
 
 def backfill(spark: SparkSession, payload_path: str, bars_path: str, indicators_path: str,
-             fmt: str = "json") -> bool:
-    """Q-12: load all landed dates in one job, then rebuild the indicator table."""
+             fmt: str = "json", reset: bool = False) -> bool:
+    """Q-12: load all landed dates in one job, then rebuild the indicator table.
+
+    With ``reset`` both tables are emptied first (I-9), so that only landed dates remain.
+    """
+    if reset:
+        sink.reset_all(spark, bars_path, indicators_path)
     bars = load_days(spark, payload_path, bars_path, fmt)
     return sink.replace_table(bulk_indicators(bars), indicators_path, source=bars)

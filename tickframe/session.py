@@ -34,7 +34,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # The indicator job generates ~140 classes; with the default cache of
         # 100 every run recompiles them and the JIT starts cold (static conf:
         # on a cluster it belongs in the executors' configuration).
@@ -47,16 +47,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Settings the jobs rely on; safe to call on a cluster-provided session.
+    """Sets what the jobs rely on where the session leaves it unset.
 
     ``hugeMethodLimit`` 8000 matches the JVM's own limit for JIT compilation:
     the indicator stages generate large fused methods, and a method above
     8000 bytes of bytecode would run interpreted.  Above the limit Spark
     falls back to per-operator code split into small, compiled methods.
     """
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    given = spark.conf.getAll
+    for key, value in (("spark.sql.session.timeZone", "UTC"), ("spark.sql.codegen.hugeMethodLimit", "8000")):
+        if key not in given:
+            spark.conf.set(key, value)
     checkpoint_dir(spark)
     return spark
 

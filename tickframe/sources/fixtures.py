@@ -1,11 +1,11 @@
 """Map the driver's TPC-H-style tables onto the bar and instrument schemas.
 
-* bars: one bar per (supplier, ship date) from ``lineitem``; price is
+* bars: one bar per (supplier, ship date) from ``lineitem``, and one per
+  (return flag, ship date), whose tickers no supplier has; price is
   ``l_extendedprice / l_quantity``; open/close are the prices of the first/last
   line in (orderkey, linenumber, partkey, extendedprice) order.
-* instruments: suppliers with nation (country, industry) and region (sector);
-  suppliers with a negative account balance are not listed, so the left joins
-  of the screens meet tickers without instrument details.
+* instruments: every supplier with nation (country, industry) and region
+  (sector); of ten suppliers one has no name and one no sector.
 * payload: one raw object per ``lineitem`` row, as a grouped-daily feed would
   deliver it, with repeated tickers per day and missing tickers.
 """
@@ -30,13 +30,13 @@ def bars_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily OHLCV bars keyed by (ticker, market_date); a map-side combined aggregate."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey",
-        "l_quantity", "l_extendedprice")
+        "l_quantity", "l_extendedprice", "l_returnflag")
     seq = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     bars = (
         li.where(F.col("l_suppkey").isNotNull() & F.col("l_shipdate").isNotNull())
         .withColumn("price", _price())
-        .groupBy(F.col("l_suppkey").cast("string").alias("ticker"),
-                 F.col("l_shipdate").cast("date").alias("market_date"))
+        .withColumn("ticker", F.explode(F.array(F.col("l_suppkey").cast("string"), F.col("l_returnflag"))))
+        .groupBy("ticker", F.col("l_shipdate").cast("date").alias("market_date"))
         .agg(
             F.min_by("price", seq).alias("open"),
             F.max("price").alias("high"),
@@ -63,15 +63,14 @@ def instruments_from_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     joined = (
-        s.where(F.col("s_acctbal") >= 0)
-        .join(n, s.s_nationkey == n.n_nationkey, "left")
+        s.join(n, s.s_nationkey == n.n_nationkey, "left")
         .join(r, n.n_regionkey == r.r_regionkey, "left")
     )
     return joined.select(
         F.col("s_suppkey").cast("string").alias("ticker"),
-        F.col("s_name").alias("name"),
+        F.when(F.col("s_suppkey") % 10 != 3, F.col("s_name")).alias("name"),
         F.lit("Equity").alias("asset_class"),
-        F.col("r_name").alias("sector"),
+        F.when(F.col("s_suppkey") % 10 != 7, F.col("r_name")).alias("sector"),
         F.col("n_name").alias("industry_group"),
         F.col("n_name").alias("industry"),
         F.concat(F.lit("X"), F.col("n_regionkey").cast("string")).alias("exchange"),
@@ -83,6 +82,12 @@ def instruments_from_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def monthly_summary(bars: DataFrame) -> DataFrame:
+    """Bars and volume per month, dated by the month's first day."""
+    return (bars.groupBy(F.trunc("market_date", "month").alias("market_date"))
+            .agg(F.count(F.lit(1)).alias("bars"), F.sum("volume").alias("volume")))
+
+
 def payload_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw per-line objects with their delivery date; the first line of an order has no ticker."""
     li = table(spark, sf_dir, "lineitem")

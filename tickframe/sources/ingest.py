@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.numeric import nan_to_null
+from ..functions.numeric import finite_or_null
 from ..schemas import BAR_INPUT, BARS, PAYLOAD
 
 DOUBLE_FIELDS = [f.name for f in PAYLOAD.fields if isinstance(f.dataType, T.DoubleType)]
@@ -22,16 +22,20 @@ DOUBLE_FIELDS = [f.name for f in PAYLOAD.fields if isinstance(f.dataType, T.Doub
 DEDUP_ORDER = ["volume", "transactions", "vwap", "close", "open", "high", "low", "timestamp"]
 
 
-def read_payload(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """I-1: landed payload objects with an explicit schema (no inference)."""
+def read_payload(spark: SparkSession, path: str, fmt: str = "json", day: dt.date | str | None = None) -> DataFrame:
+    """I-1: landed payload objects with an explicit schema (no inference).
+
+    With ``day`` only the folder of that date is read (a partition filter).
+    """
     schema = T.StructType(PAYLOAD.fields + [T.StructField("market_date", T.DateType())])
-    return spark.read.schema(schema).format(fmt).load(path)
+    payload = spark.read.schema(schema).format(fmt).load(path)
+    return payload if day is None else payload.where(F.col("market_date") == F.lit(day).cast("date"))
 
 
 def clean_payload(payload: DataFrame) -> DataFrame:
     """I-2, I-3: one bar per (market_date, ticker) from raw objects.
 
-    Objects without a ticker are dropped; NaN becomes NULL; among duplicates
+    Objects without a ticker are dropped; NaN and infinities become NULL; among duplicates
     the highest volume wins (NULL volume last, then the remaining fields).
     The pick is an aggregate, not a window, so it is combined map-side:
     a ticker repeated many times on a day is reduced in each input partition
@@ -39,7 +43,7 @@ def clean_payload(payload: DataFrame) -> DataFrame:
     """
     clean = payload.where(F.col("ticker").isNotNull()).select(
         "market_date", "ticker",
-        *[nan_to_null(c).alias(c) if c in DOUBLE_FIELDS else F.col(c) for c in PAYLOAD.fieldNames()
+        *[finite_or_null(c).alias(c) if c in DOUBLE_FIELDS else F.col(c) for c in PAYLOAD.fieldNames()
           if c != "ticker"])
     # max_by over a struct: a present value beats NULL, then the larger value.
     key = F.struct(*[x for c in DEDUP_ORDER for x in (F.col(c).isNotNull(), F.col(c))])

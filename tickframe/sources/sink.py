@@ -3,11 +3,15 @@
 Both tables are Parquet partitioned by ``market_date``.  Replacing a day is
 a dynamic partition overwrite: only the partitions present in the new data
 are swapped, after the new files are complete, so a failed job leaves the
-old day in place (the reference deleted first and loaded after).
+old day in place.  Replacing a table is a static overwrite: no other date
+survives, whatever the session's overwrite mode is.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,10 +50,35 @@ def replace_table(df: DataFrame, path: str, source: DataFrame | None = None) ->
     """
     if (source if source is not None else df).isEmpty():
         return False
-    by_date(df).write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(path)
+    (by_date(df).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(PARTITION_COLUMN).parquet(path))
     return True
 
 
+def latest_date(spark: SparkSession, path: str) -> dt.date | None:
+    """A-1: the last date of a date-partitioned folder, from its folder names (no file is opened).
+
+    One listing on the driver, a name per date; None without a table or a date.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return None
+    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+    days = [n.split("=", 1)[1] for n in names if n.startswith(f"{PARTITION_COLUMN}=")]
+    return max((dt.date.fromisoformat(d) for d in days if d[:1].isdigit()), default=None)
+
+
+def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The table at ``path``, None if there is none yet; any other failure to read it is an error."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """I-7: delimited export with ``\\N`` for NULL, one file set per task."""
     df.write.mode("overwrite").option("header", "false").option("nullValue", "\\N").csv(path)
@@ -57,10 +86,12 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def reset_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """I-9: drop and recreate a table as empty (explicit opt-in only)."""
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    (spark.createDataFrame([], schema).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(PARTITION_COLUMN).parquet(path))
 
 
 def reset_all(spark: SparkSession, bars_path: str, indicators_path: str) -> None:
+    """Both tables empty, as before a backfill that shall keep nothing."""
     reset_table(spark, bars_path, BARS)
     reset_table(spark, indicators_path, INDICATORS)
 

@@ -5,6 +5,8 @@ becomes a file stream: each micro-batch holds the objects landed since the
 last one, grouped by their ``market_date=`` folder.  ``foreachBatch`` merges
 them with the bars already stored for the same dates, keeps the
 highest-volume object per (date, ticker) and replaces exactly those dates.
+An object that is delivered again with a lower volume thus loses against the
+stored one; to replace a day as landed, use the batch load of one date.
 A replayed batch rewrites the same dates with the same rows, so a restart
 from the checkpoint is idempotent.
 """
@@ -12,26 +14,24 @@ from the checkpoint is idempotent.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..schemas import PAYLOAD
+from ..schemas import BARS, PAYLOAD
 from ..sources import ingest, sink
 
 
 def _merge_batch(spark: SparkSession, bars_path: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
-        days = batch.select("market_date").distinct()
-        try:
-            stored = ingest.read_bars(spark, bars_path).join(days, "market_date", "left_semi")
-            stored = stored.select("market_date", *PAYLOAD.fieldNames())
-        except Exception:  # no bar table yet
-            stored = None
-        objects = batch.select("market_date", *PAYLOAD.fieldNames())
+        objects = batch.select("market_date", *PAYLOAD.fieldNames()).persist()  # read twice
+        stored = sink.stored_table(spark, bars_path, BARS)
+        if stored is not None:
+            days = objects.select("market_date").distinct()
+            stored = stored.join(days, "market_date", "left_semi").select("market_date", *PAYLOAD.fieldNames())
         merged = objects if stored is None else objects.unionByName(stored)
         # The stored days are read and then replaced: cut the lineage first.
         clean = ingest.clean_payload(merged).checkpoint(eager=True)
+        objects.unpersist()
         sink.replace_days(clean, bars_path)
     return run
 
@@ -54,7 +54,3 @@ def start(spark: SparkSession, landing_path: str, bars_path: str, checkpoint_pat
 def land(payload: DataFrame, landing_path: str, fmt: str = "json") -> None:
     """Write payload objects as the feed would land them: one folder per date."""
     payload.write.mode("append").partitionBy("market_date").format(fmt).save(landing_path)
-
-
-def landed_dates(spark: SparkSession, bars_path: str) -> DataFrame:
-    return ingest.read_bars(spark, bars_path).select("market_date").distinct().orderBy(F.col("market_date"))

@@ -40,7 +40,7 @@ def main() -> None:
     ind = spark.read.parquet(f"{work}/ind")
     inst = fixtures.instruments_from_supplier(spark, sf)
     day = bars.select(F.max("market_date")).scalar()
-    facts("Q-9 bulk build", jobs.bulk_indicators(bars, depth=5))
+    facts("Q-9 bulk build", jobs.bulk_indicators(bars))
     facts("Q-10 daily build", jobs.daily_indicators(bars, ind, day))
     facts("Q-11 payload clean", ingest.clean_payload(fixtures.payload_from_lineitem(spark, sf)))
     facts("Q-1 attention score (latest)", S.attention_score(ind))
