@@ -66,6 +66,21 @@ def appending(df: DataFrame, fields: Sequence[T.StructField],
     return df.mapInArrow(run, T.StructType([*kept, *fields]))
 
 
+_kept: list = [None, None]
+
+
+def kept_by_worker(key: tuple, make: Callable[[], object] = lambda: None) -> object:
+    """What a Python worker keeps from task to task: ``make()`` of the last ``key`` only.
+
+    Spark reuses workers for tasks of any operator; with one place for tables and caches, a worker never holds those of
+    an operator that has ended beside those of the one that runs.
+    """
+    if _kept[0] != key:
+        _kept[:] = [None, None]
+        _kept[:] = [key, make()]
+    return _kept[1]
+
+
 def byte_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; a null text is empty."""
     return [b if b is not None else b"" for b in column.cast(pa.large_binary()).to_pylist()]

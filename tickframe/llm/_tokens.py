@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 from itertools import islice
 
 import numpy as np
 
+from tickframe.llm._common import kept_by_worker
+
 KEPT_STRETCHES = 800_000
 ENCODED_AT_ONCE = 20_000
 
@@ -99,7 +100,6 @@ class Encoder:
         return [self.begin[first] + b"".join(map(inner, rest)) for first, rest in cut]
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a tokenizer file."""
-    return Encoder(path)
+    return kept_by_worker(("tokens", path), lambda: Encoder(path))

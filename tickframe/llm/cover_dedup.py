@@ -32,10 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickframe.llm._common import appending, byte_texts, runs_of, starts_of, written
+from tickframe.llm._common import appending, byte_texts, kept_by_worker, runs_of, starts_of, written
 
 WINDOW_WORDS = 20
 BATCH_BYTES = 24_000_000
+SPLIT_BYTES = 3_000_000
 CACHED_WORDS = 300_000
 
 FIELDS = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
@@ -64,14 +65,20 @@ class _Words:
     def __init__(self) -> None:
         self.known: dict[bytes, int] = {}
 
-    def hashes(self, words: list[list[bytes]]) -> np.ndarray:
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        known = self.known
-        for w in {w for own in words for w in own}.difference(known):
-            known[w] = xxhash.xxh64_intdigest(w)
-        total = sum(map(len, words))
-        return np.fromiter((h for own in words for h in map(known.__getitem__, own)), dtype=np.uint64, count=total)
+    def of(self, texts: list[bytes], least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all words behind each other, and each text's number of words (0 for less than ``least``)."""
+        hashes, lengths = [], []
+        for part in runs_of([len(t) for t in texts], SPLIT_BYTES):  # words as objects for a part at a time
+            words = [w if len(w) >= least else [] for w in (t.split() for t in texts[part])]
+            if len(self.known) > CACHED_WORDS:
+                self.known.clear()
+            known = self.known
+            for w in {w for own in words for w in own}.difference(known):
+                known[w] = xxhash.xxh64_intdigest(w)
+            lengths += map(len, words)
+            total = sum(map(len, words))
+            hashes.append(np.fromiter((h for own in words for h in map(known.__getitem__, own)), dtype=np.uint64, count=total))
+        return np.concatenate([np.zeros(0, np.uint64), *hashes]), np.array(lengths, dtype=np.int64)
 
 
 def _multipliers(count: int, seed: int) -> np.ndarray:
@@ -100,29 +107,27 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
 
-def _places(words: list[list[bytes]], rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all words behind each other: row, place in the text, and words from there to the text's end."""
-    lengths = np.array([len(w) for w in words], dtype=np.int64)
-    starts = starts_of(lengths)
-    place = np.arange(starts[-1]) - np.repeat(starts[:-1], lengths)
-    return np.repeat(rows, lengths), place, np.repeat(lengths, lengths) - place
+def _places(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all words behind each other: number of the text, place in it, and words from there to its end."""
+    text = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+    place = np.arange(len(text), dtype=np.int32) - np.repeat(starts_of(lengths)[:-1].astype(np.int32), lengths)
+    return text, place, np.repeat(lengths.astype(np.int32), lengths) - place
 
 
 def _anchors(docs: DataFrame, window_words: int) -> DataFrame:
     """(key, row, place) of the anchors; ~place if the batch knows that the anchor repeats."""
     period = period_for(window_words)
-    cover, length = np.array(difference_cover(period)), window_words - period + 1
+    in_cover, length = np.isin(np.arange(period), difference_cover(period)), window_words - period + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Words()
+        cache = kept_by_worker(("cover_dedup",), _Words)
         for batch in batches:
             texts, ids = byte_texts(batch.column("text")), batch.column("row").to_numpy()
             for part in runs_of([len(t) for t in texts], BATCH_BYTES):
-                words = [w if len(w) >= window_words else [] for w in (t.split() for t in texts[part])]
-                hashes = cache.hashes(words)
-                row, place, left = _places(words, ids[part])
-                at = np.flatnonzero(np.isin(place % period, cover) & (left >= length))
-                key, row, place = run_hashes(hashes, at, length, 1), row[at], place[at]
+                hashes, lengths = cache.of(texts[part], window_words)
+                text, place, left = _places(lengths)
+                at = np.flatnonzero(in_cover[place % period] & (left >= length))
+                key, row, place = run_hashes(hashes, at, length, 1), ids[part][text[at]], place[at]
                 _, first, inverse, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
                 again = count[inverse] > 1
                 later = np.ones(len(key), dtype=bool)
@@ -171,26 +176,24 @@ def _windows(docs: DataFrame, window_words: int) -> DataFrame:
     period = period_for(window_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Words()
+        cache = kept_by_worker(("cover_dedup",), _Words)
         for batch in batches:
             texts, ids = byte_texts(batch.column("text")), batch.column("row").to_numpy()
             anchors = batch.column("places")
             for part in runs_of([len(t) for t in texts], BATCH_BYTES):
-                words = [t.split() for t in texts[part]]
-                hashes = cache.hashes(words)
-                row, place, left = _places(words, ids[part])
+                hashes, lengths = cache.of(texts[part])
+                text, place, left = _places(lengths)
                 own = anchors.slice(part.start, part.stop - part.start)
-                lengths = np.array([len(w) for w in words], dtype=np.int64)
-                text = np.repeat(np.arange(len(words)), own.value_lengths().to_numpy())
+                of = np.repeat(np.arange(len(lengths)), own.value_lengths().to_numpy())
                 at = own.flatten().to_numpy().astype(np.int64)
-                base = starts_of(lengths)[text]
-                low, high = np.maximum(at - period + 1, 0), np.minimum(at, lengths[text] - window_words)
-                edge = np.zeros(len(place) + 1, dtype=np.int64)
+                base = starts_of(lengths)[of]
+                low, high = np.maximum(at - period + 1, 0), np.minimum(at, lengths[of] - window_words)
+                edge = np.zeros(len(place) + 1, dtype=np.int32)
                 np.add.at(edge, base + low, 1)
                 np.add.at(edge, base + np.maximum(high + 1, low), -1)
                 at = np.flatnonzero((np.cumsum(edge[:-1]) > 0) & (left >= window_words))
                 key, check = run_hashes(hashes, at, window_words, 2), run_hashes(_mixed(hashes), at, window_words, 3)
-                row, place = row[at], place[at]
+                row, place = ids[part][text[at]], place[at]
                 order = np.lexsort((place, row, check, key))
                 key, check, row, place = key[order], check[order], row[order], place[order]
                 later = np.zeros(len(key), dtype=bool)

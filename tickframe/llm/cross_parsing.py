@@ -31,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickframe.llm._common import appending, runs_of, starts_of
+from tickframe.llm._common import appending, kept_by_worker, runs_of, starts_of
 
 UNDETERMINED = "und"
 CHARS_PER_LANGUAGE = 20_000
@@ -155,11 +155,6 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
-@lru_cache(maxsize=2)
-def _parser(model: LanguageModel) -> _Parser:
-    return _Parser(model)
-
-
 def predict(model: LanguageModel, texts: list[str | None]) -> list[tuple[str, float]]:
     """Language and score of each text.
 
@@ -169,7 +164,7 @@ def predict(model: LanguageModel, texts: list[str | None]) -> list[tuple[str, fl
     out: list[tuple[str, float]] = [(UNDETERMINED, 0.0)] * len(texts)
     if not model.samples:
         return out
-    parser, names = _parser(model), model.languages
+    parser, names = kept_by_worker(("cross_parsing", hash(model)), lambda: _Parser(model)), model.languages
     for part in runs_of([len(t or "") for t in texts], BATCH_CHARS):
         known = [(i, *parser.symbols(texts[i] or "")) for i in range(part.start, part.stop)]
         known = [(i, s) for i, s, has in known if has]

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickframe.llm._common import appending, byte_texts, written
+from tickframe.llm._common import appending, byte_texts, kept_by_worker, written
 from tickframe.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -80,6 +80,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, text: str
     """``docs`` with the fingerprint fp (bigint) behind its columns; a null text has that of the empty text, 0."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
+        kept_by_worker(("simhash_pivots",))
         for batch in batches:
             known: dict[bytes, int] = {}  # copies often follow each other
             found = []

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tickframe.llm._common import appending, runs_of, starts_of
+from tickframe.llm._common import appending, kept_by_worker, runs_of, starts_of
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -246,6 +246,7 @@ def encode(docs: DataFrame, encoder: Encoder, text: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(encoder)  # as large as its vocabulary
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
+        kept_by_worker(("unigram_pieces",))
         enc = shared.value
         for batch in batches:
             texts, out = batch.column(text).to_pylist(), []
