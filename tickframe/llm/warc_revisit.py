@@ -64,13 +64,14 @@ def revisits(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> Da
     page_id and payload are numbered (copy, in the order of their url): only copy 1 can be the response.  A null html is
     empty; a null page_id comes after all others.
     """
-    known = _with_digest(pages.select("page_id", "url", "html"))
-    headers = known.select("page_id", "payload_digest", "payload_bytes")
+    # one key without nulls for the join and the numbering of copies, so that payloads are shuffled once
+    key = F.coalesce("page_id", F.lit(-(2**63)))
+    known = _with_digest(pages.select("page_id", "url", "html")).withColumn("page_key", key)
+    headers = known.select("page_id", "page_key", "payload_digest")
     originals = headers.groupBy("payload_digest").agg(F.min("page_id").alias("original"))
-    decided = headers.select("page_id", "payload_digest").distinct().join(originals, "payload_digest").select(
-        F.col("page_id").alias("p"), F.col("payload_digest").alias("d"), "original")
-    joined = known.join(decided, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("payload_digest") == F.col("d")))
-    copy = F.row_number().over(W.partitionBy("page_id", "payload_digest").orderBy("url"))
+    decided = headers.select("page_key", "payload_digest").distinct().join(originals, "payload_digest")
+    joined = known.join(decided, ["page_key", "payload_digest"])
+    copy = F.row_number().over(W.partitionBy("page_key", "payload_digest").orderBy("url"))
     again = ~F.col("page_id").eqNullSafe(F.col("original")) | (F.col("copy") > 1)
     kind = F.when(again & (F.col("payload_bytes") >= min_revisit_bytes), "revisit").otherwise("response")
     return (joined.withColumn("copy", copy).withColumn("record_type", kind)
