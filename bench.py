@@ -61,15 +61,16 @@ def main() -> None:
     results["q10_daily_build"] = timed(lambda: noop(jobs.daily_indicators(bars, ind, latest)))
     payload = fixtures.payload_from_lineitem(spark, sf_dir)
     results["q11_payload_clean"] = timed(lambda: noop(ingest.clean_payload(payload)))
+    day, bar_day = (lambda: sink.latest_date(spark, ind_path)), (lambda: sink.latest_date(spark, bars_path))
     screens = {
-        "q1_attention_score": lambda: S.attention_score(ind),
-        "q2_attention_enhanced": lambda: S.enhanced_attention_score(ind, inst),
-        "q3_coiled_spring": lambda: S.coiled_spring(ind),
-        "q4_stealth_watchlist": lambda: S.stealth_watchlist(ind, inst),
-        "q5_instrument_details": lambda: S.instrument_details(bars, inst),
-        "q6_high_rvol_high_atr": lambda: S.high_rvol_high_atr(ind),
-        "q7_sector_heatmap": lambda: S.sector_heatmap(ind, inst),
-        "q8_zero_line_crossover": lambda: S.zero_line_crossover(ind),
+        "q1_attention_score": lambda: S.attention_score(ind, day()),
+        "q2_attention_enhanced": lambda: S.enhanced_attention_score(ind, inst, day()),
+        "q3_coiled_spring": lambda: S.coiled_spring(ind, day()),
+        "q4_stealth_watchlist": lambda: S.stealth_watchlist(ind, inst, day()),
+        "q5_instrument_details": lambda: S.instrument_details(bars, inst, bar_day()),
+        "q6_high_rvol_high_atr": lambda: S.high_rvol_high_atr(ind, day()),
+        "q7_sector_heatmap": lambda: S.sector_heatmap(ind, inst, day()),
+        "q8_zero_line_crossover": lambda: S.zero_line_crossover(ind, day()),
         "q1_all_dates": lambda: S.attention_score(ind, as_of="all"),
         "q8_all_dates": lambda: S.zero_line_crossover(ind, as_of="all"),
     }

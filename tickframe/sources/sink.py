@@ -10,6 +10,7 @@ survives, whatever the session's overwrite mode is.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -56,17 +57,17 @@ def replace_table(df: DataFrame, path: str, source: DataFrame | None = None) ->
 
 
 def latest_date(spark: SparkSession, path: str) -> dt.date | None:
-    """A-1: the last date of a date-partitioned folder, from its folder names (no file is opened).
+    """A-1: the last date of a date-partitioned folder, from Spark's listing of its partitions (no file is opened).
 
-    One listing on the driver, a name per date; None without a table or a date.
+    None without a table or without a date that has files.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
+    table = stored_table(spark, path, T.StructType([T.StructField(PARTITION_COLUMN, T.DateType())]))
+    if table is None:
         return None
-    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
-    days = [n.split("=", 1)[1] for n in names if n.startswith(f"{PARTITION_COLUMN}=")]
-    return max((dt.date.fromisoformat(d) for d in days if d[:1].isdigit()), default=None)
+    index = table._jdf.queryExecution().analyzed().collectLeaves().apply(0).relation().location()
+    names = index.partitionSpec().partitions().mkString("\n")  # one call for all names
+    days = re.findall(rf"/{PARTITION_COLUMN}=(\d{{4}}-\d\d-\d\d)\b", names)
+    return dt.date.fromisoformat(max(days)) if days else None
 
 
 def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
