@@ -10,7 +10,7 @@ shift below the period.  So if two windows are equal, some anchor (a shorter run
 of words that starts at a place of the cover) stands at the same offset in both:
 
 1. hash the anchors of all documents, and find those that occur more than once;
-2. extend: the windows that hold such an anchor are hashed whole (128 bits), and
+2. extend: the windows that hold such an anchor are hashed whole (96 bits), and
    all but the first of each kind are repetitions.
 
 In both steps a task sends one row for each hash of a batch; what a batch
@@ -172,7 +172,10 @@ def _repeated_anchors(anchors: DataFrame) -> DataFrame:
 
 
 def _windows(docs: DataFrame, window_words: int) -> DataFrame:
-    """(key, check, row, place) of the windows that hold a repeated anchor; ~place if the batch has the same window before."""
+    """(key, more, row) of the windows that hold a repeated anchor.
+
+    more: 32 further bits of the hash, then a bit that is set if the batch has the same window before, then the place.
+    """
     period = period_for(window_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,18 +195,18 @@ def _windows(docs: DataFrame, window_words: int) -> DataFrame:
                 np.add.at(edge, base + low, 1)
                 np.add.at(edge, base + np.maximum(high + 1, low), -1)
                 at = np.flatnonzero((np.cumsum(edge[:-1]) > 0) & (left >= window_words))
-                key, check = run_hashes(hashes, at, window_words, 2), run_hashes(_mixed(hashes), at, window_words, 3)
+                key = run_hashes(hashes, at, window_words, 2)
+                check = run_hashes(_mixed(hashes), at, window_words, 3) & np.uint64(0xFFFFFFFF)
                 row, place = ids[part][text[at]], place[at]
                 order = np.lexsort((place, row, check, key))
                 key, check, row, place = key[order], check[order], row[order], place[order]
                 later = np.zeros(len(key), dtype=bool)
                 later[1:] = (key[1:] == key[:-1]) & (check[1:] == check[:-1])
                 key = np.where(later, _own_key(row, place), key)
-                yield pa.RecordBatch.from_arrays(
-                    [_signed(key), _signed(check), pa.array(row), pa.array(np.where(later, ~place, place).astype(np.int32))],
-                    ["key", "check", "row", "place"])
+                more = check << np.uint64(32) | later.astype(np.uint64) << np.uint64(31) | place.astype(np.uint64)
+                yield pa.RecordBatch.from_arrays([_signed(key), _signed(more), pa.array(row)], ["key", "more", "row"])
 
-    return docs.select("row", "text", "places").mapInArrow(run, "key bigint, check bigint, row bigint, place int")
+    return docs.select("row", "text", "places").mapInArrow(run, "key bigint, more bigint, row bigint")
 
 
 def _repetitions(windows: DataFrame) -> DataFrame:
@@ -212,18 +215,18 @@ def _repetitions(windows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:
-            key, check, row, place = (batch.column(i).to_numpy() for i in range(4))
+            key, more, row = (batch.column(i).to_numpy() for i in range(3))
             if not len(key):
                 continue
+            check, place = more >> 32, (more & 0x7FFFFFFF).astype(np.int32)
             again = np.zeros(len(key), dtype=bool)
             again[1:] = (key[1:] == key[:-1]) & (check[1:] == check[:-1])
             again[0] = last == (key[0], check[0])
             last = (key[-1], check[-1])
-            again |= place < 0
-            place = np.where(place < 0, ~place, place)
+            again |= (more >> 31 & 1) == 1
             yield pa.RecordBatch.from_arrays([pa.array(row[again]), pa.array(place[again])], ["row", "place"])
 
-    found = (windows.repartition("key").sortWithinPartitions("key", "check", "row", "place")
+    found = (windows.repartition("key").sortWithinPartitions("key", F.shiftright("more", 32), "row", "more")
              .mapInArrow(run, "row bigint, place int"))
     return found.groupBy("row").agg(F.collect_list("place").alias("repeats"))
 
