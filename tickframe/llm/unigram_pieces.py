@@ -16,6 +16,7 @@ numpy.  Their ids are kept, for a bounded number of stretches.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
@@ -29,9 +30,9 @@ from tickframe.llm._common import appending, kept_by_worker, runs_of, starts_of
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
-KEPT_STRETCHES = 400_000
-BATCH_CHARS = 4_000_000
-NEW_AT_ONCE = 400_000
+KEPT_STRETCHES = 200_000
+BATCH_CHARS = 2_000_000
+NEW_AT_ONCE = 200_000
 
 _CUT = re.compile(r"(?<=[^ ▁])(?=[ ▁])")
 FIELDS = [T.StructField("pieces", T.BinaryType())]
@@ -222,7 +223,9 @@ class Encoder:
         """Ids of each text as little-endian bytes of ``dtype``; the empty text has none."""
         cut = [self._stretches(" " + t) if t else [] for t in texts]
         if len(self.known) > KEPT_STRETCHES:
-            self.known = dict(islice(self.known.items(), KEPT_STRETCHES // 2))
+            first = list(islice(self.known.items(), KEPT_STRETCHES // 2))
+            self.known.clear()
+            self.known.update(first)
         new = list({s for own in cut for s in own}.difference(self.known))
         for part in runs_of([len(s) for s in new], NEW_AT_ONCE):
             raw = [s.replace(" ", MARKER).encode("utf-8", "replace") for s in new[part]]
@@ -243,11 +246,18 @@ def encode(docs: DataFrame, encoder: Encoder, text: str = "text") -> DataFrame:
 
     A null text has null pieces, an empty one none.  One row per input row.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(encoder)  # as large as its vocabulary
+    shared, name = docs.sparkSession.sparkContext.broadcast(encoder), uuid.uuid4().hex  # as large as its vocabulary
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
-        kept_by_worker(("unigram_pieces",))
         enc = shared.value
+        # the worker keeps the stretches; a broadcast value of an earlier run must not hold them
+        enc.known = kept_by_worker(("unigram_pieces", name), dict)
+        try:
+            yield from coded(enc, batches)
+        finally:
+            enc.known = {}
+
+    def coded(enc: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
         for batch in batches:
             texts, out = batch.column(text).to_pylist(), []
             for part in runs_of([len(t or "") for t in texts], BATCH_CHARS):
