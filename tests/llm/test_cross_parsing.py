@@ -83,3 +83,34 @@ def test_no_labelled_text_and_no_rows(make_docs):
 def test_language_limit_is_an_error(make_docs):
     with pytest.raises(ValueError):
         C.fit(make_docs([(1, "a", "x"), (2, "b", "y")]), max_languages=1)
+
+
+def test_large_scripts_keep_their_letters(make_docs, monkeypatch):
+    """Languages of hundreds of letters each, two of them with the same letters, are told apart by the letters themselves."""
+    rng = random.Random(6)
+    han, hangul = [chr(0x4E00 + 7 * i) for i in range(2000)], [chr(0xAC00 + 5 * i) for i in range(2000)]
+    words = {name: ["".join(rng.choices(letters, k=3)) for _ in range(900)] for name, letters in
+             (("l1", "abcdefghijklmnopqrstuvwxyz"), ("l2", han), ("l3", han), ("l4", hangul))}
+    rows = [(10 * k + i, " ".join(rng.choices(words[lang], k=600)), lang) for k, lang in enumerate(words) for i in range(5)]
+    large = C.fit(make_docs(rows))
+    own = {lang: [" ".join(rng.choices(words[lang], k=12)) for _ in range(20)] for lang in words}
+    for lang, texts in own.items():
+        assert [name for name, _ in C.predict(large, texts)] == [lang] * 20
+    # the labelled text of the first language alone or beside the large scripts: its phrases stay the same
+    alone = C._Parser(C.LanguageModel(large.samples[:1]))
+    parser = C._Parser(large)
+    assert alone.phrases([alone.symbols(own["l1"][0])[0]])[0, 0] == parser.phrases([parser.symbols(own["l1"][0])[0]])[0, 0]
+    monkeypatch.setattr(C, "BLOCK", 10**6)
+    for texts in own.values():
+        text = texts[0] + " 한국 unknown"
+        want = [plain_phrases(sample.replace("\n", " "), text) for _, sample in large.samples]
+        assert parser.phrases([parser.symbols(text)[0]])[0].tolist() == want
+
+
+def test_hash_table_finds_all_keys_and_no_others():
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 5, 3000):
+        numbers = rng.permutation(3 * n + 3).astype(np.uint64) * np.uint64(977)
+        table = C._HashTable(numbers[:n], np.arange(n, dtype=np.uint32))
+        values, missing = table.find(numbers)
+        assert values[:n].tolist() == list(range(n)) and missing.tolist() == list(range(n, len(numbers)))

@@ -6,9 +6,10 @@ anywhere in the language's labelled text; the fewer phrases a character needs,
 the closer the language.  The language with the smallest normalised number of
 phrases wins.
 
-The automaton is made total: where a phrase ends, the transition leads to the
-state behind the next phrase's first character and carries a mark.  A text then
-costs one table look-up per character and language, done for many texts at
+Every letter of the labelled text has a symbol of its own, so the transitions of
+all automata are kept sparse, in one cuckoo hash table.  Where a phrase ends, the
+parse goes on in the state behind the next phrase's first character.  A text then
+costs two table look-ups per character and language, done for many texts at
 once with numpy.  Texts are parsed in blocks of ``BLOCK`` characters, so that
 one very long text is as fast as many short ones; a block's end ends a phrase.
 
@@ -37,10 +38,10 @@ UNDETERMINED = "und"
 CHARS_PER_LANGUAGE = 20_000
 DOCS_PER_LANGUAGE = 60
 MAX_LANGUAGES = 250
-MAX_LETTERS = 120
 BLOCK = 4096
 BATCH_CHARS = 6_000_000
 
+_NO_KEY = np.uint64(2**64 - 1)
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
 
 
@@ -50,8 +51,8 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(sys.maxunicode + 1)), dtype=bool, count=sys.maxunicode + 1)
 
 
-def suffix_automaton(symbols: np.ndarray, size: int) -> np.ndarray:
-    """Transitions (states x ``size``; -1: none) of the automaton of all substrings of ``symbols``; state 0 is the root."""
+def _moves(symbols: np.ndarray) -> list[dict[int, int]]:
+    """Transitions by state of the automaton of all substrings of ``symbols``; state 0 is the root."""
     step: list[dict[int, int]] = [{}]
     link, longest, last = [-1], [0], 0
     for c in symbols.tolist():
@@ -77,6 +78,12 @@ def suffix_automaton(symbols: np.ndarray, size: int) -> np.ndarray:
                     step[at][c] = copy
                     at = link[at]
         last = new
+    return step
+
+
+def suffix_automaton(symbols: np.ndarray, size: int) -> np.ndarray:
+    """The same transitions as a dense table (states x ``size``; -1: none), for small alphabets."""
+    step = _moves(symbols)
     table = np.full((len(step), size), -1, dtype=np.int32)
     for state, moves in enumerate(step):
         if moves:
@@ -84,6 +91,45 @@ def suffix_automaton(symbols: np.ndarray, size: int) -> np.ndarray:
     return table
 
 
+class _HashTable:
+    """Values (uint32) of distinct keys (uint64).  Each key is in one of two places; there are 2.5 to 5 places for each key."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        rng, bits = np.random.default_rng(5), max(4, (5 * len(keys) // 2).bit_length())
+        while (held := self._held(keys, bits, rng.integers(0, 2**63, 2, dtype=np.uint64) | np.uint64(1))) is None:
+            bits += 1
+        full = held >= 0
+        self.keys, self.values = np.full(len(held), _NO_KEY), np.zeros(len(held), dtype=np.uint32)
+        self.keys[full], self.values[full] = keys[held[full]], values[held[full]]
+
+    def _held(self, keys: np.ndarray, bits: int, factors: np.ndarray) -> np.ndarray | None:
+        """The number of the key in each place (-1: none); no result if some keys find no place."""
+        self.shift, self.factors = np.uint64(64 - bits), factors
+        places = np.array([self._places(keys, f) for f in factors], dtype=np.int64)
+        held, side, hand = np.full(1 << bits, -1, dtype=np.int64), np.zeros(len(keys), dtype=np.int64), np.arange(len(keys))
+        for _ in range(200):
+            if not len(hand):
+                return held
+            at = places[side[hand], hand]
+            before = held[at]
+            held[at] = hand
+            # keys that were driven out or did not get their place try the other one
+            hand = np.concatenate([hand[held[at] != hand], np.unique(before[before >= 0])])
+            side[hand] ^= 1
+        return None
+
+    def _places(self, keys: np.ndarray, factor: np.uint64) -> np.ndarray:
+        return (keys * factor >> self.shift).view(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Value of each key (any number where there is none), and the indices of the keys that are not there."""
+        at = self._places(keys, self.factors[0])
+        rest = np.flatnonzero(self.keys[at] != keys)
+        keys = keys[rest]
+        at[rest] = other = self._places(keys, self.factors[1])
+        return self.values[at], rest[self.keys[other] != keys]
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     """Labelled text of each language, in alphabetical order of the languages."""
@@ -96,29 +142,33 @@ class LanguageModel:
 
 
 class _Parser:
-    """The automata of a model as one table of marked transitions."""
+    """The automata of a model as one hash table of transitions.  Keys: state * ``size`` + symbol; states count through."""
 
     def __init__(self, model: LanguageModel) -> None:
         letters = _letters()
         points = np.concatenate([_points(text) for _, text in model.samples])
-        found, counts = np.unique(points[letters[points]], return_counts=True)
-        common = np.sort(found[np.argsort(-counts, kind="stable")][:MAX_LETTERS])
-        # 0: not a letter, 1: a letter that is rare or unknown in the labelled text
-        self.symbol = letters.astype(np.uint8)
-        self.symbol[common] = np.arange(2, 2 + len(common), dtype=np.uint8)
-        self.size = len(common) + 2
-        tables, self.begin, base = [], [], 0
-        for _, text in model.samples:
-            own = suffix_automaton(self.symbols(text)[0], self.size)
-            dead = len(own)  # where a character unknown to the language leads: the next one begins a phrase
-            restart = np.where(own[0] >= 0, own[0], dead)
-            own = np.vstack([own, np.full((1, self.size), -1, dtype=np.int32)])
-            ends = own < 0
-            table = (np.where(ends, restart, own).astype(np.int64) + base) * self.size * 2 + ends
-            tables.append(table)
-            self.begin.append((base + dead) * self.size)
-            base += len(own)
-        self.table = np.concatenate(tables).astype(np.int32 if base * self.size * 2 < 2**31 else np.int64).ravel()
+        found = np.unique(points[letters[points]])
+        self.size = len(found) + 2
+        # 0: not a letter, 1: a letter that no labelled text has
+        self.symbol = letters.astype(np.uint16 if self.size <= 1 << 16 else np.uint32)
+        self.symbol[found] = np.arange(2, self.size)
+        keys, values, begin, base = [], [], [], 0
+        self.restart = np.zeros((len(model.samples), self.size), dtype=np.uint32)
+        for restart, (_, text) in zip(self.restart, model.samples, strict=True):
+            step = _moves(self.symbols(text)[0])
+            dead = base + len(step)  # where a character unknown to the language leads: the next one begins a phrase
+            state = np.repeat(np.arange(len(step)), [len(moves) for moves in step])
+            symbol = np.array([c for moves in step for c in moves], dtype=np.int64)
+            target = np.array([to for moves in step for to in moves.values()], dtype=np.int64) + base
+            restart[:] = dead
+            restart[symbol[state == 0]] = target[state == 0]
+            inner = state > 0  # no phrase is parsed from the root: ``restart`` has its transitions
+            keys.append((state[inner] + base) * self.size + symbol[inner])
+            values.append(target[inner])
+            begin.append(dead)
+            base = dead + 1
+        self.begin = np.array(begin, dtype=np.uint32)
+        self.table = _HashTable(np.concatenate(keys).astype(np.uint64), np.concatenate(values).astype(np.uint32))
 
     def symbols(self, text: str) -> tuple[np.ndarray, bool]:
         """Symbols of a text, runs of other characters than letters as one; whether it has a letter."""
@@ -131,7 +181,7 @@ class _Parser:
     def phrases(self, parts: list[np.ndarray]) -> np.ndarray:
         """Phrases of each symbol array (rows) in each language (columns)."""
         lengths = np.array([len(p) for p in parts], dtype=np.int64)
-        text, starts = np.concatenate([*parts, np.zeros(0, np.uint8)]), starts_of(lengths)
+        text, starts = np.concatenate([*parts, np.zeros(0, self.symbol.dtype)]), starts_of(lengths)
         blocks = np.maximum(1, -(-lengths // BLOCK))
         owner = np.repeat(np.arange(len(parts)), blocks)
         nth = np.arange(len(owner)) - np.repeat(starts_of(blocks)[:-1], blocks)
@@ -139,13 +189,18 @@ class _Parser:
         size = np.minimum(lengths[owner] - nth * BLOCK, BLOCK)
         order = np.argsort(-size, kind="stable")
         begin, size = begin[order], size[order]
-        state = np.repeat(np.array(self.begin, dtype=self.table.dtype)[:, None], len(begin), axis=1)
+        state = np.repeat(self.begin[:, None], len(begin), axis=1)
         count = np.zeros(state.shape, dtype=np.int32)
+        size_ = np.uint64(self.size)
         active = np.searchsorted(-size, -np.arange(int(size[0]) if len(size) else 0), side="left")
         for t, n in enumerate(active.tolist()):
-            now = self.table[state[:, :n] + text[begin[:n] + t]]
-            count[:, :n] += now & 1
-            state[:, :n] = now >> 1
+            symbol = text[begin[:n] + t]
+            now, ends = self.table.find((state[:, :n] * size_ + symbol).ravel())
+            language = ends // n
+            nth = ends - language * n
+            now[ends] = self.restart[language, symbol[nth]]
+            count[language, nth] += 1
+            state[:, :n] = now.reshape(-1, n)
         out = np.zeros((len(parts), len(self.begin)), dtype=np.int64)
         np.add.at(out, owner[order], count.T)
         return out
