@@ -21,3 +21,17 @@ def make_docs(workers):
         return df.selectExpr("*", extra) if extra else df
 
     return make
+
+
+@pytest.fixture
+def collected(workers, monkeypatch):
+    """Lengths of the texts in all rows that reach the driver."""
+    kind, sizes = type(workers.range(0)), []
+
+    def collect(df, plain=kind.collect):
+        rows = plain(df)
+        sizes.extend(len(r["text"] or "") for r in rows if "text" in r.asDict())
+        return rows
+
+    monkeypatch.setattr(kind, "collect", collect)
+    return sizes

@@ -114,3 +114,15 @@ def test_hash_table_finds_all_keys_and_no_others():
         table = C._HashTable(numbers[:n], np.arange(n, dtype=np.uint32))
         values, missing = table.find(numbers)
         assert values[:n].tolist() == list(range(n)) and missing.tolist() == list(range(n, len(numbers)))
+
+
+def test_the_sample_is_bounded_before_the_driver(make_docs, collected):
+    rng = random.Random(9)
+    rows = [(1, "12 " * 9000 + prose(rng, "aa", 20_000), "aa")]  # no other text of this language, letters far behind
+    rows += [(10 + i, prose(rng, "bb", 700), "bb") for i in range(30)]
+    rows += [(100, "kort", "cc"), (101, prose(rng, "cc", 20_000), "cc")]
+    found = C.fit(make_docs(rows), chars_per_language=5000)
+    assert found.languages == ["aa", "bb", "cc"]
+    assert sum(collected) == 15_000 and all(len(t.replace("\n", "")) <= 5000 for _, t in found.samples)
+    assert found.samples[0][1] in rows[0][1] and found.samples[0][1][0].isalpha()
+    assert [lang for lang, _ in C.predict(found, [prose(rng, lang, 10) for lang in ("aa", "bb", "cc")])] == ["aa", "bb", "cc"]

@@ -13,9 +13,10 @@ costs two table look-ups per character and language, done for many texts at
 once with numpy.  Texts are parsed in blocks of ``BLOCK`` characters, so that
 one very long text is as fast as many short ones; a block's end ends a phrase.
 
-The labelled text is a bounded sample (``chars_per_language`` characters of
-whole documents for each language, chosen by a hash of the document id); every
-document is scored on its whole text.
+The labelled text is a bounded sample (``chars_per_language`` characters of each
+language, of documents chosen by a hash of their id; the last is cut at the
+bound), cut by Spark before it reaches the driver; every document is scored on
+its whole text.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickframe.llm._common import appending, kept_by_worker, runs_of, starts_of
+from tickframe.llm._common import appending, kept_by_worker, runs_of, starts_of, written
 
 UNDETERMINED = "und"
 CHARS_PER_LANGUAGE = 20_000
@@ -238,24 +239,27 @@ def fit(labelled: DataFrame, chars_per_language: int = CHARS_PER_LANGUAGE, docs_
         max_languages: int = MAX_LANGUAGES) -> LanguageModel:
     """Labelled text per language from columns doc_id, text and lang; nulls and texts without a letter are left out.
 
-    The sample is bounded: of each language the ``docs_per_language`` documents with the smallest hash, and of these whole
-    documents up to ``chars_per_language`` characters (a longer document only if there is no other).  More than
-    ``max_languages`` languages are an error.
+    The sample is bounded: of each language the ``docs_per_language`` documents with the smallest hash, and of these, in
+    that order, the first ``chars_per_language`` characters together.  Longer documents come last, from their first letter
+    on.  More than ``max_languages`` languages are an error.
     """
     usable = labelled.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # short enough documents first, in the order of a hash of the id
-    order = [F.length("text") > chars_per_language, F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")]
-    ranked = usable.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*order)))
-    rows = (ranked.where(F.col("rank") <= docs_per_language)
-            .select("lang", "rank", "text").limit(docs_per_language * max_languages + 1).collect())
-    chosen: dict[str, list[str]] = {}
-    for row in sorted(rows, key=lambda r: (r["lang"], r["rank"])):
-        own = chosen.setdefault(row["lang"], [])
-        if not own or sum(map(len, own)) + len(row["text"]) <= chars_per_language:
-            own.append(row["text"])
-    if len(chosen) > max_languages:
+    # short enough documents first, in the order of a hash of the id; no row keeps more than the bound from here on
+    long = F.length("text") > chars_per_language
+    window = F.when(long, F.regexp_replace("text", r"^\P{L}+", "").substr(1, chars_per_language)).otherwise(F.col("text"))
+    cut = usable.select("lang", "doc_id", long.alias("long"), F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t"),
+                        window.alias("text"))
+    order = W.partitionBy("lang").orderBy("long", "h", "doc_id", "t")
+    ranked = cut.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= docs_per_language)
+    before = F.sum(F.length("text")).over(order.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.length("text")
+    sample = written(ranked.withColumn("room", F.lit(chars_per_language) - before).where("room > 0")
+                     .select("lang", "rank", F.expr("substring(text, 1, int(room))").alias("text")), "cross-parsing-sample")
+    if sample.select("lang").distinct().count() > max_languages:
         raise ValueError(f"more than {max_languages} languages")
+    chosen: dict[str, list[str]] = {}
+    for row in sorted(sample.collect(), key=lambda r: (r["lang"], r["rank"])):
+        chosen.setdefault(row["lang"], []).append(row["text"])
     return LanguageModel(tuple((name, "\n".join(own)) for name, own in sorted(chosen.items())))
 
 
