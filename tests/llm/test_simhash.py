@@ -104,3 +104,11 @@ def test_empty_table_and_components(make_docs, workers):
     assert S.near_duplicates(make_docs([])).count() == 0
     links = workers.createDataFrame([(5, 4), (4, 3), (3, 9), (9, 9), (20, 21), (21, 20), (30, 30), (None, 3)], "a bigint, b bigint")
     assert sorted(map(tuple, components(links).collect())) == [(3, 3), (4, 3), (5, 3), (9, 3), (20, 20), (21, 20)]
+
+
+def test_one_doc_id_on_unrelated_texts_joins_no_classes(make_docs):
+    rng = random.Random(12)
+    a, b, c = (" ".join(f"{name}{rng.randrange(10**6)}" for _ in range(80)) for name in "abc")
+    rows = [(1, a), (2, b), (5, a), (5, b), (5, c), (5, c), (7, c), (None, a)]
+    kept = S.one_of_each(make_docs(rows)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(1, a), (2, b), (5, c)])

@@ -286,14 +286,20 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_dis
 def one_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """``docs`` (doc_id, text and any other columns) with one row of each component: that of the smallest doc_id.
 
-    Of rows that share this doc_id one stays; of a component without any doc_id one row of one fingerprint.
+    Components are of fingerprints: rows that share a doc_id but not their fingerprint are joined by bit distance only.
+    Of rows with the smallest doc_id the smallest fingerprint stays, once; a component without any doc_id keeps one row too.
     """
     names = docs.columns
-    prints = written(fingerprints(docs.select("doc_id", "text"), shingle_words).select("doc_id", "fp"), "simhash")
-    classes = written(_classes(prints, max_distance), "simhash-classes")
-    first = classes.where("node = class_id")
-    ids = first.where(F.col("node") < _NO_ID).select("node").distinct()
-    named = docs.join(ids, F.col("doc_id") == F.col("node"), "left_semi").dropDuplicates(["doc_id"])
-    unnamed = fingerprints(docs.where("doc_id is null"), shingle_words).join(
-        first.where(F.col("node") >= _NO_ID), F.col("fp") == F.col("f"), "left_semi").dropDuplicates(["fp"])
-    return named.select(*names).union(unnamed.select(*names))
+    texts = docs.withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text", "text_hash")
+    prints = written(fingerprints(texts, shingle_words).select("doc_id", "text_hash", "fp"), "simhash")
+    # of each fingerprint the row with the smallest id, and of equal ids the smallest hash
+    ordered = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "text_hash")
+    nodes = written(prints.groupBy("fp").agg(F.min(ordered).alias("row")).select("fp", F.col("fp").alias("node"), "row"), "simhash-nodes")
+    found = components(links(nodes.select("fp", "node"), max_distance), "simhash-links")
+    chosen = (nodes.join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("class_id"))
+              .agg(F.min("row").alias("row")).select(F.col("row.doc_id").alias("chosen_id"), F.col("row.text_hash").alias("chosen_hash")))
+    chosen = written(chosen, "simhash-chosen")
+    same = docs["doc_id"].eqNullSafe(chosen["chosen_id"]) & (F.xxhash64(docs["text"]) == chosen["chosen_hash"])
+    # rows of equal id and text are copies
+    kept = docs.join(chosen, same, "left_semi").withColumn("__text_hash", F.xxhash64("text"))
+    return kept.dropDuplicates(["doc_id", "__text_hash"]).select(*names)
