@@ -7,6 +7,8 @@ pieces of packed sequences.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,12 +19,22 @@ from tickframe.llm._common import fold, let_workers_import, written
 ORACLE_SQL = None
 
 
+def set_aside(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with every column but doc_id and text under a reserved name, and what gives the columns their names back.
+
+    So no name that an operator uses or adds can meet a column of the documents.
+    """
+    names = docs.columns
+    inner = [n.lower() if n.lower() in ("doc_id", "text") else f"__column_{i}" for i, n in enumerate(names)]
+    return docs.toDF(*inner), lambda found: found.select(*inner).toDF(*names)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those without a letter (or without text) go."""
     let_workers_import(spark)
     model = cross_parsing.fit(docs.where(fold(F.col("doc_id"), 3) != 1))
-    found = cross_parsing.identify(docs, model)
-    return found.where(F.col("lang_pred") != cross_parsing.UNDETERMINED).select(*docs.columns)
+    inner, back = set_aside(docs)
+    return back(cross_parsing.identify(inner, model).where(F.col("lang_pred") != cross_parsing.UNDETERMINED))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,13 +42,15 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     let_workers_import(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity_cnn.fit(docs, labels.where(fold(F.col("doc_id"), 5) != 0))
-    return toxicity_cnn.score(docs, model).where("predicted = 0").select(*docs.columns)
+    inner, back = set_aside(docs)
+    return back(toxicity_cnn.score(inner, model).where("predicted = 0"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the smallest id."""
     let_workers_import(spark)
-    return simhash_pivots.one_of_each(docs)
+    inner, back = set_aside(docs)
+    return back(simhash_pivots.one_of_each(inner))
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,12 +59,14 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A text that loses words becomes its other words, joined by one space, and n_chars follows; other texts stay as they are.
     """
     let_workers_import(spark)
-    found = cover_dedup.remove_repetitions(docs).where("n_removed < n_words or n_words = 0")
+    inner, back = set_aside(docs)
+    found = cover_dedup.remove_repetitions(inner).where("n_removed < n_words or n_words = 0")
     cut = F.col("n_removed") > 0
     changed = {"text": F.when(cut, F.col("kept_text")).otherwise(F.col("text"))}
-    if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(cut, F.length("kept_text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return found.withColumns(changed).select(*docs.columns)
+    for name, field in zip(inner.columns, docs.schema.fields, strict=True):
+        if field.name == "n_chars":
+            changed[name] = F.when(cut, F.length("kept_text")).otherwise(F.col(name)).cast(field.dataType)
+    return back(found.withColumns(changed))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -99,3 +99,18 @@ def test_empty_documents(workers, make_docs, folder):
 def test_every_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in catalog.llm_queries())
     assert numbers == list(range(1, 11))
+
+
+def test_columns_of_any_name_pass_unchanged(workers, folder):
+    path, rows, _ = folder
+    names = """row repeats places node score lang_pred predicted n_words n_removed kept_text fp f class_id component d t
+        text_hash __text_hash chosen_id chosen_hash key more place toxic hash rank a b k m""".split()
+    docs = workers.read.parquet(f"{path}/documents.parquet").where("doc_id < 60 or doc_id >= 1000")
+    docs = P.written(docs.selectExpr("*", *(f"concat('{n} ', doc_id) AS `{n}`" for n in names)), "clashing")
+    columns = docs.columns
+    for name, stage in P.STAGES[:-1]:
+        docs = P.written(stage(workers, docs, path), name)
+        assert docs.columns == columns
+        found = docs.collect()
+        assert found and all(r[n] == f"{n} {r['doc_id']}" for r in found for n in names), name
+    assert P.STAGES[-1][1](workers, docs, path).count() > 0
