@@ -8,18 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickframe.llm import (
+    bloom_variants,
     compression_bands,
     cover_dedup,
     cross_parsing,
     cutting_stock,
     kmeans_tree,
+    maxscore,
+    periodic_runs,
     simhash_pivots,
     token_files,
     toxicity_cnn,
     unigram_pieces,
     warc_revisit,
 )
-from tickframe.llm._common import fold, let_workers_import, scratch_path
+from tickframe.llm._common import fold, let_workers_import, scratch_path, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,6 +107,28 @@ def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_bloom_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents."""
+    words = bloom_variants.counted_words(_table(spark, sf_dir, "documents"))
+    return bloom_variants.variants(words.where(F.col("n") >= bloom_variants.FEWEST_OCCURRENCES))
+
+
+def op12_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty largest inner products of every twentieth vector with all others, in whole numbers."""
+    vectors = written(maxscore.quantised(_table(spark, sf_dir, "embeddings")), "maxscore-vectors")
+    return maxscore.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of the words of every document, and digests of all of them and of what they leave."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.periodic_runs(docs, periodic_runs.planted)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))), "")
+    return found.select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_pivots": op1_simhash_pivots,
@@ -116,8 +141,30 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_cutting_stock": op8_cutting_stock,
         "op9_kmeans_tree": op9_kmeans_tree,
         "op10_cross_parsing": op10_cross_parsing,
+        "op11_bloom_variants": op11_bloom_variants,
+        "op12_maxscore": op12_maxscore,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
+OP12_SQL = """
+WITH usable AS (
+    SELECT vec_id, min([CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding]) AS w
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+    GROUP BY vec_id),
+scored AS (
+    SELECT q.vec_id AS query_id, v.vec_id AS vec_id,
+           CAST(list_inner_product(CAST(q.w AS DOUBLE[]), CAST(v.w AS DOUBLE[])) AS BIGINT) AS score
+    FROM usable q JOIN usable v ON q.vec_id <> v.vec_id
+    WHERE q.vec_id % 20 = 0),
+ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op12_maxscore": OP12_SQL}
