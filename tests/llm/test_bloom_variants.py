@@ -61,6 +61,7 @@ def corpus():
             words.append(w.upper() if rng.random() < 0.1 else w)
         rows.append((i, rng.choice([" ", "-", "1"]).join(words)))
     rows += [(200 + i, "frequentword " * 300) for i in range(50)]  # a word that a third of all words are
+    rows += [(260, "cabcabcab " * 4 + "cabcabcabd " * 9 + "cabcabcabde " * 19)]  # forms of forms
     long = "x" * 3000
     rows += [(300, f"{long} {long} {long} {long[:-1]}y {long[:-1]}y {long[:-1]}y {long}z {long}z {long}z"), (301, None), (302, ""), (None, "frequentword frequentward")]
     return rows + [(300, "frequentward frequentward frequentward"), (7, rows[7][1])]
