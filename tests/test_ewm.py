@@ -1,4 +1,4 @@
-"""EWM prefix scan against the sequential definition and against pandas."""
+"""EWM blocked scan against the sequential definition and against pandas."""
 
 import math
 import random
@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickframe.operators.ewm import Ewm, ewm_columns, ewm_reference, scan_depth
+from tickframe.functions import windows as W
+from tickframe.operators.ewm import Ewm, era_bounds, eras_of_days, ewm_columns, ewm_reference
 
 SCHEMA = T.StructType([
     T.StructField("ticker", T.StringType()),
@@ -24,7 +25,7 @@ def frame(spark, series: dict[str, list]):
     for t, vals in series.items():
         for i, v in enumerate(vals):
             rows.append((t, dt.date(1990, 1, 1) + dt.timedelta(days=i), i, v))
-    return spark.createDataFrame(rows, SCHEMA)
+    return spark.createDataFrame(rows, SCHEMA).selectExpr("*", f"{W.era_sql()} AS era")
 
 
 def close(a, b, tol=1e-9):
@@ -40,8 +41,9 @@ def random_series(rng, n, null_rate):
     return out
 
 
-@pytest.mark.parametrize("radix", [2, 4])
-def test_scan_matches_sequential_fold(spark, radix):
+@pytest.mark.parametrize("era_days", [16, 100, 1400])
+def test_scan_matches_sequential_fold(spark, monkeypatch, era_days):
+    monkeypatch.setattr(W, "ERA_DAYS", era_days)
     rng = random.Random(7)
     lengths = [1, 2, 13, 14, 15, 255, 256, 257, 700]
     series = {f"t{i}": random_series(rng, n, [0.0, 0.1, 0.6][i % 3]) for i, n in enumerate(lengths)}
@@ -50,8 +52,10 @@ def test_scan_matches_sequential_fold(spark, radix):
     series["gap"] = random_series(rng, 20, 0.0) + [None] * 600 + random_series(rng, 20, 0.0)
     specs = [Ewm.weight("w14", "x", 1 / 14, 14), Ewm.span("s5", "x", 5), Ewm.weight("w21", "x", 1 / 21, 21),
              Ewm.span("s26", "x", 26, 3)]
-    depth = scan_depth(max(len(v) for v in series.values()), radix)
-    out = ewm_columns(frame(spark, series), specs, depth, radix=radix).orderBy("ticker", "rn").collect()
+    df = frame(spark, series)
+    eras, rows = era_bounds(df)
+    assert rows == sum(map(len, series.values())) and eras <= eras_of_days(max(map(len, series.values())))
+    out = ewm_columns(df, specs, eras).orderBy("ticker", "rn").collect()
     got = {}
     for r in out:
         got.setdefault(r["ticker"], []).append(r)
@@ -78,20 +82,39 @@ def test_reference_fold_matches_pandas():
 
 
 def test_constant_series_is_flat(spark):
-    out = ewm_columns(frame(spark, {"c": [10.0] * 40}), [Ewm.span("e", "x", 9)], scan_depth(40))
+    out = ewm_columns(frame(spark, {"c": [10.0] * 40}), [Ewm.span("e", "x", 9)], 1)
     vals = [r["e"] for r in out.collect()]
     assert all(abs(v - 10.0) < 1e-12 for v in vals)
 
 
 def test_no_leak_between_tickers(spark):
     df = frame(spark, {"a": [1.0] * 10, "b": [100.0] * 10})
-    out = ewm_columns(df, [Ewm.span("e", "x", 3)], scan_depth(10)).where(F.col("ticker") == "b").collect()
+    out = ewm_columns(df, [Ewm.span("e", "x", 5)], 1).where(F.col("ticker") == "b").collect()
     assert all(abs(r["e"] - 100.0) < 1e-12 for r in out)
 
 
-def test_scan_depth():
-    assert scan_depth(1, 4) == 1
-    assert scan_depth(4, 4) == 1
-    assert scan_depth(5, 4) == 2
-    assert scan_depth(607, 4) == 5
-    assert scan_depth(1024, 2) == 10
+def test_extremes_of_an_era(spark):
+    """A full era of rows at the fastest decay, values of all sizes, a gap before and behind."""
+    rng = random.Random(1)
+    vals = [10.0 ** rng.uniform(-6, 12) for _ in range(1300)] + [None] * 1200 + [5.0, None, 1e-9] + [0.0] * 1400 + [1e9] * 3
+    specs = [Ewm.span("s5", "x", 5), Ewm.weight("w21", "x", 1 / 21)]
+    df = frame(spark, {"t": vals})
+    rows = ewm_columns(df, specs, era_bounds(df)[0]).orderBy("rn").collect()
+    for s in specs:
+        for r, want in zip(rows, ewm_reference(vals, s.alpha), strict=True):
+            assert close(r[s.name], want, 1e-12) or abs(r[s.name] - want) < 1e-9 * abs(want) + 1e-150, (r["rn"], r[s.name], want)
+
+
+def test_series_of_one_null_pattern_share_their_products(spark):
+    df = frame(spark, {"t": random_series(random.Random(2), 30, 0.3)}).selectExpr("*", "-2 * x AS y")
+    out = ewm_columns(df, [Ewm.weight("a", "x", 0.1), Ewm.weight("b", "y", 0.1, seen="x")], 1)
+    assert out._jdf.queryExecution().analyzed().toString().count("product(") == 1
+    assert all(close(r["b"], None if r["a"] is None else -2 * r["a"]) for r in out.collect())
+
+
+def test_a_longer_history_than_announced_fails(spark):
+    df = frame(spark, {"t": [1.0] * 1500})
+    with pytest.raises(ValueError, match="too fast"):
+        ewm_columns(df, [Ewm.span("e", "x", 3)], 2)
+    with pytest.raises(Exception, match="longer than the scan"):
+        ewm_columns(df, [Ewm.span("e", "x", 5)], 1).collect()

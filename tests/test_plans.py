@@ -21,7 +21,7 @@ def test_indicator_job_shuffles_once(spark):
     path = tempfile.mkdtemp(prefix="tf-plan-") + "/bars"
     sink.replace_days(fixtures.bars_from_lineitem(spark, SF_SMALL), path)
     bars = ingest.read_bars(spark, path)
-    p = plan(indicators(bars, partitions=2, max_rows=1000))
+    p = plan(indicators(bars, partitions=2, eras=2))
     assert p.count("Exchange hashpartitioning(ticker") == 1
     assert p.count("Exchange") == 1
     assert p.count("Sort [") == 1                    # one sort serves every window stage

@@ -14,6 +14,9 @@ _SPEC = f"PARTITION BY {W.PARTITION} ORDER BY {W.ORDER}"
 OVER = f"OVER ({_SPEC})"
 RUNNING = f"OVER ({_SPEC} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 BEFORE = f"OVER ({_SPEC} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+_ERA_SPEC = f"PARTITION BY {W.PARTITION}, {W.ERA} ORDER BY market_date"
+OVER_ERA = f"OVER ({_ERA_SPEC})"
+RUNNING_ERA = f"OVER ({_ERA_SPEC} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
 
 def trailing(n: int) -> str:
@@ -54,18 +57,6 @@ def total(terms: list[str]) -> str:
     return out
 
 
-def guarded_by_count(fn: str, c: str, n: int, running_count: str, min_periods: int | None = None) -> str:
-    """``fn`` over the last ``n`` rows when at least ``min_periods`` of them are non-null.
-
-    The frame's non-null count is ``running_count(i) - running_count(i - n)``,
-    exact in integers, instead of a second sliding aggregate that Spark would
-    recompute over the whole frame for every row.
-    """
-    m = n if min_periods is None else min_periods
-    in_frame = f"({running_count} - coalesce(lag({running_count}, {n}) {OVER}, 0))"
-    return f"CASE WHEN {in_frame} >= {m} THEN {fn}({c}) {trailing(n)} END"
-
-
 MEAN_BLOCK = 10
 
 
@@ -81,6 +72,35 @@ def mean_by_blocks(block: str, n: int, running_count: str) -> str:
     ``avg`` frame is summed again for every row.  Only rows of the frame
     enter, so one bad value leaves the result ``n`` rows later.
     """
-    in_frame = f"({running_count} - coalesce(lag({running_count}, {n}) {OVER}, 0))"
     blocks = total([f"lag({block}, {k}) {OVER}" if k else block for k in range(n - MEAN_BLOCK, -1, -MEAN_BLOCK)])
-    return f"CASE WHEN {in_frame} >= {n} THEN {blocks} / {num(float(n))} END"
+    return f"CASE WHEN {full_frame(n, running_count)} THEN {blocks} / {num(float(n))} END"
+
+
+def full_frame(n: int, running_count: str) -> str:
+    """Whether the last ``n`` rows are all present, from a running count: exact in integers, without a frame of its own."""
+    return f"{running_count} - coalesce(lag({running_count}, {n}) {OVER}, 0) >= {n}"
+
+
+MOMENT_BLOCK = 5
+
+
+def block_moments(c: str, mean: str, squares: str) -> list[str]:
+    """Mean and sum of squared deviations of the last ``MOMENT_BLOCK`` rows, as columns ``mean`` and ``squares``."""
+    frame = trailing(MOMENT_BLOCK)
+    return [f"avg({c}) {frame} AS {mean}", f"var_pop({c}) {frame} * {num(float(MOMENT_BLOCK))} AS {squares}"]
+
+
+def std_by_blocks(mean: str, squares: str, n: int, running_count: str) -> str:
+    """Sample deviation of the last ``n`` rows (a multiple of ``MOMENT_BLOCK``) when all of them are present.
+
+    Moments of blocks read by lag merge into those of the frame: squared
+    deviations add up, and each block's mean adds its distance to the mean of
+    means.  No frame of ``n`` rows is summed, and nothing cancels.
+    """
+    at = range(n - MOMENT_BLOCK, -1, -MOMENT_BLOCK)
+    means = [f"lag({mean}, {k}) {OVER}" if k else mean for k in at]
+    inner = total([f"lag({squares}, {k}) {OVER}" if k else squares for k in at])
+    centre = f"({total(means)} / {num(float(len(means)))})"
+    between = total([f"(({m} - {centre}) * ({m} - {centre}))" for m in means])
+    merged = f"({inner} + {num(float(MOMENT_BLOCK))} * {between})"
+    return f"CASE WHEN {full_frame(n, running_count)} THEN sqrt({merged} / {num(float(n - 1))}) END"

@@ -1,4 +1,4 @@
-"""Exponentially weighted mean (``adjust=False``) per ticker, as a parallel prefix scan.
+"""Exponentially weighted mean (``adjust=False``) per ticker, as a blocked scan with carries.
 
 Semantics, per ticker in date order, with weight ``a``::
 
@@ -11,27 +11,28 @@ Semantics, per ticker in date order, with weight ``a``::
         elif c is not null: w = c             # first observation seeds
         emit w if n >= max(min_periods, 1) else null
 
-Every row is an affine map ``y_i = A_i * y_(i-1) + B_i`` of the state:
+Every row is an affine map ``y_i = A_i * y_(i-1) + B_i`` of the state, which is 0 before the first row:
 
 * null row:                 ``A = 1, B = 0``
-* first observation:        ``A = 0, B = c``
+* first observation:        ``A = 1, B = c``
 * observation ``g`` rows after the previous one, ``d = (1-a)^g``:
   ``A = d / (d + a), B = a*c / (d + a)``
 
-Affine maps compose associatively, so the scan runs in ``ceil(log_r(rows))``
-rounds of radix ``r``; round ``k`` combines each row with the rows
-``r^k, 2*r^k, .., (r-1)*r^k`` before it (``lag``).  Each round is one ``Window`` operator over the same
-partitioning and order as the rest of the job: no shuffle, no sort, no
-Python, and the rows of one long series are scanned as a whole in
-logarithmic depth.  Products that underflow to 0 are exact resets, so long
-null gaps need no special case.
+Within a block of rows, ``y_i = P_i * (carry + sum of B_j / P_j)``, where ``P`` is the running product of the ``A`` and
+``carry`` the state at the end of the block before: two running aggregates, so the work is in proportion to the rows.
+Blocks are the eras of a ticker (``functions/windows.py``): so many days that ``P`` stays far inside the range of a
+double (an ``A`` that a long gap made smaller than ``LEAST`` counts as ``LEAST``: what lies before is then below the
+precision of a double).  The terms of the sum grow like ``1/P``, so each prefix is as exact as the recursion.  States go
+from block to block by one running ``last`` for each block that the longest history has beyond the first: one up to some
+four years, eight for thirty.  Every step is a ``Window`` operator over the same partitioning and order as the rest of
+the job: no shuffle, no sort, no Python.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import sqlexpr as X
@@ -40,20 +41,24 @@ from ..functions import windows as W
 
 @dataclass(frozen=True)
 class Ewm:
-    """One output series: ``name`` = EWM of ``source`` with weight ``alpha``."""
+    """One output series: ``name`` = EWM of ``source`` with weight ``alpha``.
+
+    ``seen`` names a column that is null where ``source`` is; series of one ``seen`` share counts, gaps and products.
+    """
 
     name: str
     source: str
     alpha: float
     min_periods: int = 0
+    seen: str = ""
 
     @staticmethod
     def span(name: str, source: str, span: float, min_periods: int = 0) -> "Ewm":
-        return Ewm(name, source, _pandas_alpha(com=(span - 1) / 2.0), min_periods)
+        return Ewm(name, source, _pandas_alpha(com=(span - 1) / 2.0), min_periods, source)
 
     @staticmethod
-    def weight(name: str, source: str, alpha: float, min_periods: int = 0) -> "Ewm":
-        return Ewm(name, source, _pandas_alpha(com=1.0 / alpha - 1.0), min_periods)
+    def weight(name: str, source: str, alpha: float, min_periods: int = 0, seen: str = "") -> "Ewm":
+        return Ewm(name, source, _pandas_alpha(com=1.0 / alpha - 1.0), min_periods, seen or source)
 
 
 def _pandas_alpha(com: float) -> float:
@@ -61,87 +66,74 @@ def _pandas_alpha(com: float) -> float:
     return 1.0 / (1.0 + com)
 
 
-RADIX = 4
+LEAST = 1e-40
 
 
-def scan_depth(max_rows: int, radix: int | None = None) -> int:
-    """Rounds needed so that ``radix^depth >= max_rows``."""
-    radix = radix or RADIX
-    depth, reach = 0, 1
-    while reach < max(max_rows, 1):
-        depth, reach = depth + 1, reach * radix
-    return max(depth, 1)
+def era_bounds(df: DataFrame) -> tuple[int, int]:
+    """Eras that the dates of ``df`` span, and its rows: one narrow aggregate of one row."""
+    row = df.agg(F.expr(f"max({W.era_sql()}) - min({W.era_sql()}) + 1").alias("eras"), F.count(F.lit(1)).alias("n")).first()
+    return int(row["eras"] or 1), int(row["n"])
 
 
-def series_stats(df: DataFrame) -> tuple[int, int]:
-    """Longest series (rows of one ticker, bounded by the days of history) and total rows.
-
-    One narrow aggregate: partial counts per ticker, then one row.
-    """
-    row = df.groupBy(W.PARTITION).count().agg(F.max("count").alias("m"), F.sum("count").alias("n")).first()
-    return (int(row["m"] or 1), int(row["n"] or 0)) if row else (1, 0)
+def eras_of_days(days: int) -> int:
+    """Eras that a stretch of so many calendar days can touch."""
+    return -(-max(days - 1, 0) // W.ERA_DAYS) + 1
 
 
-def ewm_columns(df: DataFrame, specs: list[Ewm], depth: int, rn: str = "rn",
-                extra: list[str] | tuple = (), radix: int | None = None) -> DataFrame:
+def ewm_columns(df: DataFrame, specs: list[Ewm], eras: int, rn: str = "rn",
+                extra: list[str] | tuple = ()) -> DataFrame:
     """Add one column per spec (unrounded EWM, NULL before ``min_periods`` observations).
 
-    ``df`` must carry ``ticker``, ``market_date`` and the 0-based row ordinal
-    ``rn``; ``depth`` rounds of radix ``radix`` must cover the longest series
-    (``scan_depth``): a row beyond their reach fails the job.  ``extra`` (SQL ``expr AS name``) window columns are
-    computed in the first pass.  Each pass is one ``selectExpr``.
+    ``df`` must carry ``ticker``, ``era``, ``market_date`` and the 0-based row ordinal ``rn``; a row more than ``eras``
+    eras after its ticker's first fails the job.  ``extra`` (SQL ``expr AS name``) window columns are computed in the
+    first pass.  Weights may be 1/3 at most, with eras of 1,400 days: a faster decay would leave the range of a double.
     """
-    radix = radix or RADIX
-
-    # Pass 0: previous observation and observation count, once per source column.
-    sources = list(dict.fromkeys(s.source for s in specs))
-    prep = []
-    for src in sources:
-        prep.append(f"last(CASE WHEN {src} IS NOT NULL THEN {rn} END, true) {X.BEFORE} AS _p_{src}")
-        prep.append(f"count({src}) {X.RUNNING} AS _n_{src}")
+    if fast := [s.name for s in specs if (1.0 - s.alpha) ** W.ERA_DAYS < 1e-250]:
+        raise ValueError(f"weights of {fast} decay too fast for eras of {W.ERA_DAYS} days")
+    one, zero = X.num(1.0), X.num(0.0)
+
+    # Previous observation and observation count, once per pattern of nulls.
+    patterns = list(dict.fromkeys(s.seen for s in specs))
+    prep = [f"min({W.ERA}) {X.RUNNING} AS _first_era"]
+    for c in patterns:
+        prep.append(f"last(CASE WHEN {c} IS NOT NULL THEN {rn} END, true) {X.BEFORE} AS _p_{c}")
+        prep.append(f"count({c}) {X.RUNNING} AS _n_{c}")
     df = df.selectExpr("*", *prep, *extra)
 
-    one, zero = X.num(1.0), X.num(0.0)
+    # The affine maps; A once per pattern of nulls and weight.
+    weights = list(dict.fromkeys((s.seen, s.alpha) for s in specs))
+    product = {key: f"_q{i}" for i, key in enumerate(weights)}
     maps = []
+    for (c, alpha), name in product.items():
+        d, a = f"pow({X.num(1.0 - alpha)}, CAST({rn} - _p_{c} AS DOUBLE))", X.num(alpha)
+        maps.append(f"CASE WHEN {c} IS NULL OR _p_{c} IS NULL THEN {one} ELSE greatest({d} / ({d} + {a}), {X.num(LEAST)}) END AS _a{name}")
     for s in specs:
-        x, a, p = s.source, X.num(s.alpha), f"_p_{s.source}"
-        d = f"pow({X.num(1.0 - s.alpha)}, CAST({rn} - {p} AS DOUBLE))"
-        maps.append(f"CASE WHEN {x} IS NULL THEN {one} WHEN {p} IS NULL THEN {zero} "
-                    f"ELSE {d} / ({d} + {a}) END AS _a_{s.name}")
-        maps.append(f"CASE WHEN {x} IS NULL THEN {zero} WHEN {p} IS NULL THEN {x} "
-                    f"ELSE {a} * {x} / ({d} + {a}) END AS _b_{s.name}")
+        c, d, a = s.seen, f"pow({X.num(1.0 - s.alpha)}, CAST({rn} - _p_{s.seen} AS DOUBLE))", X.num(s.alpha)
+        maps.append(f"CASE WHEN {s.source} IS NULL THEN {zero} WHEN _p_{c} IS NULL THEN {s.source} "
+                    f"ELSE {a} * {s.source} / ({d} + {a}) END AS _b_{s.name}")
     df = df.selectExpr(*[X.q(c) for c in df.columns if not c.startswith("_p_")], *maps)
 
-    # Round k composes each row's map with the maps ending step, 2*step, ...
-    # rows earlier (Horner form); rows before the series start are identities.
-    names = {f"_a_{s.name}" for s in specs} | {f"_b_{s.name}" for s in specs}
-    step = 1
-    for k in range(depth):
-        last = k == depth - 1
-        out = []
-        for s in specs:
-            a_c, b_c = f"_a_{s.name}", f"_b_{s.name}"
-            a_lag = [f"coalesce(lag({a_c}, {j * step}) {X.OVER}, {one})" for j in range(1, radix)]
-            b_lag = [f"coalesce(lag({b_c}, {j * step}) {X.OVER}, {zero})" for j in range(1, radix)]
-            inner = b_lag[-1]
-            for j in range(radix - 3, -1, -1):
-                inner = f"({b_lag[j]} + {a_lag[j]} * {inner})"
-            out.append(f"({b_c} + {a_c} * {inner}) AS {b_c}")
-            if not last:
-                prod = a_c
-                for al in a_lag:
-                    prod = f"({prod} * {al})"
-                out.append(f"{prod} AS {a_c}")
-        df = df.selectExpr(*[X.q(c) for c in df.columns if c not in names], *out)
-        step *= radix
-
-    final = []
+    # Running products and sums of an era; `product` has no SQL name.
+    of_era = (Window.partitionBy(W.PARTITION, W.ERA).orderBy("market_date")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    df = df.withColumns({name: F.product(F.col(f"_a{name}")).over(of_era) for name in product.values()})
+    sums = [f"{product[s.seen, s.alpha]} * sum(_b_{s.name} / {product[s.seen, s.alpha]}) {X.RUNNING_ERA} AS _y_{s.name}" for s in specs]
+    gone = {f"_a{name}" for name in product.values()} | {f"_b_{s.name}" for s in specs}
+    df = df.selectExpr(*[X.q(c) for c in df.columns if c not in gone], f"lead({rn}) {X.OVER_ERA} IS NULL AS _ends", *sums)
+
+    # States at the ends of eras: round k makes the first k + 1 eras of each ticker right.
+    for k in range(eras - 1):
+        state = "_y" if k == 0 else "_z"
+        ends = {s.name: f"coalesce(last(CASE WHEN _ends THEN {state}_{s.name} END, true) {X.BEFORE}, {zero})" for s in specs}
+        kept = [X.q(c) for c in df.columns if not c.startswith("_z_")]
+        df = df.selectExpr(*kept, *[f"_y_{s.name} + {product[s.seen, s.alpha]} * {ends[s.name]} AS _z_{s.name}" for s in specs])
+
+    state, final = "_z" if eras > 1 else "_y", []
     for s in specs:
-        m = max(s.min_periods, 1)
-        final.append(f"CASE WHEN {rn} >= {radix ** depth} THEN CAST(raise_error('series longer than the scan reaches') AS DOUBLE) "
-                     f"WHEN _n_{s.source} >= {m} THEN _b_{s.name} END AS {s.name}")
-    drop = {f"_n_{src}" for src in sources} | {f"_b_{s.name}" for s in specs}
-    return df.selectExpr(*[X.q(c) for c in df.columns if c not in drop], *final)
+        final.append(f"CASE WHEN {W.ERA} - _first_era >= {eras} THEN CAST(raise_error('series longer than the scan reaches') AS DOUBLE) "
+                     f"WHEN _n_{s.seen} >= {max(s.min_periods, 1)} THEN {state}_{s.name} END AS {s.name}")
+    gone = {"_ends", "_first_era", *product.values(), *(f"_n_{c}" for c in patterns), *(f"{y}_{s.name}" for s in specs for y in ("_y", "_z"))}
+    return df.selectExpr(*[X.q(c) for c in df.columns if c not in gone], *final)
 
 
 def ewm_reference(values, alpha: float, min_periods: int = 0):
@@ -163,4 +155,4 @@ def ewm_reference(values, alpha: float, min_periods: int = 0):
     return out
 
 
-__all__ = ["Ewm", "ewm_columns", "ewm_reference", "scan_depth", "series_stats"]
+__all__ = ["Ewm", "era_bounds", "eras_of_days", "ewm_columns", "ewm_reference"]

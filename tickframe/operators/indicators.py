@@ -30,7 +30,7 @@ from ..functions import sqlexpr as X
 from ..functions import windows as W
 from ..schemas import (ALL_NULL_SUBSET, BAR_INPUT, INDICATOR_COLUMNS, TRAJECTORY_METRICS,
                        TRAJECTORY_WINDOWS)
-from .ewm import Ewm, ewm_columns, scan_depth, series_stats
+from .ewm import Ewm, era_bounds, ewm_columns
 from .rolling import lag_name, mean_present_sql, trend_fit_sql, trend_parts_sql
 
 # EWM weights, spans and minimum periods of the indicator set.
@@ -47,10 +47,12 @@ FIRST_LEVEL = (
     + [Ewm.weight(f"_atr_{n}", "true_range", 1.0 / n, n) for n in ATR_PERIODS + [KELTNER_ATR_PERIOD]]
     + [Ewm.span(f"_{name}", "volume", span) for name, span in VOLUME_EMA_SPANS.items()]
     + [Ewm.weight(f"_gain_{n}", "up_move", 1.0 / n, n) for n in RSI_PERIODS]
-    + [Ewm.weight(f"_loss_{n}", "down_move", 1.0 / n, n) for n in RSI_PERIODS]
+    + [Ewm.weight(f"_loss_{n}", "down_move", 1.0 / n, n, seen="up_move") for n in RSI_PERIODS]
     + [Ewm.weight("_pdm", "plus_dm", 1.0 / ADX_PERIOD, ADX_PERIOD),
-       Ewm.weight("_mdm", "minus_dm", 1.0 / ADX_PERIOD, ADX_PERIOD)]
+       Ewm.weight("_mdm", "minus_dm", 1.0 / ADX_PERIOD, ADX_PERIOD, seen="plus_dm")]
 )
+#: Rounded outputs whose change from the bar before is an output too.
+DIFFERENCED = ["rvol_ema_5", "rsi_14", "atr_14"]
 SECOND_LEVEL = [
     Ewm.span("_macd_signal", "macd", MACD_SIGNAL_SPAN),
     Ewm.weight("_adx", "dx", 1.0 / ADX_PERIOD, ADX_PERIOD),
@@ -69,39 +71,48 @@ def stage_moves(bars: DataFrame) -> DataFrame:
     A (ticker, market_date) that occurs twice fails the job here: the rows
     are sorted by it, so the check costs one lag and no pass of its own.
     """
-    s = bars.selectExpr(
-        *BAR_INPUT,
-        f"CAST(row_number() {X.OVER} - 1 AS INT) AS _rn",
-        f"{X.lag('market_date')} AS _prev_date",
+    return moves(bars.selectExpr(*BAR_INPUT, f"{W.era_sql()} AS {W.ERA}").selectExpr(
+        *BAR_INPUT, W.ERA,
+        f"CAST(row_number() {X.OVER} - 1 AS INT) AS rn",
+        f"{X.lag('market_date')} AS prev_date",
         f"{X.lag('close')} AS prev_close",
-        f"{X.lag('high')} AS _prev_high",
-        f"{X.lag('low')} AS _prev_low",
-        f"{X.lag('volume')} AS _vol_l1",
-    )
+        f"{X.lag('high')} AS prev_high",
+        f"{X.lag('low')} AS prev_low",
+        f"{X.lag('volume')} AS prev_volume",
+    ))
+
+
+def moves(s: DataFrame) -> DataFrame:
+    """Formulas of stage 1, from each bar and the values of the bar before."""
     zero = X.num(0.0)
     delta = "(close - prev_close)"
-    up, down = "(high - _prev_high)", "(_prev_low - low)"
+    up, down = "(high - prev_high)", "(prev_low - low)"
+    replaced = {"rn", "prev_date", "prev_high", "prev_low", "prev_volume"}
     return s.selectExpr(
-        "ticker", "market_date",
-        "CASE WHEN _prev_date = market_date "
-        "THEN CAST(raise_error(concat('duplicate key: ', ticker, ' ', market_date)) AS INT) ELSE _rn END AS rn",
-        "open", "high", "low", "close", "volume", "prev_close",
+        *[X.q(c) for c in s.columns if c not in replaced],
+        "CASE WHEN prev_date = market_date "
+        "THEN CAST(raise_error(concat('duplicate key: ', ticker, ' ', market_date)) AS INT) ELSE rn END AS rn",
         "greatest(high - low, abs(high - prev_close), abs(low - prev_close)) AS true_range",
         f"CASE WHEN {delta} IS NOT NULL THEN greatest({delta}, {zero}) END AS up_move",
         f"CASE WHEN {delta} IS NOT NULL THEN -least({delta}, {zero}) END AS down_move",
         f"CASE WHEN ({up} > {down}) AND ({up} > 0) THEN {up} ELSE {zero} END AS plus_dm",
         f"CASE WHEN ({down} > {up}) AND ({down} > 0) THEN {down} ELSE {zero} END AS minus_dm",
         f"coalesce(signum({delta}), {zero}) * volume AS obv_change",
-        f"{X.rnd(X.pct('volume', '_vol_l1'), 2)} AS volume_dod_pct",
+        f"{X.rnd(X.pct('volume', 'prev_volume'), 2)} AS volume_dod_pct",
     )
 
 
-def stage_first_ewm(s1: DataFrame, depth: int) -> DataFrame:
+def stage_first_ewm(s1: DataFrame, eras: int) -> DataFrame:
     """Stage 2: first-level EWMs and running OBV, then the formulas built on them."""
     obv = f"CASE WHEN obv_change IS NOT NULL THEN sum(obv_change) {X.RUNNING} END AS obv"
     counts = [f"count(close) {X.RUNNING} AS n_close", f"count(volume) {X.RUNNING} AS n_volume",
-              f"{X.block_sum('close')} AS s_close", f"{X.block_sum('volume')} AS s_volume"]
-    s2 = ewm_columns(s1, FIRST_LEVEL, depth, extra=[obv, *counts])
+              f"{X.block_sum('close')} AS s_close", f"{X.block_sum('volume')} AS s_volume",
+              *X.block_moments("close", "m_close", "v_close")]
+    return averages(ewm_columns(s1, FIRST_LEVEL, eras, extra=[obv, *counts]))
+
+
+def averages(s2: DataFrame) -> DataFrame:
+    """Formulas of stage 2, from the unrounded first-level EWMs."""
     h, two = X.num(100.0), X.num(2.0)
     atr = {n: X.rnd(f"_atr_{n}", 4) for n in ATR_PERIODS}
     ema_9, ema_21 = X.rnd("_ema_9", 4), X.rnd("_ema_21", 4)
@@ -112,9 +123,9 @@ def stage_first_ewm(s1: DataFrame, depth: int) -> DataFrame:
     minus_di = X.rnd(X.div(f"{h} * _mdm", atr[14]), 2)
     dx = f"{h} * {X.div(f'abs({plus_di} - {minus_di})', f'{plus_di} + {minus_di}')}"
     k_atr = f"_atr_{KELTNER_ATR_PERIOD}"
+    used = {s.name for s in FIRST_LEVEL} | {"high", "low", "true_range", "up_move", "down_move", "plus_dm", "minus_dm", "obv_change"}
     return s2.selectExpr(
-        "ticker", "market_date", "rn", "open", "close", "volume", "prev_close", "obv", "volume_dod_pct",
-        "n_close", "n_volume", "s_close", "s_volume",
+        *[X.q(c) for c in s2.columns if c not in used],
         f"{atr[14]} AS atr_14",
         f"{X.rnd(f'{X.div(atr[14], 'close')} * {h}', 4)} AS atr_14_pct",
         f"{atr[5]} AS atr_5",
@@ -142,17 +153,21 @@ def stage_first_ewm(s1: DataFrame, depth: int) -> DataFrame:
     )
 
 
-def stage_second_ewm(s2: DataFrame, depth: int) -> DataFrame:
+def stage_second_ewm(s2: DataFrame, eras: int) -> DataFrame:
     """Stage 3: second-level EWMs and the first differences of rounded outputs."""
-    extra = [
-        f"{X.rnd(f'rvol_ema_5 - {X.lag('rvol_ema_5')}', 2)} AS rvol_ema_5_dod_diff",
-        f"{X.rnd(f'rsi_14 - {X.lag('rsi_14')}', 2)} AS rsi_14_dod_diff",
-        f"{X.rnd(X.pct('atr_14', X.lag('atr_14')), 2)} AS atr_14_dod_pct",
-    ]
-    s3 = ewm_columns(s2, SECOND_LEVEL, depth, extra=extra)
+    before = [f"{X.lag(c)} AS prev_{c}" for c in DIFFERENCED]
+    return signals(ewm_columns(s2, SECOND_LEVEL, eras, extra=before))
+
+
+def signals(s3: DataFrame) -> DataFrame:
+    """Formulas of stage 3, from the unrounded second-level EWMs and the values of the bar before."""
     macd_signal = X.rnd("_macd_signal", 4)
+    used = {s.name for s in SECOND_LEVEL} | {"dx"} | {f"prev_{c}" for c in DIFFERENCED}
     return s3.selectExpr(
-        *[X.q(x) for x in s3.columns if not x.startswith("_") and x != "dx"],
+        *[X.q(c) for c in s3.columns if c not in used],
+        f"{X.rnd('rvol_ema_5 - prev_rvol_ema_5', 2)} AS rvol_ema_5_dod_diff",
+        f"{X.rnd('rsi_14 - prev_rsi_14', 2)} AS rsi_14_dod_diff",
+        f"{X.rnd(X.pct('atr_14', 'prev_atr_14'), 2)} AS atr_14_dod_pct",
         f"{macd_signal} AS macd_signal",
         f"{X.rnd(f'macd - {macd_signal}', 4)} AS macd_hist",
         f"{X.rnd('_adx', 2)} AS adx_14",
@@ -171,8 +186,8 @@ def stage_wide_windows(s3: DataFrame) -> DataFrame:
         f"{X.lag('volume', 21)} AS _vol_l21",
         f"{X.mean_by_blocks('s_close', 50, 'n_close')} AS _sma_50",
         f"{X.mean_by_blocks('s_close', 200, 'n_close')} AS _sma_200",
-        f"{X.guarded_by_count('avg', 'close', 20, 'n_close')} AS _sma_20",
-        f"{X.guarded_by_count('stddev_samp', 'close', 20, 'n_close')} AS _std_20",
+        f"{X.mean_by_blocks('s_close', 20, 'n_close')} AS _sma_20",
+        f"{X.std_by_blocks('m_close', 'v_close', 20, 'n_close')} AS _std_20",
         f"{X.mean_by_blocks('s_volume', 10, 'n_volume')} AS _vol_sma_10",
         f"{X.mean_by_blocks('s_volume', 60, 'n_volume')} AS _vol_sma_60",
         f"{X.lag('volume_dod_pct', 1)} AS _vdp_l1",
@@ -224,37 +239,38 @@ def stage_wide_outputs(w: DataFrame) -> DataFrame:
 ROWS_PER_PARTITION = 2_000_000  # bars per task of the window stages (~1.6 GB of wide rows, streamed)
 
 
-def windowed(bars: DataFrame, max_rows: int | None = None, partitions: int | None = None) -> DataFrame:
+def windowed(bars: DataFrame, eras: int | None = None, partitions: int | None = None, clustered: bool = False) -> DataFrame:
     """Bars with all window columns of the 96 outputs; ``stage_wide_outputs`` finishes any subset of the rows.
 
-    The number of EWM rounds follows the longest series: ``max_rows`` where
-    the caller knows a bound (a longer series fails the job, see
+    The number of EWM carries follows the eras that the dates span: ``eras``
+    where the caller knows a bound (a longer series fails the job, see
     ``ewm_columns``), else measured.  ``partitions`` sets the one hash
     exchange on ``ticker``.  When either is omitted, one narrow aggregate over
-    ``bars`` measures the longest series and the row count; partitions are
+    ``bars`` measures the eras and the row count; partitions are
     then ``max(default parallelism, rows / ROWS_PER_PARTITION)``.  The count is
     fixed explicitly because the shuffled bars are narrow while the rows the
     windows build are ~14x wider (AQE would size by the former), and it does
     not depend on a session-wide ``spark.sql.shuffle.partitions`` sized for
-    other jobs.
+    other jobs.  Bars that are stored ``clustered`` by ticker
+    (``sources/bucketed.py``) are taken as they lie, without an exchange.
     """
     spark = bars.sparkSession
     bars = bars.select(*BAR_INPUT)
-    if max_rows is None or partitions is None:
-        longest, rows = series_stats(bars)
-        max_rows = max_rows or longest
+    if eras is None or (partitions is None and not clustered):
+        spanned, rows = era_bounds(bars)
+        eras = eras or spanned
         partitions = partitions or max(spark.sparkContext.defaultParallelism,
                                        -(-rows // ROWS_PER_PARTITION), 1)
-    depth = scan_depth(max_rows)
-    bars = bars.repartition(partitions, W.PARTITION)
-    return stage_wide_windows(stage_second_ewm(stage_first_ewm(stage_moves(bars), depth), depth))
+    if not clustered:
+        bars = bars.repartition(partitions, W.PARTITION)
+    return stage_wide_windows(stage_second_ewm(stage_first_ewm(stage_moves(bars), eras), eras))
 
 
-def indicators(bars: DataFrame, partitions: int | None = None, max_rows: int | None = None,
-               keep_rn: bool = False) -> DataFrame:
+def indicators(bars: DataFrame, partitions: int | None = None, eras: int | None = None,
+               keep_rn: bool = False, clustered: bool = False) -> DataFrame:
     """All 96 indicator columns for every bar (no row filter applied); see ``windowed`` for the arguments."""
     cols = INDICATOR_COLUMNS + (["rn"] if keep_rn else [])
-    return stage_wide_outputs(windowed(bars, max_rows, partitions)).select(*cols)
+    return stage_wide_outputs(windowed(bars, eras, partitions, clustered)).select(*cols)
 
 
 def drop_all_null(ind: DataFrame) -> DataFrame:

@@ -1,44 +1,19 @@
-"""Row-window operators: lags, guarded rolling statistics, rolling regression.
+"""Rolling regression and short means as SQL over columns of lagged values.
 
-Every function returns a Column over ``functions.windows.by_ticker()``; the
-caller places them in one ``select`` per stage so that Spark evaluates all of
-a stage's window expressions in a single ``Window`` operator.
+The caller computes the lags of a stage in one ``selectExpr``, so that Spark
+evaluates them in a single ``Window`` operator (or takes them from a stored
+carry, see ``plans/carry.py``); the formulas here read one row each.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from ..functions import sqlexpr as X
-from ..functions import windows as W
-from ..functions.numeric import col
-
-
-def lag(c: Column | str, n: int = 1) -> Column:
-    return F.lag(col(c), n).over(W.by_ticker())
 
 
 def lag_name(metric: str, k: int) -> str:
     return f"_lag{k}_{metric}"
 
 
-def lag_columns(metric: str, n: int) -> list[Column]:
-    """``lag(metric, k)`` for ``k = 1 .. n-1``, named for ``window_values``."""
-    return [lag(metric, k).alias(lag_name(metric, k)) for k in range(1, n)]
-
-
-def window_values(metric: str, n: int) -> list[Column]:
-    """The last ``n`` values, oldest first, from the columns of ``lag_columns``."""
-    return [F.col(lag_name(metric, n - 1 - j)) if j < n - 1 else F.col(metric) for j in range(n)]
-
-
-def _sum(terms: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, terms)
-
-
 def fit_name(metric: str, n: int, part: str) -> str:
     return f"_{part}_{metric}_{n}"
 
@@ -63,7 +38,7 @@ def trend_fit_sql(metric: str, n: int, flat: float = 1e-8) -> tuple[str, str]:
     and ``r2 = 0`` when the sample std is below ``flat`` (a flat line).  Any
     NULL in the window (including rows before the window is full) gives NULL.
     Sums run oldest to newest, so the result does not depend on the engine.
-    Needs the columns of ``lag_columns`` and ``trend_parts_sql``.
+    Needs the columns named by ``lag_name`` and those of ``trend_parts_sql``.
     """
     values = _window_names(metric, n)
     mean, sxy = fit_name(metric, n, "mean"), fit_name(metric, n, "sxy")
@@ -75,25 +50,9 @@ def trend_fit_sql(metric: str, n: int, flat: float = 1e-8) -> tuple[str, str]:
     return slope, r2
 
 
-def trend_parts(metric: str, n: int) -> list[Column]:
-    return [F.expr(e) for e in trend_parts_sql(metric, n)]
-
-
-def trend_fit(metric: str, n: int, flat: float = 1e-8) -> tuple[Column, Column]:
-    slope, r2 = trend_fit_sql(metric, n, flat)
-    return F.expr(slope), F.expr(r2)
-
-
 def mean_present_sql(names: list[str]) -> str:
     """Mean of the non-null values (NULL when none), summed oldest to newest."""
     zero, one = X.num(0.0), X.num(1.0)
     tot = X.total([f"coalesce({c}, {zero})" for c in names])
     cnt = X.total([f"CASE WHEN {c} IS NOT NULL THEN {one} ELSE {zero} END" for c in names])
     return f"CASE WHEN {cnt} > 0 THEN {tot} / {cnt} END"
-
-
-def mean_present(values: list[Column]) -> Column:
-    """Mean of the non-null values (NULL when none), summed oldest to newest."""
-    total = _sum([F.coalesce(v, F.lit(0.0)) for v in values])
-    count = _sum([F.when(v.isNotNull(), F.lit(1.0)).otherwise(F.lit(0.0)) for v in values])
-    return F.when(count > 0, total / count)

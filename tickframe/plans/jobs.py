@@ -15,6 +15,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.ewm import eras_of_days
 from ..operators.indicators import drop_all_null, indicators, stage_wide_outputs, windowed
 from ..schemas import INDICATOR_COLUMNS, INDICATORS
 from ..sources import ingest, sink
@@ -63,13 +64,13 @@ def daily_indicators(bars: DataFrame, stored: DataFrame | None, day: dt.date | s
 
     The slice is computed once: after its windows only the target and anchor
     rows of each ticker go on, so the formulas of the 96 outputs run for one
-    date.  The EWM depth follows the slice bound (one bar per ticker and
-    calendar day; a duplicate bar fails the job); without ``partitions`` one
+    date.  The EWM carries follow the slice bound (a duplicate bar fails the
+    job); without ``partitions`` one
     narrow aggregate sizes the exchange.
     """
     d = _date(day)
     since = F.date_sub(d, lookback_days)
-    ind = windowed(ingest.scan_bars(bars, d, lookback_days), lookback_days + 1, partitions)
+    ind = windowed(ingest.scan_bars(bars, d, lookback_days), eras_of_days(lookback_days + 1), partitions)
     if stored is None:
         return drop_all_null(stage_wide_outputs(ind.where(F.col("market_date") == d)).select(*INDICATOR_COLUMNS))
     anchor = obv_anchor(stored, d, since)
