@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from tickframe.operators.indicators import indicators
 from tickframe.plans import jobs
-from tickframe.schemas import BARS, INDICATOR_COLUMNS, PAYLOAD
+from tickframe.schemas import BARS, INDICATOR_COLUMNS, INDICATORS, KEY, PAYLOAD
 from tickframe.sources import fixtures, ingest, sink
 from tickframe.streaming import landed_days
 
@@ -54,13 +54,6 @@ def test_replace_table_skips_empty(spark):
     assert sink.replace_table(bars, path) is False
 
 
-def test_csv_sink_marks_nulls(spark):
-    path = tempfile.mkdtemp(prefix="tf-csv-") + "/out"
-    sink.write_csv(spark.createDataFrame([("a", None)], "t string, v double"), path)
-    text = "".join(open(f).read() for f in __import__("glob").glob(path + "/part-*"))
-    assert "a,\\N" in text
-
-
 def test_missing_business_days(spark):
     rows = [obj(dt.date(2024, 1, d), "A", 1.0) for d in (1, 2, 5, 8)]  # Mon, Tue, Fri, Mon
     bars = ingest.clean_payload(payload_df(spark, rows))
@@ -125,17 +118,17 @@ def test_backfill_then_daily_refresh_is_idempotent(spark):
     sink.assert_unique(bars)
     want_bars = ingest.clean_payload(payload).count()
     assert bars.count() == want_bars
-    n_ind = spark.read.parquet(ind_path).count()
+    n_ind = sink.stored_table(spark, ind_path, INDICATORS).count()
     assert n_ind == jobs.bulk_indicators(bars).count()
     day = bars.agg(F.max("market_date")).first()[0]
     jobs.refresh_day(spark, bars_path, ind_path, day)
-    first = sorted(tuple(r) for r in spark.read.parquet(ind_path).where(F.col("market_date") == day)
+    first = sorted(tuple(r) for r in sink.stored_table(spark, ind_path, INDICATORS).where(F.col("market_date") == day)
                    .select("ticker", "obv", "sma_50", "rsi_14").collect())
     jobs.refresh_day(spark, bars_path, ind_path, day)
-    again = sorted(tuple(r) for r in spark.read.parquet(ind_path).where(F.col("market_date") == day)
+    again = sorted(tuple(r) for r in sink.stored_table(spark, ind_path, INDICATORS).where(F.col("market_date") == day)
                    .select("ticker", "obv", "sma_50", "rsi_14").collect())
     assert first == again and first
-    assert spark.read.parquet(ind_path).count() == n_ind
+    assert sink.stored_table(spark, ind_path, INDICATORS).count() == n_ind
 
 
 def test_register_views_runs_sql(spark):
@@ -156,10 +149,10 @@ def test_command_line_modes(spark, capsys):
     days = [r[0] for r in payload.select("market_date").distinct().orderBy("market_date").collect()]
     landed_days.land(payload.where(F.col("market_date") < days[-1]), land)
     assert main(["backfill", "--landing", land, "--bars", bars_path, "--indicators", ind_path]) == 0
-    before = spark.read.parquet(ind_path).count()
+    before = sink.stored_table(spark, ind_path, INDICATORS).count()
     landed_days.land(payload.where(F.col("market_date") == days[-1]), land)
     assert main(["daily", "--landing", land, "--bars", bars_path, "--indicators", ind_path]) == 0
-    after = spark.read.parquet(ind_path)
+    after = sink.stored_table(spark, ind_path, INDICATORS)
     assert after.where(F.col("market_date") == days[-1]).count() > 0
     assert after.count() > before
     assert main(["recalculate", "--bars", bars_path, "--indicators", ind_path]) == 0

@@ -3,13 +3,15 @@
 import re
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from tickframe.operators import screens
+from tickframe.operators import asof, screens
 from tickframe.operators.indicators import indicators
 from tickframe.plans import jobs
-from tickframe.sources import fixtures, ingest, sink
+from tickframe.schemas import BARS
+from tickframe.sources import bucketed, fixtures, ingest, sink
 from tickframe.streaming import landed_days
 
 
@@ -25,19 +27,21 @@ def test_indicator_job_shuffles_once(spark):
     assert p.count("Exchange hashpartitioning(ticker") == 1
     assert p.count("Exchange") == 1
     assert p.count("Sort [") == 1                    # one sort serves every window stage
-    assert "ReadSchema: struct<ticker:string,open:double,high:double,low:double,close:double,volume:double>" in p
+    assert "ReadSchema: struct<ticker:string,market_date:date,open:double,high:double,low:double,close:double,volume:double>" in p
 
 
 def test_daily_slice_prunes_partitions(spark):
     path = tempfile.mkdtemp(prefix="tf-plan-") + "/bars"
-    sink.replace_days(fixtures.bars_from_lineitem(spark, SF_SMALL), path)
+    sink.replace_table(fixtures.bars_from_lineitem(spark, SF_SMALL), path)
     bars = ingest.read_bars(spark, path)
     df = ingest.scan_bars(bars, F.lit("2001-11-04").cast("date"), 400)
     df.collect()
     text = df._jdf.queryExecution().executedPlan().toString()
     part = text[text.index("PartitionFilters: ["):]
     part = part[:part.index("]")]
-    assert "market_date" in part and "<= 2001-11-04" in part and ">= 2000-09-30" in part
+    assert "market_month" in part and "<= 2001-11-01" in part and ">= 2000-09-01" in part
+    pushed = text[text.index("PushedFilters: ["):]
+    assert "LessThanOrEqual(market_date,2001-11-04), GreaterThanOrEqual(market_date," in pushed  # the text is cut off there
 
 
 def test_latest_screen_uses_scalar_subquery_and_topk(spark):
@@ -57,16 +61,36 @@ def test_exchange_sized_from_data_not_session_default(spark):
     assert f"hashpartitioning(ticker#" in p and f", {n}), REPARTITION_BY_NUM" in p
 
 
-def test_latest_date_comes_from_folder_names_and_one_partition_is_read(spark):
-    path = tempfile.mkdtemp(prefix="tf-plan-") + "/months"
-    months = fixtures.monthly_summary(fixtures.bars_from_lineitem(spark, SF_SMALL))
-    sink.replace_table(months, path)
+def test_latest_screen_reads_one_folder_of_the_record(spark):
+    path = tempfile.mkdtemp(prefix="tf-plan-") + "/bars"
+    bars = fixtures.bars_from_lineitem(spark, SF_SMALL)
+    sink.replace_table(bars, path)
     day = sink.latest_date(spark, path)
-    assert day == months.agg(F.max("market_date")).first()[0]
-    df = screens.as_of_dates(spark.read.parquet(path), day)
-    text = plan(df)
-    assert text.count("FileScan") == 1 and "Subquery" not in text and f"= {day}" in text[text.index("PartitionFilters"):]
-    assert sink.latest_date(spark, path + "-none") is None
+    assert day == bars.agg(F.max("market_date")).first()[0]
+    listed = sink.stored_table(spark, path, BARS, day, day)
+    assert len(listed.inputFiles()) == 1
+    for table in (listed, sink.stored_table(spark, path, BARS)):
+        text = plan(screens.as_of_dates(table, day))
+        assert text.count("FileScan") == 1 and "Subquery" not in text
+        assert f"= {day.replace(day=1)}" in text[text.index("PartitionFilters"):] and f"EqualTo(market_date,{day})" in text
+
+
+def test_build_from_buckets_has_no_exchange(spark):
+    path = tempfile.mkdtemp(prefix="tf-buckets-") + "/bars"
+    bars = fixtures.bars_from_lineitem(spark, SF_SMALL)
+    bucketed.write(bars, path, buckets=3)
+    spark.sql(f"DROP TABLE {bucketed._name(path)}")  # as another session finds it
+    p = plan(jobs.bulk_indicators(bucketed.read(spark, path), clustered=True))
+    assert "Exchange" not in p and p.count("Sort [") == 1 and "SelectedBucketsCount: 3 out of 3" in p
+    with pytest.raises(FileExistsError):
+        bucketed.write(bars, path, buckets=3)
+
+
+def test_as_of_join_sorts_once(spark):
+    bars = fixtures.bars_from_lineitem(spark, SF_SMALL)
+    p = plan(asof.latest_before(bars.select("ticker", "market_date"), bars, {"close": "last_close"}).where("ticker <> 'A'"))
+    top = p[:p.index("Union")]
+    assert top.count("Exchange") == 1 and top.count("Sort [") == 1 and "Join" not in top
 
 
 def test_daily_formulas_run_behind_the_date_filter(spark):

@@ -16,12 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import oracle as O
+from ..operators import asof
 from ..operators import screens as S
+from ..schemas import BARS, INDICATORS, KEY
 from ..session import checkpoint_dir, configure
-from ..sources import fixtures, ingest, sink
+from ..sources import bucketed, delimited, fixtures, ingest, sink
 from ..sources.sink import duplicate_keys
 from ..streaming import landed_days
-from . import jobs, quality
+from . import carry, jobs, quality
 
 # ----------------------------------------------------------------------------- shared inputs
 _TABLES: dict[tuple[str, ...], DataFrame] = {}
@@ -66,12 +68,127 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 
 def refreshed_twice(spark: SparkSession, sf: str) -> DataFrame:
-    """I-5: a monthly summary of all bars written as a table, then replaced by one without the months from 1997 on."""
+    """I-5: all bars stored as a table, then replaced by those before 1997, all columns."""
     path = scratch(spark, "refresh")
-    months = fixtures.monthly_summary(bars(spark, sf))
-    sink.replace_table(months, path)
-    sink.replace_table(months.where(F.col("market_date") < F.lit("1997-01-01").cast("date")), path)
-    return spark.read.parquet(path)
+    sink.replace_table(bars(spark, sf), path)
+    sink.replace_table(bars(spark, sf).where(F.col("market_date") < F.lit("1997-01-01").cast("date")), path)
+    return ingest.read_bars(spark, path).drop("market_month")
+
+
+def doubled(rows: DataFrame) -> DataFrame:
+    """The same bars with twice the volume: rows of a second delivery that differ from those of the first."""
+    return rows.withColumn("volume", F.col("volume") * 2)
+
+
+def days_replaced(spark: SparkSession, sf: str) -> DataFrame:
+    """I-4: all bars stored; the dates from the 10th to the 12th of each month of 1995 replaced by fewer, other rows."""
+    path = scratch(spark, "days")
+    sink.replace_table(bars(spark, sf), path)
+    some = bars(spark, sf).where("year(market_date) = 1995 AND day(market_date) BETWEEN 10 AND 12 AND volume > 20")
+    sink.replace_days(doubled(some), path)
+    return ingest.read_bars(spark, path).drop("market_month")
+
+
+def missing_added(spark: SparkSession, sf: str) -> DataFrame:
+    """A load that skips what is there: bars of volume up to 30 stored, then a delivery of all bars, doubled."""
+    path = scratch(spark, "added")
+    sink.replace_table(bars(spark, sf).where("volume <= 30"), path)
+    sink.add_missing(doubled(bars(spark, sf)), path)
+    return ingest.read_bars(spark, path).drop("market_month")
+
+
+def last_days(spark: SparkSession, sf: str, n: int) -> list[dt.date]:
+    rows = bars(spark, sf).select("market_date").distinct().orderBy(F.desc("market_date")).limit(n).collect()
+    return sorted(r[0] for r in rows)
+
+
+def days_from_carry(spark: SparkSession, sf: str) -> DataFrame:
+    """Q-10 by state: the last five dates, one after the other, from the state before them; rows as of the bulk build."""
+    days = last_days(spark, sf, 5)
+    path = scratch(spark, "carry")
+    state = carry.save(carry.carry_of(bars(spark, sf).where(F.col("market_date") < F.lit(days[0]))), path, days[0] - dt.timedelta(days=1))
+    found = None
+    for day in days:
+        rows, after = carry.next_day(state, bars(spark, sf).where(F.col("market_date") == F.lit(day)))
+        state = carry.save(after, path, day)
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def table_refreshed_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """I-6, Q-10: the indicator table without its last date, which the daily job adds from the carry and then replaces."""
+    bars_path, table, state = scratch(spark, "bars"), scratch(spark, "indicators"), scratch(spark, "carry")
+    day = last_days(spark, sf, 1)[0]
+    sink.replace_table(bars(spark, sf).where(F.col("market_date") < F.lit(day)), bars_path)
+    sink.replace_table(indicator_table(spark, sf).where(F.col("market_date") < F.lit(day)), table)
+    jobs.carry_history(spark, bars_path, state)
+    sink.replace_days(bars(spark, sf).where(F.col("market_date") == F.lit(day)), bars_path)
+    sink.replace_days(indicator_table(spark, sf).where(F.col("market_date") == F.lit(day)).withColumn("close", F.lit(0.0)), table)
+    jobs.refresh_day_carried(spark, bars_path, table, state, day)
+    return sink.stored_table(spark, table, INDICATORS).drop("market_month")
+
+
+def csv_folder(spark: SparkSession, sf: str) -> str:
+    """All bars as delimited text, and a bad line for each bar with a volume over 60: of one field, or with no date in its place."""
+    path = scratch(spark, "csv")
+    delimited.write_csv(bars(spark, sf), path)
+    lines = bars(spark, sf).where("volume > 60").select(F.when(F.col("volume") % 2 == 0, F.concat("ticker", F.lit("-torn"))).otherwise(
+        F.concat("ticker", F.lit(",no date,1,1,1,1,1,1,1,1,1997-01-01T00:00:00.000"))))
+    lines.write.mode("append").text(path)
+    return path
+
+
+def csv_loaded(spark: SparkSession, sf: str) -> DataFrame:
+    """I-7: the lines that fit."""
+    return delimited.load_csv(spark, csv_folder(spark, sf), BARS, KEY)
+
+
+def csv_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    """I-7: the lines that don't, as the load keeps them."""
+    rejects = scratch(spark, "rejects")
+    delimited.load_csv(spark, csv_folder(spark, sf), BARS, KEY, rejects)
+    return spark.read.parquet(rejects)
+
+
+def anchors_of_all_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """J-4 for every bar: the last stored OBV before it, of a table that lacks each third day of the month."""
+    stored = indicator_table(spark, sf).where("day(market_date) % 3 <> 0")
+    found = asof.latest_before(bars(spark, sf).select(*KEY), stored, {"market_date": "anchor_date", "obv": "anchor_obv"})
+    return found.where("anchor_date IS NOT NULL")
+
+
+def built_from_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """Q-9 over bars stored in buckets of tickers: no exchange."""
+    path = scratch(spark, "buckets")
+    bucketed.write(bars(spark, sf), path)
+    return jobs.bulk_indicators(bucketed.read(spark, path), clustered=True)
+
+
+def bars_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars with NULLs: no close on the 3rd and 4th of a month, no volume in March, no high on the 20th, nothing but keys in 1992."""
+    def hidden(column: str, where: str) -> F.Column:
+        return F.expr(f"CASE WHEN NOT (year(market_date) = 1992 OR {where}) THEN {column} END").alias(column)
+
+    return bars(spark, sf).select(
+        "ticker", "market_date", hidden("open", "false"), hidden("high", "day(market_date) = 20"), hidden("low", "false"),
+        hidden("close", "day(market_date) IN (3, 4)"), hidden("volume", "month(market_date) = 3"))
+
+
+def indicators_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Q-9 over bars with NULLs; rows without any headline indicator go (F-3)."""
+    return jobs.bulk_indicators(bars_with_gaps(spark, sf))
+
+
+def backfilled(spark: SparkSession, sf: str) -> DataFrame:
+    """Q-12, I-9, I-13: a backfill with reset over tables that hold something else, then one without landed rows, which changes nothing."""
+    landing, table, ind = scratch(spark, "landing"), scratch(spark, "bars"), scratch(spark, "indicators")
+    payload = fixtures.payload_from_lineitem(spark, sf).withColumn("market_date", F.trunc("market_date", "month"))
+    sink.replace_table(doubled(bars(spark, sf).where("year(market_date) > 1997")), table)
+    landed_days.land(payload.hint("rebalance", "market_date"), landing)
+    jobs.backfill(spark, landing, table, ind, reset=True)
+    jobs.load_days(spark, landing, table, day="1901-01-01")
+    sink.replace_table(sink.stored_table(spark, ind, INDICATORS).where("false"), ind)
+    return sink.stored_table(spark, ind, INDICATORS).drop("market_month")
 
 
 def one_day_load(spark: SparkSession, sf: str) -> DataFrame:
@@ -147,6 +264,16 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "missing_business_days": gaps_in_range,
         "full_refresh": refreshed_twice,
         "one_day_load": one_day_load,
+        "days_replaced": days_replaced,
+        "missing_added": missing_added,
+        "csv_loaded": csv_loaded,
+        "csv_rejected": csv_rejected,
+        "backfilled": backfilled,
+        "days_from_carry": days_from_carry,
+        "table_refreshed_by_day": table_refreshed_by_day,
+        "anchors_of_all_dates": anchors_of_all_dates,
+        "indicators_from_buckets": built_from_buckets,
+        "indicators_with_gaps": indicators_with_gaps,
         "indicators_full": lambda s, sf: T(s, sf),
         **{name: _family(cols) for name, cols in FAMILIES.items()},
         "indicator_invariants": lambda s, sf: quality.invariant_violations(T(s, sf)),
@@ -337,6 +464,16 @@ def _invariants() -> str:
     return _with(union)
 
 
+MONTHLY_PAYLOAD = O.PAYLOAD_SQL.replace("CAST(l_shipdate AS DATE) AS", "CAST(date_trunc('month', l_shipdate) AS DATE) AS", 1)
+REPLACED_DAYS = "(year(market_date) = 1995 AND day(market_date) BETWEEN 10 AND 12)"
+GAPS_SQL = f"""
+SELECT ticker, market_date, CASE WHEN seen THEN open END AS open, CASE WHEN seen AND day(market_date) <> 20 THEN high END AS high,
+       CASE WHEN seen THEN low END AS low, CASE WHEN seen AND day(market_date) NOT IN (3, 4) THEN close END AS close,
+       CASE WHEN seen AND month(market_date) <> 3 THEN volume END AS volume
+FROM (SELECT *, year(market_date) <> 1992 AS seen FROM ({O.BARS_SQL}) b) g
+"""
+
+
 def oracle_queries() -> dict[str, str]:
     bars_ctes = [f"bars AS ({O.BARS_SQL})"]
     q = {
@@ -351,11 +488,26 @@ def oracle_queries() -> dict[str, str]:
                                  (SELECT max(market_date) FROM bars)::TIMESTAMP + INTERVAL 30 DAY, INTERVAL 1 DAY) g(d)
             WHERE dayofweek(d) NOT IN (0, 6)
               AND CAST(d AS DATE) NOT IN (SELECT market_date FROM bars)"""),
-        "full_refresh": O.with_ctes(bars_ctes, """SELECT CAST(date_trunc('month', market_date) AS DATE) AS market_date,
-            count(*) AS bars, sum(volume) AS volume FROM bars WHERE market_date < DATE '1997-01-01' GROUP BY 1"""),
-        "one_day_load": _payload_clean(
-            O.PAYLOAD_SQL.replace("CAST(l_shipdate AS DATE) AS", "CAST(date_trunc('month', l_shipdate) AS DATE) AS", 1),
-            f"market_date = DATE '{ONE_DAY}'"),
+        "full_refresh": O.with_ctes(bars_ctes, "SELECT * FROM bars WHERE market_date < DATE '1997-01-01'"),
+        "days_replaced": O.with_ctes(bars_ctes, f"""SELECT * FROM bars WHERE NOT {REPLACED_DAYS}
+            OR market_date NOT IN (SELECT market_date FROM bars WHERE volume > 20)
+            UNION ALL SELECT * REPLACE (volume * 2 AS volume) FROM bars WHERE {REPLACED_DAYS} AND volume > 20"""),
+        "missing_added": O.with_ctes(bars_ctes, """SELECT * FROM bars WHERE volume <= 30
+            UNION ALL SELECT * REPLACE (volume * 2 AS volume) FROM bars WHERE volume > 30"""),
+        "csv_loaded": O.with_ctes(bars_ctes, "SELECT * FROM bars"),
+        "csv_rejected": O.with_ctes(bars_ctes, """SELECT CASE WHEN volume % 2 = 0 THEN concat(ticker, '-torn')
+            ELSE concat(ticker, ',no date,1,1,1,1,1,1,1,1,1997-01-01T00:00:00.000') END AS line, 'malformed' AS reason
+            FROM bars WHERE volume > 60"""),
+        "backfilled": O.with_ctes(O.indicator_table_ctes(_payload_clean(MONTHLY_PAYLOAD)), "SELECT * FROM daily_indicators"),
+        "days_from_carry": _with("""SELECT * FROM daily_indicators WHERE market_date IN (
+            SELECT DISTINCT market_date FROM bars ORDER BY market_date DESC LIMIT 5)"""),
+        "table_refreshed_by_day": _with("SELECT * FROM daily_indicators"),
+        "anchors_of_all_dates": _with("""SELECT b.ticker, b.market_date, i.market_date AS anchor_date, i.obv AS anchor_obv
+            FROM bars b ASOF JOIN (SELECT * FROM daily_indicators WHERE day(market_date) % 3 <> 0) i
+            ON b.ticker = i.ticker AND b.market_date > i.market_date"""),
+        "indicators_from_buckets": _with("SELECT * FROM daily_indicators"),
+        "indicators_with_gaps": O.with_ctes(O.indicator_table_ctes(GAPS_SQL), "SELECT * FROM daily_indicators"),
+        "one_day_load": _payload_clean(MONTHLY_PAYLOAD, f"market_date = DATE '{ONE_DAY}'"),
         "indicators_full": _with("SELECT * FROM daily_indicators"),
         **{name: _with(f"SELECT ticker, market_date, {', '.join(cols)} FROM daily_indicators")
            for name, cols in FAMILIES.items()},

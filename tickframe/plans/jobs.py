@@ -3,6 +3,7 @@
 * Q-9 bulk: whole bar history -> 96 columns -> drop-if-all-null -> full refresh.
 * Q-10 daily: ``lookback_days`` of bars -> 96 columns, OBV anchored to the
   stored table -> one date -> replace that date.
+  Or, from a stored state of each ticker: one date of bars -> that date, equal to the bulk build (``carry.py``).
 * Q-11 daily load: landed payload of one date -> clean -> replace that date.
 * Q-12 backfill: every landed date at once (one cleaning job, no per-day
   loop), then the bulk build; on request into tables that are reset first.
@@ -15,10 +16,12 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import dates
 from ..operators.ewm import eras_of_days
 from ..operators.indicators import drop_all_null, indicators, stage_wide_outputs, windowed
-from ..schemas import INDICATOR_COLUMNS, INDICATORS
+from ..schemas import BARS, INDICATOR_COLUMNS, INDICATORS
 from ..sources import ingest, sink
+from . import carry
 
 DAILY_LOOKBACK_DAYS = 400  # fixed value: calendar days of history read by the daily build
 
@@ -29,9 +32,12 @@ def _date(d: dt.date | str | Column) -> Column:
     return F.lit(d).cast("date")
 
 
-def bulk_indicators(bars: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Q-9: the indicator table over the full history (I-11, F-1, F-3); a duplicate bar fails the job (I-8)."""
-    return drop_all_null(indicators(ingest.scan_bars(bars), partitions=partitions))
+def bulk_indicators(bars: DataFrame, partitions: int | None = None, clustered: bool = False) -> DataFrame:
+    """Q-9: the indicator table over the full history (I-11, F-1, F-3); a duplicate bar fails the job (I-8).
+
+    ``clustered``: the bars are stored by ticker (``sources/bucketed.py``) and need no exchange.
+    """
+    return drop_all_null(indicators(ingest.scan_bars(bars), partitions=partitions, clustered=clustered))
 
 
 def obv_anchor(stored: DataFrame, day: dt.date | str | Column, since: Column | None = None) -> DataFrame:
@@ -41,9 +47,9 @@ def obv_anchor(stored: DataFrame, day: dt.date | str | Column, since: Column | N
     candidate per ticker in each input partition before the shuffle, without
     a sort; both date bounds prune partitions.
     """
-    cond = F.col("market_date") < _date(day)
+    cond = dates.before(stored, _date(day))
     if since is not None:
-        cond = cond & (F.col("market_date") >= since)
+        cond = cond & dates.since(stored, since)
     return stored.where(cond).groupBy("ticker").agg(
         F.max("market_date").alias("anchor_date"), F.max_by("obv", "market_date").alias("anchor_obv"))
 
@@ -70,7 +76,8 @@ def daily_indicators(bars: DataFrame, stored: DataFrame | None, day: dt.date | s
     """
     d = _date(day)
     since = F.date_sub(d, lookback_days)
-    ind = windowed(ingest.scan_bars(bars, d, lookback_days), eras_of_days(lookback_days + 1), partitions)
+    eras = eras_of_days(lookback_days + 1)
+    ind = windowed(ingest.scan_bars(bars, d, lookback_days), eras if eras <= 2 else None, partitions)
     if stored is None:
         return drop_all_null(stage_wide_outputs(ind.where(F.col("market_date") == d)).select(*INDICATOR_COLUMNS))
     anchor = obv_anchor(stored, d, since)
@@ -88,10 +95,10 @@ def load_days(spark: SparkSession, payload_path: str, bars_path: str, fmt: str =
               day: dt.date | str | None = None) -> DataFrame:
     """Q-11 (one ``day``: its landing folder alone is read) / Q-12 phase 1 (every landed date).
 
-    The cleaned dates replace those dates in the bar table; other dates' files stay untouched.
+    The cleaned dates replace those dates in the bar table; other dates stay as they are.
     """
     bars = ingest.clean_payload(ingest.read_payload(spark, payload_path, fmt, day))
-    sink.replace_days(bars, bars_path)
+    sink.replace_days(bars, bars_path, BARS)
     return ingest.read_bars(spark, bars_path)
 
 
@@ -100,10 +107,30 @@ def refresh_day(spark: SparkSession, bars_path: str, indicators_path: str,
     """Daily mode after the load: build one date and replace it in the indicator table."""
     bars = ingest.read_bars(spark, bars_path)
     stored = sink.stored_table(spark, indicators_path, INDICATORS)  # first run: none, OBV offset 0
-    out = daily_indicators(bars, stored, day, lookback_days)
-    # The anchor reads the table that the write replaces: cut the lineage first.
-    out = out.checkpoint(eager=True)
-    sink.replace_days(out, indicators_path)
+    sink.replace_days(daily_indicators(bars, stored, day, lookback_days), indicators_path, INDICATORS)
+
+
+def carry_history(spark: SparkSession, bars_path: str, carry_path: str) -> dt.date | None:
+    """Stores the state of each ticker after its last bar (``plans/carry.py``); returns the last date, None without bars."""
+    day = sink.latest_date(spark, bars_path)
+    if day is not None:
+        carry.save(carry.carry_of(ingest.read_bars(spark, bars_path)), carry_path, day)
+    return day
+
+
+def refresh_day_carried(spark: SparkSession, bars_path: str, indicators_path: str, carry_path: str, day: dt.date) -> None:
+    """Daily mode from the stored state: reads the bars of ``day`` and one row a ticker, whatever the length of the history.
+
+    ``day`` must be later than the state's date.  The indicator rows are stored first: a job that fails between the two
+    writes is repeated from the old state and replaces the same date.
+    """
+    found = carry.stored(spark, carry_path)
+    if found is None or found[1] >= day:
+        raise ValueError(f"the carry at {carry_path} does not end before {day}: build it anew (carry_history)")
+    bars = ingest.read_bars(spark, bars_path, day, day).where(F.col("market_date") == F.lit(day))
+    rows, state = carry.next_day(found[0], bars)
+    sink.replace_days(rows, indicators_path, INDICATORS)
+    carry.save(state, carry_path, day)
 
 
 def backfill(spark: SparkSession, payload_path: str, bars_path: str, indicators_path: str,

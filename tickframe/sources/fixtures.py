@@ -82,12 +82,6 @@ def instruments_from_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def monthly_summary(bars: DataFrame) -> DataFrame:
-    """Bars and volume per month, dated by the month's first day."""
-    return (bars.groupBy(F.trunc("market_date", "month").alias("market_date"))
-            .agg(F.count(F.lit(1)).alias("bars"), F.sum("volume").alias("volume")))
-
-
 def payload_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw per-line objects with their delivery date; the first line of an order has no ticker."""
     li = table(spark, sf_dir, "lineitem")

@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import dates
 from ..functions.numeric import finite_or_null
 from ..schemas import BAR_INPUT, BARS, PAYLOAD
+from . import sink
 
 DOUBLE_FIELDS = [f.name for f in PAYLOAD.fields if isinstance(f.dataType, T.DoubleType)]
 # Preference order among duplicate objects of one (market_date, ticker):
@@ -58,23 +60,26 @@ def clean_payload(payload: DataFrame) -> DataFrame:
     )
 
 
-def read_bars(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BARS).parquet(path)
+def read_bars(spark: SparkSession, path: str, since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
+    """The stored bar table; with bounds only the folders of those dates are listed."""
+    table = sink.stored_table(spark, path, BARS, since, until)
+    if table is None:
+        raise FileNotFoundError(f"no bar table at {path}")
+    return table
 
 
 def scan_bars(bars: DataFrame, end: dt.date | Column | None = None, lookback_days: int | None = None) -> DataFrame:
     """I-10 / I-11: the seven indicator inputs, optionally ``end - lookback <= date <= end``.
 
-    On a table partitioned by ``market_date`` both bounds prune partitions.
+    On a stored table both bounds prune folders (``functions.dates``).
     """
-    out = bars.select(*BAR_INPUT)
     if end is None:
-        return out
+        return bars.select(*BAR_INPUT)
     end_c = end if isinstance(end, Column) else F.lit(end)
-    cond = F.col("market_date") <= end_c
+    cond = dates.not_after(bars, end_c)
     if lookback_days is not None:
-        cond = cond & (F.col("market_date") >= F.date_sub(end_c, lookback_days))
-    return out.where(cond)
+        cond = cond & dates.since(bars, F.date_sub(end_c, lookback_days))
+    return bars.where(cond).select(*BAR_INPUT)
 
 
 def business_days(spark: SparkSession, start: Column, end: Column) -> DataFrame:

@@ -1,10 +1,8 @@
-"""Writers for the bar and indicator tables.
+"""Writers of the bar and indicator tables, and the latest date of a table.
 
-Both tables are Parquet partitioned by ``market_date``.  Replacing a day is
-a dynamic partition overwrite: only the partitions present in the new data
-are swapped, after the new files are complete, so a failed job leaves the
-old day in place.  Replacing a table is a static overwrite: no other date
-survives, whatever the session's overwrite mode is.
+Both tables are stored by ``versions.py``: a write goes beside the folders in
+use and takes effect in one step, so a failed job leaves the old table (or day)
+in place.
 """
 
 from __future__ import annotations
@@ -17,33 +15,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import BARS, INDICATORS, KEY
+from ..schemas import KEY
+from . import files, versions
 
-PARTITION_COLUMN = "market_date"
 
+def replace_days(df: DataFrame, path: str, schema: T.StructType | None = None) -> list[dt.date]:
+    """I-4 / I-6: replace exactly the dates present in ``df`` (no rows: nothing changes); returns them."""
+    return versions.merge_days(df, path, schema or df.schema)
 
-def _dynamic(df: DataFrame):
-    return (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PARTITION_COLUMN))
 
+def add_missing(df: DataFrame, path: str, schema: T.StructType | None = None) -> list[dt.date]:
+    """A load that skips what is there: only rows whose (ticker, date) the table lacks are added."""
+    return versions.merge_days(df, path, schema or df.schema, keep_existing=True)
 
-def by_date(df: DataFrame) -> DataFrame:
-    """Group rows of a date into few files before a date-partitioned write.
 
-    The jobs hash rows by ticker; written as they are, every task would open
-    a file for every date (tasks x dates small files).  A rebalance on the
-    partition column gives each date one or a few files, and AQE splits a
-    date that is too large instead of sending it to one task.
-    """
-    return df.hint("rebalance", PARTITION_COLUMN)
-
-
-def replace_days(df: DataFrame, path: str) -> None:
-    """I-4 / I-6: replace exactly the dates present in ``df`` (no rows: nothing changes)."""
-    _dynamic(by_date(df)).parquet(path)
-
-
-def replace_table(df: DataFrame, path: str, source: DataFrame | None = None) -> bool:
+def replace_table(df: DataFrame, path: str, source: DataFrame | None = None, grain: str = "month") -> bool:
     """I-5: full refresh; skipped when there is nothing to write (I-13).
 
     With ``source`` (the job input) the emptiness check reads the input's
@@ -51,27 +37,35 @@ def replace_table(df: DataFrame, path: str, source: DataFrame | None = None) ->
     """
     if (source if source is not None else df).isEmpty():
         return False
-    (by_date(df).write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy(PARTITION_COLUMN).parquet(path))
+    versions.publish(df, path, grain)
     return True
 
 
 def latest_date(spark: SparkSession, path: str) -> dt.date | None:
-    """A-1: the last date of a date-partitioned folder, from Spark's listing of its partitions (no file is opened).
+    """A-1: the last date of a stored table, from its record: neither a listing nor a file of the data.
 
-    None without a table or without a date that has files.
+    A folder without a record (landed payload by ``market_date=``) has its own listed, and from the newest date down those
+    of dates until one isn't empty.  None without a table or without a date that has files.
     """
-    table = stored_table(spark, path, T.StructType([T.StructField(PARTITION_COLUMN, T.DateType())]))
-    if table is None:
-        return None
-    index = table._jdf.queryExecution().analyzed().collectLeaves().apply(0).relation().location()
-    names = index.partitionSpec().partitions().mkString("\n")  # one call for all names
-    days = re.findall(rf"/{PARTITION_COLUMN}=(\d{{4}}-\d\d-\d\d)\b", names)
-    return dt.date.fromisoformat(max(days)) if days else None
+    found = versions.record(spark, path)
+    if found is not None:
+        return found.latest
+    for name in sorted(files.child_names(spark, path), reverse=True):
+        day = re.fullmatch(r"market_date=(\d{4}-\d\d-\d\d)", name)
+        if day and any(not n.startswith(("_", ".")) for n in files.child_names(spark, f"{path}/{name}")):
+            return dt.date.fromisoformat(day[1])
+    return None
 
 
-def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """The table at ``path``, None if there is none yet; any other failure to read it is an error."""
+def stored_table(spark: SparkSession, path: str, schema: T.StructType, since: dt.date | None = None,
+                 until: dt.date | None = None) -> DataFrame | None:
+    """The table at ``path`` (see ``versions.read``) or plain Parquet files there, None if there is neither.
+
+    Any other failure to read it is an error.
+    """
+    table = versions.read(spark, path, schema, since, until)
+    if table is not None:
+        return table
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
@@ -80,21 +74,10 @@ def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
         return None
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """I-7: delimited export with ``\\N`` for NULL, one file set per task."""
-    df.write.mode("overwrite").option("header", "false").option("nullValue", "\\N").csv(path)
-
-
-def reset_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """I-9: drop and recreate a table as empty (explicit opt-in only)."""
-    (spark.createDataFrame([], schema).write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy(PARTITION_COLUMN).parquet(path))
-
-
 def reset_all(spark: SparkSession, bars_path: str, indicators_path: str) -> None:
-    """Both tables empty, as before a backfill that shall keep nothing."""
-    reset_table(spark, bars_path, BARS)
-    reset_table(spark, indicators_path, INDICATORS)
+    """I-9: both tables empty, as before a backfill that shall keep nothing (explicit opt-in only)."""
+    versions.empty(spark, bars_path)
+    versions.empty(spark, indicators_path)
 
 
 def duplicate_keys(df: DataFrame, key: list[str] | None = None) -> DataFrame:

@@ -29,10 +29,8 @@ def _merge_batch(spark: SparkSession, bars_path: str):
             days = objects.select("market_date").distinct()
             stored = stored.join(days, "market_date", "left_semi").select("market_date", *PAYLOAD.fieldNames())
         merged = objects if stored is None else objects.unionByName(stored)
-        # The stored days are read and then replaced: cut the lineage first.
-        clean = ingest.clean_payload(merged).checkpoint(eager=True)
+        sink.replace_days(ingest.clean_payload(merged), bars_path, BARS)
         objects.unpersist()
-        sink.replace_days(clean, bars_path)
     return run
 
 

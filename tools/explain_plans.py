@@ -14,6 +14,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tickframe.operators import screens as S  # noqa: E402
 from tickframe.plans import jobs  # noqa: E402
+from tickframe.schemas import INDICATORS  # noqa: E402
 from tickframe.session import build_session  # noqa: E402
 from tickframe.sources import fixtures, ingest, sink  # noqa: E402
 
@@ -34,10 +35,10 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session()
     work = tempfile.mkdtemp(prefix="tickframe-explain-")
-    sink.replace_days(fixtures.bars_from_lineitem(spark, sf), f"{work}/bars")
+    sink.replace_table(fixtures.bars_from_lineitem(spark, sf), f"{work}/bars")
     bars = ingest.read_bars(spark, f"{work}/bars")
     sink.replace_table(jobs.bulk_indicators(bars), f"{work}/ind", source=bars)
-    ind = spark.read.parquet(f"{work}/ind")
+    ind = sink.stored_table(spark, f"{work}/ind", INDICATORS)
     inst = fixtures.instruments_from_supplier(spark, sf)
     day = bars.select(F.max("market_date")).scalar()
     facts("Q-9 bulk build", jobs.bulk_indicators(bars))
