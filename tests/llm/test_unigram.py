@@ -1,8 +1,10 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
 
+from tickframe.llm import catalog
 from tickframe.llm import unigram_pieces as U
 
 
@@ -66,6 +68,20 @@ def test_public_vocabulary_and_odd_rows(make_docs):
     assert U.encode(make_docs([]), encoder).count() == 0
 
 
+def test_round_trips_in_one_pass(workers, make_docs, tmp_path):
+    rows = [(1, None), (2, ""), (3, "The token of the words, the end."), (3, " two  spaces "), (4, "日本語 🤖\n\ttab"), (None, "x"),
+            (5, "word " * 30_000), (6, "y" * 5000), (7, "a▁b")]
+    make_docs(rows, "1 AS n_pieces").repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    found = catalog.op6_unigram_pieces(workers, str(tmp_path))
+    assert found.dtypes == [("doc_id", "bigint"), ("n_pieces", "bigint"), ("ids_crc32", "bigint"), ("round_trip", "boolean")]
+    encoder, want = U.Encoder(U.read_vocabulary()), []
+    for d, t in rows:
+        ids = np.frombuffer(encoder.encode([t or ""])[0], dtype=encoder.dtype).astype("<u4").tobytes()
+        want.append((d, *((None, None) if t is None else (len(ids) // 4, zlib.crc32(ids))), d != 7))  # the marker comes back as a space
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, want))
+    assert encoder.known.keys() and max(map(len, encoder.known)) <= U.LONGEST_KEPT
+
+
 def test_double_array_has_its_keys_and_no_others():
     rng = random.Random(3)
     keys = {bytes(rng.randrange(256) for _ in range(rng.randrange(1, 6))): i for i in range(3000)}

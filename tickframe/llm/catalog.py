@@ -74,11 +74,7 @@ def op5_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document, their digest, and whether decoding gives the text back."""
     encoder = unigram_pieces.Encoder(unigram_pieces.read_vocabulary())
-    coded = unigram_pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), encoder)
-    found = unigram_pieces.decode(coded, encoder)
-    return found.select(
-        "doc_id", (F.length("pieces") / 4).cast("bigint").alias("n_pieces"), F.crc32("pieces").alias("ids_crc32"),
-        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    return unigram_pieces.round_trips(_table(spark, sf_dir, "documents").select("doc_id", "text"), encoder)
 
 
 def op7_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,12 +17,14 @@ from __future__ import annotations
 
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -30,12 +32,15 @@ from tickframe.llm._common import appending, kept_by_worker, runs_of, starts_of
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
-KEPT_STRETCHES = 200_000
-BATCH_CHARS = 2_000_000
-NEW_AT_ONCE = 200_000
+KEPT_STRETCHES = 150_000
+#: Longer stretches are encoded anew each time: what is kept has a bounded size.
+LONGEST_KEPT = 200
+BATCH_CHARS = 1_000_000
+NEW_AT_ONCE = 100_000
 
 _CUT = re.compile(r"(?<=[^ ▁])(?=[ ▁])")
 FIELDS = [T.StructField("pieces", T.BinaryType())]
+TRIP_FIELDS = [T.StructField("n_pieces", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("round_trip", T.BooleanType())]
 
 
 @dataclass(frozen=True)
@@ -232,7 +237,11 @@ class Encoder:
             for s, ids in zip(new[part], self.viterbi(raw), strict=True):
                 self.known[s] = np.array(ids, dtype=self.dtype).tobytes()
         known = self.known.__getitem__
-        return [b"".join(map(known, own)) for own in cut]
+        out = [b"".join(map(known, own)) for own in cut]
+        for s in new:
+            if len(s) > LONGEST_KEPT:
+                del self.known[s]
+        return out
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters."""
@@ -241,31 +250,39 @@ class Encoder:
         return text[1:] if text[:1] == " " else text
 
 
+def _kept(enc: Encoder, name: str) -> Encoder:
+    """The encoder with the stretches that the worker keeps; a broadcast value of an earlier run must not hold them."""
+    enc.known = kept_by_worker(("unigram_pieces", name), dict)
+    return enc
+
+
+def _coded(enc: Encoder, column: pa.Array) -> Iterator[tuple[slice, list[str | None], list[bytes | None]]]:
+    """Texts of a column and their ids (``dtype``; null for a null text), by parts of bounded size."""
+    sizes = [n or 0 for n in pc.binary_length(column).to_pylist()]
+    for part in runs_of(sizes, BATCH_CHARS):
+        texts = column.slice(part.start, part.stop - part.start).to_pylist()
+        raw = enc.encode([t or "" for t in texts])
+        yield part, texts, [r if t is not None else None for r, t in zip(raw, texts, strict=True)]
+
+
 def encode(docs: DataFrame, encoder: Encoder, text: str = "text") -> DataFrame:
     """``docs`` with pieces (ids as little-endian unsigned 32-bit integers) behind its columns.
 
-    A null text has null pieces, an empty one none.  One row per input row.
+    A null text has null pieces, an empty one none.  One row per input row; an input column ``pieces`` is replaced.  A
+    marker (U+2581) in a text is taken for a space, as it is in a piece, and comes back as one.
     """
     shared, name = docs.sparkSession.sparkContext.broadcast(encoder), uuid.uuid4().hex  # as large as its vocabulary
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
-        enc = shared.value
-        # the worker keeps the stretches; a broadcast value of an earlier run must not hold them
-        enc.known = kept_by_worker(("unigram_pieces", name), dict)
+        enc = _kept(shared.value, name)
         try:
-            yield from coded(enc, batches)
+            for batch in batches:
+                for part, _, coded in _coded(enc, batch.column(text)):
+                    wide = [np.frombuffer(r, dtype=enc.dtype).astype("<u4").tobytes() if r is not None else None for r in coded]
+                    yield batch.slice(part.start, part.stop - part.start), [pa.array(wide, pa.binary())]
         finally:
             enc.known = {}
 
-    def coded(enc: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
-        for batch in batches:
-            texts, out = batch.column(text).to_pylist(), []
-            for part in runs_of([len(t or "") for t in texts], BATCH_CHARS):
-                raw = enc.encode([t or "" for t in texts[part]])
-                out += [np.frombuffer(r, dtype=enc.dtype).astype("<u4").tobytes() if t is not None else None
-                        for r, t in zip(raw, texts[part], strict=True)]
-            yield batch, [pa.array(out, pa.binary())]
-
     return appending(docs, FIELDS, compute)
 
 
@@ -281,3 +298,28 @@ def decode(docs: DataFrame, encoder: Encoder, pieces: str = "pieces", into: str
                                     for r in raw], pa.string())]
 
     return appending(docs, [T.StructField(into, T.StringType())], compute)
+
+
+def round_trips(docs: DataFrame, encoder: Encoder, text: str = "text") -> DataFrame:
+    """``docs`` without its text, with n_pieces, ids_crc32 (of the ids as ``encode`` writes them) and round_trip behind.
+
+    round_trip: whether the ids decode to the text.  A null text has null for the first two and comes back as null.  Texts
+    are encoded, decoded and compared in one pass, so that neither ids nor texts leave the worker.
+    """
+    shared, name = docs.sparkSession.sparkContext.broadcast(encoder), uuid.uuid4().hex  # as large as its vocabulary
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
+        enc = _kept(shared.value, name)
+        try:
+            for batch in batches:
+                counts, sums, same = [], [], []
+                for _, texts, coded in _coded(enc, batch.column(text)):
+                    counts += [len(r) // enc.dtype.itemsize if r is not None else None for r in coded]
+                    sums += [zlib.crc32(np.frombuffer(r, dtype=enc.dtype).astype("<u4")) if r is not None else None for r in coded]
+                    same += [r is None or enc.decode(r) == t for r, t in zip(coded, texts, strict=True)]
+                yield batch, [pa.array(counts, pa.int64()), pa.array(sums, pa.int64()), pa.array(same, pa.bool_()),
+                              pa.nulls(batch.num_rows, pa.string())]
+        finally:
+            enc.known = {}
+
+    return appending(docs, [*TRIP_FIELDS, T.StructField(text, T.StringType())], compute).drop(text)
