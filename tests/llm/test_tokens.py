@@ -15,8 +15,7 @@ ODD = ["a", "b", "'s", " ", "  ", "\n", " \n", "\t", ".", ",", "é", "12", "日
 
 @pytest.fixture(scope="module")
 def library():
-    tokenizer = Tokenizer.from_file(default_tokenizer())
-    tokenizer.encode_special_tokens = True
+    tokenizer = Tokenizer.from_file(default_tokenizer())  # with the library's own defaults
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -34,6 +33,13 @@ def test_stretches_have_the_ids_of_whole_texts(library):
         assert np.frombuffer(encoder.encode([text])[0], dtype=encoder.dtype).tolist() == library(text), repr(text)
 
 
+def test_special_tokens_in_a_text_are_the_librarys(library):
+    encoder = Encoder(default_tokenizer())
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y  <|endoftext|> ", "plain <|endoftext"):
+        assert np.frombuffer(encoder.encode([text, "a b"])[0], dtype=encoder.dtype).tolist() == library(text), text
+    assert 50256 in library("a <|endoftext|> b")
+
+
 def test_forgetting_stretches_keeps_results(library, monkeypatch):
     monkeypatch.setattr("tickframe.llm._tokens.KEPT_STRETCHES", 4)
     encoder = Encoder(default_tokenizer())

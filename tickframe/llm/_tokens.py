@@ -40,7 +40,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # a text with a special token's string is encoded whole, as the library splits it there first
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         line_end = self._ids(["\n"])[0]
         self.line_end = line_end[0] if len(line_end) == 1 else None
@@ -69,8 +70,18 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian bytes of ``dtype``."""
-        cut = []
-        for text in texts:
+        # the first stretches seen are the frequent ones: of too many the later half goes
+        if len(self.inner) > KEPT_STRETCHES:
+            self.inner = dict(islice(self.inner.items(), KEPT_STRETCHES // 2))
+        if len(self.begin) > KEPT_STRETCHES:
+            self.begin = dict(islice(self.begin.items(), KEPT_STRETCHES // 2))
+        out: list[bytes] = [b""] * len(texts)
+        inner, begin = self.inner.get, self.begin.get
+        todo, new, new_begin = [], set(), set()
+        for n, text in enumerate(texts):
+            if any(map(text.__contains__, self.special)):
+                out[n] = np.array(self._ids([text])[0], dtype=self.dtype).tobytes()
+                continue
             if text.endswith(" ") or _ODD.search(text) or _PLAIN.search(text):
                 stretches = _CUT.split(text)
                 first, rest = stretches[0], [s[1:] for s in stretches[1:]]
@@ -78,26 +89,33 @@ class Encoder:
                     first, rest = "", [first[1:], *rest]
             else:
                 first, *rest = text.split(" ")
-            cut.append((first, rest))
-        # the first stretches seen are the frequent ones: of too many the later half goes
-        if len(self.inner) > KEPT_STRETCHES:
-            self.inner = dict(islice(self.inner.items(), KEPT_STRETCHES // 2))
-        if len(self.begin) > KEPT_STRETCHES:
-            self.begin = dict(islice(self.begin.items(), KEPT_STRETCHES // 2))
-        missing = {s for _, rest in cut for s in rest}.difference(self.inner)
-        if missing:
+            ids = [begin(first), *map(inner, rest)]
+            try:
+                out[n] = b"".join(ids)
+            except TypeError:  # some stretch is new: noted, and filled in when all new ones are known
+                holes = [i for i, x in enumerate(ids) if x is None]
+                if holes[0] == 0:
+                    new_begin.add(first)
+                    del holes[0]
+                words = [rest[i - 1] for i in holes]
+                new.update(words)
+                todo.append((n, ids, first, holes, words))
+        if new:
             # a comma or full stop behind a Latin letter is a pre-token of its own
-            marked = {s for s in missing if s[-1:] in (",", ".") and s[-2:-1].isalpha() and s[-2] < "\u0250"}
-            bare = {s[:-1] for s in marked}.union(missing - marked, ",.").difference(self.inner)
+            marked = {s for s in new if s[-1:] in (",", ".") and s[-2:-1].isalpha() and s[-2] < "\u0250"}
+            bare = {s[:-1] for s in marked}.union(new - marked, ",.").difference(self.inner)
             self._learn(list(bare), self.inner, " ")
             self._learn([",", "."], self.mark, "")
             for s in marked - bare:
                 self.inner[s] = self.inner[s[:-1]] + self.mark[s[-1]]
-        missing = {s for s, _ in cut}.difference(self.begin)
-        if missing:
-            self._learn(list(missing), self.begin, "")
-        inner = self.inner.__getitem__
-        return [self.begin[first] + b"".join(map(inner, rest)) for first, rest in cut]
+        if new_begin:
+            self._learn(list(new_begin), self.begin, "")
+        for n, ids, first, holes, words in todo:
+            ids[0] = begin(first)
+            for i, s in zip(holes, words, strict=True):
+                ids[i] = inner(s)
+            out[n] = b"".join(ids)
+        return out
 
 
 def encoder(path: str) -> Encoder:
