@@ -34,28 +34,30 @@ def test_automaton_has_all_substrings_and_no_others():
     rng = np.random.default_rng(3)
     for _ in range(20):
         text = rng.integers(0, 3, 30).astype(np.uint8)
-        table = C.suffix_automaton(text, 3)
+        step = C._moves(text)
         whole = bytes(text.tolist())
         for _ in range(60):
             probe = bytes(rng.integers(0, 3, rng.integers(1, 8)).tolist())
             state = 0
             for c in probe:
-                state = table[state, c] if state >= 0 else -1
+                state = step[state].get(c, -1) if state >= 0 else -1
             assert (state >= 0) == (probe in whole)
 
 
-def test_phrases_equal_the_definition(model, monkeypatch):
-    monkeypatch.setattr(C, "BLOCK", 40)
+@pytest.mark.parametrize("block", [1, 3, 40, 10**9])
+def test_phrases_equal_the_definition(model, monkeypatch, block):
+    """Phrases are those of the whole text, whatever the blocks that it is parsed in."""
     parser, rng = C._Parser(model), random.Random(2)
     texts = [prose(rng, rng.choice("abc") * 2, rng.randint(1, 30)) for _ in range(30)]
+    # stretches of the labelled text itself: phrases of many blocks, so that parses don't meet for long
+    texts += [model.samples[0][1][:900], model.samples[1][1][50:700] + model.samples[0][1][10:500], "q" * 300, "a"]
     parts = [parser.symbols(t)[0] for t in texts]
-    found = parser.phrases(parts)
     samples = [bytes(parser.symbols(t)[0].tolist()) for _, t in model.samples]
-    for part, row in zip(parts, found, strict=True):
-        raw = bytes(part.tolist())
-        blocks = [raw[i:i + 40] for i in range(0, len(raw), 40)]
-        for sample, n in zip(samples, row.tolist(), strict=True):
-            assert n == sum(plain_phrases(sample.decode("latin-1"), b.decode("latin-1")) for b in blocks)
+    want = [[plain_phrases(sample.decode("latin-1"), bytes(part.tolist()).decode("latin-1")) for sample in samples] for part in parts]
+    monkeypatch.setattr(C, "BLOCK", min(block, max(map(len, parts))))
+    assert parser.phrases(parts).tolist() == want
+    monkeypatch.setattr(C, "PLACES_AT_ONCE", 10)  # one language at a time
+    assert parser.phrases(parts).tolist() == want
 
 
 def test_languages_and_odd_rows(model, make_docs):

@@ -10,8 +10,11 @@ Every letter of the labelled text has a symbol of its own, so the transitions of
 all automata are kept sparse, in one cuckoo hash table.  Where a phrase ends, the
 parse goes on in the state behind the next phrase's first character.  A text then
 costs two table look-ups per character and language, done for many texts at
-once with numpy.  Texts are parsed in blocks of ``BLOCK`` characters, so that
-one very long text is as fast as many short ones; a block's end ends a phrase.
+once with numpy.  A long text is parsed in blocks of ``BLOCK`` characters side by
+side, each as if a phrase began there; then each block is parsed again from the
+state in which the block before it ended, up to the first place where both
+parses begin a phrase, from which on they are the same.  So the number of
+phrases is that of the whole text, whatever the block.
 
 The labelled text is a bounded sample (``chars_per_language`` characters of each
 language, of documents chosen by a hash of their id; the last is cut at the
@@ -41,6 +44,7 @@ DOCS_PER_LANGUAGE = 60
 MAX_LANGUAGES = 250
 BLOCK = 4096
 BATCH_CHARS = 6_000_000
+PLACES_AT_ONCE = 32_000_000
 
 _NO_KEY = np.uint64(2**64 - 1)
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
@@ -82,16 +86,6 @@ def _moves(symbols: np.ndarray) -> list[dict[int, int]]:
     return step
 
 
-def suffix_automaton(symbols: np.ndarray, size: int) -> np.ndarray:
-    """The same transitions as a dense table (states x ``size``; -1: none), for small alphabets."""
-    step = _moves(symbols)
-    table = np.full((len(step), size), -1, dtype=np.int32)
-    for state, moves in enumerate(step):
-        if moves:
-            table[state, list(moves)] = list(moves.values())
-    return table
-
-
 class _HashTable:
     """Values (uint32) of distinct keys (uint64).  Each key is in one of two places; there are 2.5 to 5 places for each key."""
 
@@ -182,6 +176,12 @@ class _Parser:
     def phrases(self, parts: list[np.ndarray]) -> np.ndarray:
         """Phrases of each symbol array (rows) in each language (columns)."""
         lengths = np.array([len(p) for p in parts], dtype=np.int64)
+        # so many languages at once that a byte for each of them and symbol is a bounded table
+        step = max(1, PLACES_AT_ONCE // max(1, int(lengths.sum())))
+        groups = [slice(i, i + step) for i in range(0, len(self.begin), step)]
+        return np.concatenate([self._phrases(parts, lengths, self.begin[g], self.restart[g]) for g in groups], axis=1)
+
+    def _phrases(self, parts: list[np.ndarray], lengths: np.ndarray, dead: np.ndarray, restart: np.ndarray) -> np.ndarray:
         text, starts = np.concatenate([*parts, np.zeros(0, self.symbol.dtype)]), starts_of(lengths)
         blocks = np.maximum(1, -(-lengths // BLOCK))
         owner = np.repeat(np.arange(len(parts)), blocks)
@@ -189,23 +189,80 @@ class _Parser:
         begin = starts[:-1][owner] + nth * BLOCK
         size = np.minimum(lengths[owner] - nth * BLOCK, BLOCK)
         order = np.argsort(-size, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        # places (by size) of the blocks that follow on another, and of that other
+        later = np.flatnonzero(nth > 0)
+        follows, before = place[later], place[later - 1]
         begin, size = begin[order], size[order]
-        state = np.repeat(self.begin[:, None], len(begin), axis=1)
-        count = np.zeros(state.shape, dtype=np.int32)
+        noted = np.full(len(order), -1, dtype=np.int64)
+        noted[follows] = np.arange(len(follows))
+        begun = np.zeros((len(dead), len(follows), BLOCK if len(follows) else 0), dtype=bool)
+        state = np.repeat(dead[:, None], len(begin), axis=1)
+        count = np.zeros(state.shape, dtype=np.int64)
         size_ = np.uint64(self.size)
         active = np.searchsorted(-size, -np.arange(int(size[0]) if len(size) else 0), side="left")
         for t, n in enumerate(active.tolist()):
             symbol = text[begin[:n] + t]
             now, ends = self.table.find((state[:, :n] * size_ + symbol).ravel())
             language = ends // n
-            nth = ends - language * n
-            now[ends] = self.restart[language, symbol[nth]]
-            count[language, nth] += 1
+            row = ends - language * n
+            now[ends] = restart[language, symbol[row]]
+            count[language, row] += 1
+            if len(follows):
+                seen = noted[row] >= 0
+                begun[language[seen], noted[row[seen]], t] = True
             state[:, :n] = now.reshape(-1, n)
-        out = np.zeros((len(parts), len(self.begin)), dtype=np.int64)
+        if len(follows):
+            self._continued(text, begin, size, follows, before, begun, state, count, restart)
+        out = np.zeros((len(parts), len(dead)), dtype=np.int64)
         np.add.at(out, owner[order], count.T)
         return out
 
+    def _continued(self, text: np.ndarray, begin: np.ndarray, size: np.ndarray, follows: np.ndarray, before: np.ndarray,
+                   begun: np.ndarray, state: np.ndarray, count: np.ndarray, restart: np.ndarray) -> None:
+        """Makes ``count`` and ``state`` of the blocks ``follows`` those of parses that go on from the blocks ``before``.
+
+        ``begun``: where the parse from the block's own begin starts a phrase.  A block whose parse meets its own ends as it
+        did; one that doesn't hands a new state to its successor, which is then parsed again.
+        """
+        alone_count, alone_state = count.copy(), state.copy()
+        heir = np.full(len(begin), -1, dtype=np.int64)
+        heir[before] = np.arange(len(follows))
+        language = np.repeat(np.arange(len(restart)), len(follows))
+        nth = np.tile(np.arange(len(follows)), len(restart))
+        size_ = np.uint64(self.size)
+        while len(nth):
+            block = follows[nth]
+            now, own = state[language, before[nth]], np.zeros(len(nth), dtype=np.int64)
+            ended = np.zeros(len(nth), dtype=bool)  # without meeting the parse from the block's begin
+            open_ = np.arange(len(nth))
+            for t in range(BLOCK):
+                done = size[block[open_]] <= t
+                ended[open_[done]] = True
+                open_ = open_[~done]
+                if not len(open_):
+                    break
+                symbol = text[begin[block[open_]] + t]
+                to, ends = self.table.find(now[open_] * size_ + symbol)
+                starts = open_[ends]
+                to[ends] = restart[language[starts], symbol[ends]]
+                now[open_] = to
+                own[starts] += 1
+                met = starts[begun[language[starts], nth[starts], t]]
+                if len(met):
+                    at = (language[met], block[met])
+                    skipped = begun[language[met], nth[met], :t + 1].sum(axis=1)
+                    own[met] += alone_count[at] - skipped
+                    now[met] = alone_state[at]
+                    keep = np.ones(len(nth), dtype=bool)
+                    keep[met] = False
+                    open_ = open_[keep[open_]]
+            changed = now != state[language, block]
+            count[language, block], state[language, block] = own, now
+            language, nth = language[changed], heir[block[changed]]
+            language, nth = language[nth >= 0], nth[nth >= 0]
+
 
 def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
@@ -264,7 +321,10 @@ def fit(labelled: DataFrame, chars_per_language: int = CHARS_PER_LANGUAGE, docs_
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred (string) and score (double) behind its columns; see ``predict``.  One row per input row."""
+    """``docs`` with lang_pred (string) and score (double) behind its columns; see ``predict``.
+
+    One row per input row; an input column of one of these names is replaced.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
