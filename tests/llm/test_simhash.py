@@ -28,7 +28,7 @@ def plain_classes(rows):
 
     for i in range(len(rows)):
         for j in range(i):
-            if (prints[i] ^ prints[j]).bit_count() <= 4 or rows[i][0] is not None and rows[i][0] == rows[j][0]:
+            if (prints[i] ^ prints[j]).bit_count() <= 4:
                 label[find(i)] = find(j)
     least = {}
     for i, (d, _) in enumerate(rows):
@@ -62,6 +62,13 @@ def test_classes_equal_all_pairs(make_docs):
         key(d, f, c) for (d, _), f, c in zip(rows, prints, want, strict=True))
 
 
+def test_a_doc_id_on_different_texts_joins_no_components(make_docs):
+    rng = random.Random(13)
+    a, b = (" ".join(f"{name}{rng.randrange(10**6)}" for _ in range(80)) for name in "ab")
+    found = S.near_duplicates(make_docs([(1, a), (5, a), (5, b), (5, b), (None, b)])).collect()
+    assert sorted((str(r["doc_id"]), r["component_id"]) for r in found) == [("1", 1), ("5", 1), ("5", 5), ("5", 5), ("None", 5)]
+
+
 def test_one_of_each_class_stays(make_docs):
     rows = near_copies() + [(3000, "no other"), (3000, "no other"), (None, "without an id"), (None, "without an id"), (None, None)]
     _, want = plain_classes(rows)

@@ -52,9 +52,6 @@ CHANCE_PAIRS = 16
 BLOCK_ROWS = 1024
 
 FIELDS = [T.StructField("fp", T.LongType())]
-#: Smallest stand-in for a missing document id, and how many there are.
-_STAND_INS = 1 << 40
-_NO_ID = 2**63 - 1 - _STAND_INS
 
 
 def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -256,31 +253,22 @@ def _as_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def _classes(prints: DataFrame, max_distance: int) -> DataFrame:
-    """(f, node, class_id) for each fingerprint f: its smallest doc_id, and the smallest of its component.
-
-    A fingerprint that only rows without doc_id have gets a stand-in of its own, larger than any id.
-    """
-    stand_in = F.lit(_NO_ID) + F.pmod(F.xxhash64("fp"), F.lit(_STAND_INS))
-    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-                    .select("fp", F.coalesce("least", stand_in).alias("node")), "simhash-nodes")
-    found = components(links(nodes, max_distance), "simhash-links")
-    return nodes.join(found, "node", "left").select(
-        F.col("fp").alias("f"), "node", F.coalesce("component", "node").alias("class_id"))
-
-
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs`` (doc_id, text).
 
-    component_id is the smallest doc_id whose fingerprint can be reached by links, the row's own included.  Null and
-    empty texts have fingerprint 0 and link like any other; rows with a null doc_id get the component of their
-    fingerprint, null if no row of the component has an id.  Repeated rows stay repeated, and rows of one doc_id with
-    different texts join their fingerprints' components.
+    component_id is the smallest doc_id among the rows whose fingerprint can be reached by links, the row's own included.
+    Only fingerprints are linked: rows of one doc_id with different texts belong to the components of their fingerprints,
+    which that doesn't join.  Null and empty texts have fingerprint 0 and link like any other; rows with a null doc_id get
+    the component of their fingerprint, null if no row of the component has an id.  Repeated rows stay repeated.
     """
     prints = written(fingerprints(docs.select("doc_id", "text"), shingle_words).select("doc_id", "fp"), "simhash")
-    component = F.when(F.col("class_id") < _NO_ID, F.col("class_id"))
-    return (prints.join(_classes(prints, max_distance), F.col("fp") == F.col("f"))
-            .select("doc_id", "fp", component.alias("component_id")))
+    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")).select("fp", F.col("fp").alias("node"), "least"), "simhash-nodes")
+    found = components(links(nodes.select("fp", "node"), max_distance), "simhash-links")
+    classes = nodes.join(found, "node", "left").select(
+        F.col("fp").alias("f"), "least", F.coalesce("component", "node").alias("class_id"))
+    smallest = classes.groupBy("class_id").agg(F.min("least").alias("component_id"))
+    named = classes.join(smallest, "class_id").select("f", "component_id")
+    return prints.join(named, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
