@@ -49,6 +49,18 @@ def test_repeated_rows_are_one_document(make_docs):
     assert found == [(1, 0, passage), (1, 0, passage), (2, 30, "more"), (3, 0, "other text"), (3, 0, "short")]
 
 
+@pytest.mark.parametrize("repeated", [False, True])
+def test_columns_of_any_name_stay(make_docs, repeated):
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(1, passage), (2, passage + " more")] + [(2, passage + " more")] * repeated
+    names = "row repeats places d t text_hash key more place n".split()
+    docs = make_docs(rows).selectExpr("*", *(f"concat('{n}', doc_id) AS {n}" for n in names))
+    found = D.remove_repetitions(docs)
+    assert found.columns == [*docs.columns, "n_words", "n_removed", "kept_text"]
+    for r in found.collect():
+        assert all(r[n] == f"{n}{r['doc_id']}" for n in names) and r["kept_text"] == (passage if r["doc_id"] == 1 else "more")
+
+
 def test_empty_table(make_docs):
     assert D.remove_repetitions(make_docs([])).count() == 0
 

@@ -235,7 +235,7 @@ def _cut(docs: DataFrame, window_words: int) -> DataFrame:
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
         for batch in batches:
             total, removed, kept = [], [], []
-            for text, places in zip(byte_texts(batch.column("text")), batch.column("repeats"), strict=True):
+            for text, places in zip(byte_texts(batch.column("text")), batch.column("__repeats"), strict=True):
                 words = text.split()
                 gone = 0
                 if places.is_valid:
@@ -251,7 +251,7 @@ def _cut(docs: DataFrame, window_words: int) -> DataFrame:
                 kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))
             yield batch, [pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
 
-    return appending(docs, FIELDS, compute).drop("row", "repeats")
+    return appending(docs, FIELDS, compute).drop("__row", "__repeats")
 
 
 def remove_repetitions(docs: DataFrame, window_words: int = WINDOW_WORDS) -> DataFrame:
@@ -259,22 +259,22 @@ def remove_repetitions(docs: DataFrame, window_words: int = WINDOW_WORDS) -> Dat
 
     kept_text has the words that stay, joined by one space; words are runs of other characters than ASCII white space.
     One row per input row.  A null text has no words.  Rows of equal doc_id and text are one document and get equal
-    results; texts of one doc_id that differ are ordered by a hash, and a null doc_id comes after all others.
+    results; texts of one doc_id that differ are ordered by a hash, and a null doc_id comes after all others.  An input
+    column of a new column's name is replaced; all others are kept.
     """
-    names = [c for c in docs.columns if c.lower() not in ("row", "repeats", "places")]
-    docs = docs.select(*names)
     ids = docs.groupBy("doc_id").count().agg(F.max("count"), F.sum(F.col("doc_id").isNull().cast("int"))).first()
     if (ids[0] or 0) > 1 or ids[1]:
         # ids that don't tell the rows apart: number the different (id, text) in their order
         order = [F.col("doc_id").asc_nulls_last(), F.col("text_hash")]
-        hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+        hashed = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
         numbered = written(hashed.dropDuplicates(["doc_id", "text_hash"]).repartitionByRange(*order).sortWithinPartitions(*order)
                            .withColumn("row", F.monotonically_increasing_id()), "cover-rows")
         single, whole = numbered.select("row", "text"), docs.join(
-            numbered.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), "row"),
-            F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("t"))).select(*names, "row")
+            numbered.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("row").alias("__row")),
+            F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))).drop("__id", "__hash")
     else:
-        single, whole = docs.select(F.col("doc_id").alias("row"), "text"), docs.withColumn("row", F.col("doc_id"))
+        single, whole = docs.select(F.col("doc_id").alias("row"), "text"), docs.withColumn("__row", F.col("doc_id"))
     anchors = written(_repeated_anchors(_anchors(single, window_words)), "cover-anchors")
     repeats = written(_repetitions(_windows(single.join(anchors, "row"), window_words)), "cover-repeats")
-    return _cut(whole.join(repeats, "row", "left"), window_words)
+    named = repeats.select(F.col("row").alias("__row"), F.col("repeats").alias("__repeats"))
+    return _cut(whole.join(named, "__row", "left"), window_words)
