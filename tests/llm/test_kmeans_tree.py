@@ -66,6 +66,12 @@ def test_tree_covers_all_leaves_and_visits_each_once(rows):
         assert sorted(order) == list(range(tree.leaves)) and order[0] == tree.leaf_of(u[None])[0]
 
 
+def test_rows_of_one_id_are_one_vector(workers):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.1]), (1, [1.0, 0.1]), (2, [1.0, 0.5]), (50, [0.0, 1.0]), (50, [0.5, 1.0]), (3, [None, 1.0]), (3, [0.1, 1.0])]
+    found = {q: [r[k][0] for k in sorted(r)] for q, r in search(workers, rows).items()}
+    assert found == {0: [1, 2, 3, 50], 50: [3, 2, 1, 0]}
+
+
 def test_few_rows_and_none(workers):
     found = search(workers, [(0, [1.0] * 8), (1, [1.0] * 7 + [0.0]), (2, None)])
     assert {q: [v for v, _ in r.values()] for q, r in found.items()} == {0: [1]}

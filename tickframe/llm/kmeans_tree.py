@@ -192,16 +192,21 @@ def calibrated(vectors: DataFrame, tree: Tree, queries: list[tuple[int, np.ndarr
     return visits, float((needed <= visits).mean())
 
 
+def _one_each(vectors: DataFrame) -> DataFrame:
+    return usable(vectors).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+
+
 def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, sample_rows: int = SAMPLE_ROWS,
                target: float = TARGET_RECALL) -> DataFrame:
     """The ``k`` nearest by cosine of each query (query_id, rank from 1, vec_id, score).
 
     ``vectors`` (vec_id, embedding) are all indexed; ``queries`` has rows of the same kind, and a query's own vec_id is no
     candidate.  Ties go to the smaller vec_id.  A query with fewer candidates gets all of them.  Rows that can't take part
-    (see ``usable``) are left out on both sides.  The tree's sample: the ``sample_rows`` rows with the smallest hash of vec_id.
+    (see ``usable``) are left out on both sides.  Rows of one vec_id are one vector: the smallest of those that can take part,
+    in the order of its components.  The tree's sample: the ``sample_rows`` rows with the smallest hash of vec_id.
     """
     spark = vectors.sparkSession
-    base = written(usable(vectors), "ann-vectors")
+    base = written(_one_each(vectors), "ann-vectors")
     sampled = base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).collect()
     points = np.array([r["embedding"] for r in sampled])
     tree = fit_tree(_unit(points) if len(points) else np.zeros((0, 1)))
@@ -234,8 +239,8 @@ def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, sample_rows:
             yield pa.RecordBatch.from_arrays([pa.array(leaves, pa.int64()), ids.take(rows), batch.column("embedding").take(rows)],
                                              ["leaf", "query_id", "query"])
 
-    asked = usable(queries).join(base.select(F.col("vec_id").alias("v")).distinct(), F.col("vec_id") == F.col("v"), "left_semi")
-    asked = written(asked.dropDuplicates(["vec_id"]).select("vec_id", "embedding")
+    asked = _one_each(queries).join(base.select(F.col("vec_id").alias("v")).distinct(), F.col("vec_id") == F.col("v"), "left_semi")
+    asked = written(asked.select("vec_id", "embedding")
                     .mapInArrow(search, "leaf bigint, query_id bigint, query array<double>"), "ann-queries")
     blocks = (in_leaf.withColumnRenamed("count", "n").join(asked.groupBy("leaf").count().withColumnRenamed("count", "m"), "leaf")
               .select(F.col("leaf").alias("l"), F.ceil(F.col("n") / BLOCK_VECTORS).cast("int").alias("vector_blocks"),
