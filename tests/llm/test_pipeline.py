@@ -43,7 +43,7 @@ def corpus():
     for n, i in enumerate(clean[:6]):  # copies, and copies of a passage inside other documents
         rows.append((1000 + n, rows[i][1], rows[i][2]))
         rows.append((1100 + n, rows[clean[20 + n]][1] + " " + shared + f" end{n}", rows[clean[20 + n]][2]))
-    rows += [(1200, None, "en"), (1201, "", "en"), (1202, "12 34 !", "en")]
+    rows += [(1200, None, "en"), (1201, "", "en"), (1202, "12 34 !", "en"), (1203, "i", "en")]  # one letter: both languages have it
     notes["toxic"] = {i for i, y in labels if y}
     notes["copies"] = {1000 + n for n in range(6)}
     return rows, labels, notes
@@ -67,7 +67,7 @@ def test_stages_take_effect(workers, folder):
         docs = P.written(stage(workers, docs, path), name)
         assert docs.columns == columns
         kept[name] = {r["doc_id"]: r["text"] for r in docs.collect()}
-    assert set(text) - set(kept["language"]) == {1200, 1201, 1202}
+    assert set(text) - set(kept["language"]) == {1200, 1201, 1202, 1203}
     gone = set(kept["language"]) - set(kept["toxicity"])
     clean = set(kept["language"]) - notes["toxic"]
     assert len(gone & notes["toxic"]) > 0.9 * len(notes["toxic"]) and len(gone & clean) <= 0.03 * len(clean)
@@ -83,11 +83,18 @@ def test_stages_take_effect(workers, folder):
     assert got == want
 
 
+def test_language_stage_keeps_the_wanted_languages(workers, folder):
+    path, rows, _ = folder
+    kept = {r["doc_id"]: r["lang"] for r in P.language(workers, workers.read.parquet(f"{path}/documents.parquet"), path, ["de"]).collect()}
+    german = {d for d, t, lang in rows if lang == "de" and t}
+    assert set(kept.values()) == {"de"} and len(kept) >= 0.95 * len(german)
+
+
 def test_run_gives_the_last_stage(workers, folder):
     found = P.run(workers, folder[0])
     assert found.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     ids = np.array([r["doc_id"] for r in found.collect()])
-    assert len(ids) > 50 and not set(ids.tolist()) & {1200, 1201, 1202}
+    assert len(ids) > 50 and not set(ids.tolist()) & {1200, 1201, 1202, 1203}
 
 
 def test_empty_documents(workers, make_docs, folder):
@@ -98,7 +105,7 @@ def test_empty_documents(workers, make_docs, folder):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in catalog.llm_queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_columns_of_any_name_pass_unchanged(workers, folder):

@@ -1,13 +1,32 @@
-"""Files of executors and driver in a shared folder, by path or URI (local, HDFS, S3, ...)."""
+"""Files of executors and driver in a shared folder, by path or URI (local, HDFS, S3, ...).
+
+A folder's name is qualified once, on the driver, by Spark's own rules, so that workers write their files to the file
+system that Spark writes its Parquet to, also where ``fs.defaultFS`` is not the local one.
+"""
 
 from __future__ import annotations
 
 import numpy as np
 from pyarrow import fs
+from pyspark.sql import SparkSession
+
+#: Schemes of Hadoop's connectors and what the workers' file systems call them.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "abfss": "abfss", "abfs": "abfs"}
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as Spark's readers and writers take it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
 
 def located(uri: str) -> tuple[fs.FileSystem, str]:
-    return (fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri))
+    if uri.startswith("file:"):
+        uri = "/" + uri.removeprefix("file:").lstrip("/")
+    scheme, found, rest = uri.partition("://")
+    if not found:
+        return fs.LocalFileSystem(), uri
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
 
 
 def write_array(uri: str, values: np.ndarray) -> None:

@@ -143,6 +143,45 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+#: SHA-1 in base 32: its 40 hexadecimal digits in 8 groups of 20 bits, each 4 letters of the alphabet.
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+OP4_SQL = f"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+digested AS (
+    SELECT page_id, payload, sha1(payload) AS hex, min(page_id) OVER (PARTITION BY payload) AS original FROM payloads),
+grouped AS (
+    SELECT *, [list_sum([(instr('0123456789abcdef', substr(hex, 5 * g + d + 1, 1)) - 1) * CAST(pow(16, 4 - d) AS BIGINT) for d in range(5)])
+               for g in range(8)] AS bits
+    FROM digested)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+       array_to_string([array_to_string([substr('{_BASE32}', CAST((CAST(b AS BIGINT) // CAST(pow(32, 3 - c) AS BIGINT)) % 32 + 1 AS BIGINT), 1)
+                                         for c in range(4)], '') for b in bits], '') AS payload_digest,
+       CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to
+FROM grouped
+"""
+
+OP7_SQL = """
+WITH split AS (
+    SELECT doc_id, [w for w in regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') if w <> ''] AS words FROM documents),
+windows AS (
+    SELECT doc_id, place, array_to_string(words[place:place + 19], ' ') AS passage
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS place FROM split WHERE len(words) >= 20) w),
+repeated AS (
+    SELECT doc_id, place FROM (
+        SELECT doc_id, place, row_number() OVER (PARTITION BY passage ORDER BY doc_id, place) AS nth FROM windows) n
+    WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(place, place + 20)) AS place FROM repeated),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n
+    FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM split) w
+    ANTI JOIN gone USING (doc_id, place)
+    GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k ON k.doc_id = s.doc_id
+"""
+
 OP12_SQL = """
 WITH usable AS (
     SELECT vec_id, min([CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding]) AS w
@@ -163,4 +202,4 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op12_maxscore": OP12_SQL}
+    return {"op4_warc_revisit": OP4_SQL, "op7_cover_dedup": OP7_SQL, "op12_maxscore": OP12_SQL}
