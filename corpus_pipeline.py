@@ -29,12 +29,24 @@ def set_aside(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFra
     return docs.toDF(*inner), lambda found: found.select(*inner).toDF(*names)
 
 
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without a letter (or without text) go."""
+#: The best language needs this share of phrases less than the second best.  Where both need about as many (a word or two
+#: that several languages have, noise), the language can't be told.
+LEAST_SCORE = 0.02
+#: Languages that the corpus shall hold; None: all that the labelled documents have.
+WANTED_LANGUAGES: list[str] | None = None
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str, wanted: list[str] | None = None) -> DataFrame:
+    """Documents in a wanted language (``wanted``, else ``WANTED_LANGUAGES``), as predicted from their text.
+
+    Those go whose language can't be told: without a letter (or without text), or with a score below ``LEAST_SCORE``.
+    """
     let_workers_import(spark)
     model = cross_parsing.fit(docs.where(fold(F.col("doc_id"), 3) != 1))
     inner, back = set_aside(docs)
-    return back(cross_parsing.identify(inner, model).where(F.col("lang_pred") != cross_parsing.UNDETERMINED))
+    found = cross_parsing.identify(inner, model)
+    names = model.languages if (wanted or WANTED_LANGUAGES) is None else (wanted or WANTED_LANGUAGES)
+    return back(found.where(F.col("lang_pred").isin(names) & (F.col("score") >= LEAST_SCORE)))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
