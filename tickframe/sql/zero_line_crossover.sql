@@ -1,9 +1,15 @@
--- RSI(5) - RSI(21) above zero today and not above it at the bar before, at most 10 days earlier.
-WITH recent AS (
-  SELECT ticker, market_date, rsi_14, lag(rsi_5_21_diff) OVER (PARTITION BY ticker ORDER BY market_date) AS prev_rsi_diff,
-         rsi_5_21_diff
-  FROM daily_indicators
-  WHERE market_date >= date_sub((SELECT max(market_date) FROM daily_indicators), 10))
-SELECT * FROM recent
-WHERE market_date = (SELECT max(market_date) FROM daily_indicators) AND prev_rsi_diff <= 0 AND rsi_5_21_diff > 0
+-- Momentum has turned up: RSI(5) - RSI(21) is above zero on the latest date, and was not at the ticker's bar before,
+-- which is at most 10 days older. One hash aggregate a ticker over those days: its newest bar and the one before it.
+WITH turned AS (
+  SELECT ticker, max(market_date) AS market_date,
+         max_by(rsi_14, market_date) AS rsi_14,
+         max_by(rsi_5_21_diff, market_date) FILTER (WHERE market_date < today) AS prev_rsi_diff,
+         max_by(rsi_5_21_diff, market_date) AS rsi_5_21_diff,
+         today
+  FROM (SELECT *, (SELECT max(market_date) FROM daily_indicators) AS today FROM daily_indicators) dated
+  WHERE market_date >= date_sub(today, 10)
+  GROUP BY ticker, today)
+SELECT ticker, market_date, rsi_14, prev_rsi_diff, rsi_5_21_diff
+FROM turned
+WHERE market_date = today AND prev_rsi_diff <= 0 AND rsi_5_21_diff > 0
 ORDER BY rsi_5_21_diff DESC, ticker
