@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickframe.llm._common import appending, byte_texts, written
-from tickframe.llm._files import located
+from tickframe.llm._files import located, qualified
 
 MIN_REVISIT_BYTES = 0
 MAX_FILE_BYTES = 1_000_000_000
@@ -110,6 +110,7 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REV
     Only files in the manifest (``path/manifest``) count: each attempt of a task writes under new names.
     """
     stamp = (date or datetime.now(timezone.utc)).strftime("%Y-%m-%dT%H:%M:%SZ")
+    path = qualified(pages.sparkSession, path)
     system, folder = located(path)
     system.create_dir(folder, recursive=True)
 
@@ -163,6 +164,7 @@ def read_records(spark: SparkSession, path: str, payloads: bool = False) -> Data
     A response whose payload doesn't have its digest is an error.
     """
     schema = _RECORD + (", payload binary" if payloads else "")
+    path = qualified(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, folder = located(path)
