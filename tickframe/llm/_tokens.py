@@ -2,27 +2,32 @@
 
 A byte-level BPE tokenizer splits a text into pre-tokens and merges inside each
 of them.  A space between two characters that are not white space always begins
-a pre-token, so texts can be cut there, the stretches encoded apart and the ids
-joined.  Stretches repeat, so their ids are kept (for a bounded number of them).
+a pre-token, and a line end between two such characters is one, so texts can be
+cut there, the stretches encoded apart and the ids joined.  Stretches repeat, so
+their ids are kept (for a bounded number of them).
 """
 
 from __future__ import annotations
 
 import os
 import re
-from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from tickframe.llm._common import kept_by_worker
+from tickframe.llm._common import kept_by_worker, starts_of
 
 KEPT_STRETCHES = 800_000
 ENCODED_AT_ONCE = 20_000
 
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-_PLAIN = re.compile(r"\s ")
-_ODD = re.compile(r" \s")
 _SPACE = re.compile(r"\s")
+#: White space other than single spaces and line ends between other characters (for Arrow's regular expressions).
+_UNEVEN = (r"[ \n][ \n]|\A[ \n]|[ \n]\z|[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
+#: Keys of kept stretches: as they are behind a space, with this before them at the begin of a text or line.
+BEGIN = "\n"
+LINE_END = "\n\n"
 
 
 def default_tokenizer() -> str:
@@ -45,17 +50,24 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         line_end = self._ids(["\n"])[0]
         self.line_end = line_end[0] if len(line_end) == 1 else None
-        self.begin: dict[str, bytes] = {}
-        self.inner: dict[str, bytes] = {}
-        self.mark: dict[str, bytes] = {}
+        self.mark = {m: self._bytes(self._ids([m])[0]) for m in ",."}
+        # the kept stretches: keys, and the ids of the i-th from starts[i] to starts[i + 1] of `flat`
+        self.keys = pa.array([BEGIN, LINE_END], pa.large_string())
+        self.starts = np.array([0, 0, len(line_end)], dtype=np.int64)
+        self.flat = np.array(line_end, dtype=self.dtype)
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, dtype=self.dtype).tobytes()
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, missing: list[str], known: dict[str, bytes], lead: str) -> None:
+    def _learned(self, words: list[str], lead: str) -> list[bytes]:
+        """Ids of different stretches, with ``lead`` before each."""
+        known: dict[str, bytes] = {}
         width = self.dtype.itemsize
         # stretches without white space go through the tokenizer as lines of one text: a line end is a token of its own
-        plain = [s for s in missing if s and not _SPACE.search(s)] if self.line_end is not None else []
+        plain = [s for s in words if s and not _SPACE.search(s)] if self.line_end is not None else []
         for at in range(0, len(plain), ENCODED_AT_ONCE):
             part = plain[at:at + ENCODED_AT_ONCE]
             ids = np.array(self._ids(["\n".join(lead + s for s in part)])[0], dtype=np.int64)
@@ -64,57 +76,94 @@ class Encoder:
             for s, end in zip(part, ends, strict=True):
                 known[s] = raw[begin * width:end * width]
                 begin = end + 1
-        rest = [s for s in missing if s not in known]
-        for s, ids in zip(rest, self._ids([lead + s for s in rest]), strict=True):
-            known[s] = np.array(ids, dtype=self.dtype).tobytes()
+        rest = [s for s in words if s not in known]
+        known.update(zip(rest, map(self._bytes, self._ids([lead + s for s in rest])), strict=True))
+        return [known[s] for s in words]
+
+    def _kept(self, place: int) -> bytes:
+        return self.flat[self.starts[place]:self.starts[place + 1]].tobytes()
+
+    def _add(self, new: list[str]) -> None:
+        """Learns different keys that are not kept, and keeps them in their order."""
+        begin = [k[1:] for k in new if k[0] == BEGIN]
+        inner = [k for k in new if k[0] != BEGIN]
+        # a comma or full stop behind a Latin letter is a pre-token of its own
+        marked = {s for s in inner if s[-1:] in (",", ".") and s[-2:-1].isalpha() and s[-2] < "\u0250"}
+        plain = [s for s in inner if s not in marked]
+        stems = list({s[:-1] for s in marked}.difference(plain))
+        held = pc.index_in(pa.array(stems, pa.large_string()), value_set=self.keys).to_pylist()
+        stem_ids = {s: self._kept(at) for s, at in zip(stems, held, strict=True) if at is not None}
+        stems = [s for s in stems if s not in stem_ids]
+        ids = dict(zip(plain + stems, self._learned(plain + stems, " "), strict=True))
+        begin_ids = dict(zip(begin, self._learned(begin, ""), strict=True))
+        stem_ids |= ids
+        values = [begin_ids[k[1:]] if k[0] == BEGIN else stem_ids[k[:-1]] + self.mark[k[-1]] if k in marked else ids[k] for k in new]
+        values += [ids[s] for s in stems]
+        sizes = np.array([len(v) for v in values], dtype=np.int64) // self.dtype.itemsize
+        self.keys = pa.concat_arrays([self.keys, pa.array(new + stems, pa.large_string())])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(values), dtype=self.dtype)])
+
+    def _places(self, keys: pa.Array) -> np.ndarray:
+        """Where different keys are kept; unknown ones are learned together."""
+        found = pc.index_in(keys, value_set=self.keys)
+        out = found.fill_null(-1).to_numpy().astype(np.int64)
+        holes = np.flatnonzero(out < 0)
+        if len(holes):
+            out[holes] = len(self.keys) + np.arange(len(holes))
+            self._add(keys.take(pa.array(holes)).to_pylist())
+        return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian bytes of ``dtype``."""
+    def _uneven_keys(self, text: str) -> list[str]:
+        """Keys of the stretches of a text with white space of any kind."""
+        stretches = _CUT.split(text)
+        keys = [stretches[0], *(s[1:] for s in stretches[1:])]
+        if keys[0][:1] == " " and len(keys[0]) > 1 and not keys[0][1].isspace():
+            keys = ["", keys[0][1:], *keys[1:]]
+        keys[0] = BEGIN + keys[0]
+        return keys
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text (strings without nulls) as little-endian bytes of ``dtype``."""
         # the first stretches seen are the frequent ones: of too many the later half goes
-        if len(self.inner) > KEPT_STRETCHES:
-            self.inner = dict(islice(self.inner.items(), KEPT_STRETCHES // 2))
-        if len(self.begin) > KEPT_STRETCHES:
-            self.begin = dict(islice(self.begin.items(), KEPT_STRETCHES // 2))
+        if len(self.keys) > KEPT_STRETCHES:
+            half = max(2, KEPT_STRETCHES // 2)
+            self.keys, self.starts = pa.concat_arrays([self.keys.slice(0, half)]), self.starts[:half + 1].copy()
+            self.flat = self.flat[:self.starts[-1]].copy()
         out: list[bytes] = [b""] * len(texts)
-        inner, begin = self.inner.get, self.begin.get
-        todo, new, new_begin = [], set(), set()
-        for n, text in enumerate(texts):
-            if any(map(text.__contains__, self.special)):
-                out[n] = np.array(self._ids([text])[0], dtype=self.dtype).tobytes()
-                continue
-            if text.endswith(" ") or _ODD.search(text) or _PLAIN.search(text):
-                stretches = _CUT.split(text)
-                first, rest = stretches[0], [s[1:] for s in stretches[1:]]
-                if first[:1] == " " and len(first) > 1 and not first[1].isspace():
-                    first, rest = "", [first[1:], *rest]
-            else:
-                first, *rest = text.split(" ")
-            ids = [begin(first), *map(inner, rest)]
-            try:
-                out[n] = b"".join(ids)
-            except TypeError:  # some stretch is new: noted, and filled in when all new ones are known
-                holes = [i for i, x in enumerate(ids) if x is None]
-                if holes[0] == 0:
-                    new_begin.add(first)
-                    del holes[0]
-                words = [rest[i - 1] for i in holes]
-                new.update(words)
-                todo.append((n, ids, first, holes, words))
-        if new:
-            # a comma or full stop behind a Latin letter is a pre-token of its own
-            marked = {s for s in new if s[-1:] in (",", ".") and s[-2:-1].isalpha() and s[-2] < "\u0250"}
-            bare = {s[:-1] for s in marked}.union(new - marked, ",.").difference(self.inner)
-            self._learn(list(bare), self.inner, " ")
-            self._learn([",", "."], self.mark, "")
-            for s in marked - bare:
-                self.inner[s] = self.inner[s[:-1]] + self.mark[s[-1]]
-        if new_begin:
-            self._learn(list(new_begin), self.begin, "")
-        for n, ids, first, holes, words in todo:
-            ids[0] = begin(first)
-            for i, s in zip(holes, words, strict=True):
-                ids[i] = inner(s)
-            out[n] = b"".join(ids)
+        whole = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        uneven = pc.match_substring_regex(whole, _UNEVEN).to_numpy(zero_copy_only=False)
+        if self.line_end is None:
+            uneven |= pc.match_substring(whole, "\n").to_numpy(zero_copy_only=False)
+        special = np.zeros(len(texts), dtype=bool)
+        for s in self.special:
+            special |= pc.match_substring(whole, s).to_numpy(zero_copy_only=False)
+        for n in np.flatnonzero(special).tolist():
+            out[n] = self._bytes(self._ids([whole[n].as_py()])[0])
+        rest = np.flatnonzero(uneven & ~special).tolist()
+        if rest:
+            keys = [self._uneven_keys(whole[n].as_py()) for n in rest]
+            different = list({k for own in keys for k in own})
+            ids = dict(zip(different, map(self._kept, self._places(pa.array(different, whole.type)).tolist()), strict=True))
+            for n, own in zip(rest, keys, strict=True):
+                out[n] = b"".join(map(ids.__getitem__, own))
+        rest = np.flatnonzero(~uneven & ~special)
+        if len(rest):
+            # all stretches of all texts at once: the different ones are looked up, the ids gathered
+            text = whole.type
+            lines = pc.replace_substring(whole.take(pa.array(rest)), "\n", f" {LINE_END} {BEGIN}")
+            keys = pc.split_pattern(pc.binary_join_element_wise(pa.scalar(BEGIN, text), lines, pa.scalar("", text)), " ")
+            coded = keys.flatten().dictionary_encode()
+            place = self._places(coded.dictionary)[coded.indices.to_numpy()]
+            begin = self.starts[place]
+            size = self.starts[place + 1] - begin
+            ends = starts_of(size)
+            # place of each id in `flat`: the begin of its stretch, and its number within
+            kind = np.int32 if max(ends[-1], len(self.flat)) < 2**31 else np.int64
+            raw = self.flat[np.arange(ends[-1], dtype=kind) + np.repeat((begin - ends[:-1]).astype(kind), size)].tobytes()
+            bounds = (ends[keys.offsets.to_numpy()] * self.dtype.itemsize).tolist()
+            for n, i, j in zip(rest.tolist(), bounds[:-1], bounds[1:], strict=True):
+                out[n] = raw[i:j]
         return out
 
 

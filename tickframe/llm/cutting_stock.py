@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -37,7 +38,7 @@ GAP = 0.002
 COLUMNS_PER_CLASS = 8
 ROUNDS = 2
 END_ID = 1
-BATCH_CHARS = 4_000_000
+BATCH_BYTES = 8_000_000
 
 _PIECES = "task int, klass int, nth bigint, doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
@@ -145,10 +146,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
         task, enc = TaskContext.get().partitionId(), encoder(tokenizer)
         counts = np.zeros(-(-capacity // GRAIN) + 1, dtype=np.int64)
         for batch in batches:
-            ids, texts = batch.column("doc_id"), [t or "" for t in batch.column("text").to_pylist()]
-            for part in runs_of([len(t) for t in texts], BATCH_CHARS):
+            ids, texts = batch.column("doc_id"), batch.column("text").fill_null("")
+            for part in runs_of(pc.binary_length(texts).to_pylist(), BATCH_BYTES):
                 doc, start, length, crc, total = [], [], [], [], []
-                for i, raw in enumerate(enc.encode(texts[part]), part.start):
+                for i, raw in enumerate(enc.encode(texts.slice(part.start, part.stop - part.start)), part.start):
                     tokens = np.append(np.frombuffer(raw, dtype=enc.dtype), enc.dtype.type(end_id)).astype("<u4")
                     for at in range(0, len(tokens), capacity):
                         piece = tokens[at:at + capacity]

@@ -21,17 +21,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickframe.llm._common import runs_of, starts_of
-from tickframe.llm._files import located, read_array, write_array
+from tickframe.llm._files import located, qualified, read_array, write_array
 from tickframe.llm._tokens import default_tokenizer, encoder
 
 END_ID = 2
-BATCH_CHARS = 4_000_000
+BATCH_BYTES = 8_000_000
+TOKENS_AT_ONCE = 4_000_000
 #: Stands for a null document id in the ids file.
 NO_ID = -(2**63)
 
@@ -43,7 +45,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     empty.  Repeated rows are kept.  Manifest: shard, name, n_docs, n_tokens, base, dtype.
     """
     spark = docs.sparkSession
-    tokenizer = tokenizer or default_tokenizer()
+    path, tokenizer = qualified(spark, path), tokenizer or default_tokenizer()
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     system, folder = located(path)
     system.create_dir(folder, recursive=True)
@@ -56,10 +58,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
         stem = f"{path}/{shard:06d}-{name}"
         with system.open_output_stream(located(f"{stem}.tokens")[1]) as out:
             for batch in batches:
-                texts = [t or "" for t in batch.column("text").to_pylist()]
+                texts = batch.column("text").fill_null("")
                 ids.append(batch.column("doc_id").cast(pa.int64()).fill_null(NO_ID).to_numpy())
-                for part in runs_of([len(t) for t in texts], BATCH_CHARS):
-                    raw = enc.encode(texts[part])
+                for part in runs_of(pc.binary_length(texts).to_pylist(), BATCH_BYTES):
+                    raw = enc.encode(texts.slice(part.start, part.stop - part.start))
                     out.write(b"".join(x for r in raw for x in (r, end)))
                     lengths.append(np.array([len(r) // enc.dtype.itemsize + 1 for r in raw], dtype="<i8"))
         own = np.concatenate([np.zeros(0, "<i8"), *lengths])
@@ -90,6 +92,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
     tokens are the ids (end id included) as little-endian unsigned 32-bit integers.
     """
+    path = qualified(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,7 +100,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 tokens, offsets = read_array(f"{path}/{name}.tokens", dtype), read_array(f"{path}/{name}.offsets", "<i8")
                 ids = read_array(f"{path}/{name}.ids", "<i8")
                 lengths = np.diff(offsets)
-                for part in runs_of((lengths + 50).tolist(), BATCH_CHARS):
+                for part in runs_of((lengths + 50).tolist(), TOKENS_AT_ONCE):
                     at = offsets[part.start:part.stop + 1] - base
                     raw = [tokens[i:j].astype("<u4").tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]
                     own = np.array(ids[part])
