@@ -43,8 +43,8 @@ CHARS_PER_LANGUAGE = 20_000
 DOCS_PER_LANGUAGE = 60
 MAX_LANGUAGES = 250
 BLOCK = 4096
-BATCH_CHARS = 6_000_000
-PLACES_AT_ONCE = 32_000_000
+BATCH_CHARS = 2_000_000
+PLACES_AT_ONCE = 8_000_000
 
 _NO_KEY = np.uint64(2**64 - 1)
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
