@@ -83,8 +83,10 @@ def test_reference_fold_matches_pandas():
 
 def test_constant_series_is_flat(spark):
     out = ewm_columns(frame(spark, {"c": [10.0] * 40}), [Ewm.span("e", "x", 9)], 1)
-    vals = [r["e"] for r in out.collect()]
-    assert all(abs(v - 10.0) < 1e-12 for v in vals)
+    assert all(r["e"] == 10.0 for r in out.collect())
+    flat = [77.16125, None, 77.16125, 77.16125, 0.1]  # exactly flat until another value comes
+    out = ewm_columns(frame(spark, {"c": flat}), [Ewm.weight("e", "x", 1 / 11)], 1).orderBy("rn").collect()
+    assert [r["e"] for r in out[:4]] == [77.16125] * 4 and close(out[4]["e"], ewm_reference(flat, Ewm.weight("e", "x", 1 / 11).alpha)[4])
 
 
 def test_no_leak_between_tickers(spark):

@@ -24,7 +24,8 @@ Blocks are the eras of a ticker (``functions/windows.py``): so many days that ``
 double (an ``A`` that a long gap made smaller than ``LEAST`` counts as ``LEAST``: what lies before is then below the
 precision of a double).  The terms of the sum grow like ``1/P``, so each prefix is as exact as the recursion.  States go
 from block to block by one running ``last`` for each block that the longest history has beyond the first: one up to some
-four years, eight for thirty.  Every step is a ``Window`` operator over the same partitioning and order as the rest of
+four years, eight for thirty.  As long as all observations are equal the mean is exactly that value, as in the recursion, so
+that rounding decides ties alike, and each row's last step is taken as the recursion takes it.  Every step is a ``Window`` operator over the same partitioning and order as the rest of
 the job: no shuffle, no sort, no Python.
 """
 
@@ -98,6 +99,8 @@ def ewm_columns(df: DataFrame, specs: list[Ewm], eras: int, rn: str = "rn",
     for c in patterns:
         prep.append(f"last(CASE WHEN {c} IS NOT NULL THEN {rn} END, true) {X.BEFORE} AS _p_{c}")
         prep.append(f"count({c}) {X.RUNNING} AS _n_{c}")
+    sources = list(dict.fromkeys(s.source for s in specs))
+    prep += [f"{fn}({c}) {X.RUNNING} AS _{fn}_{c}" for c in sources for fn in ("min", "max")]
     df = df.selectExpr("*", *prep, *extra)
 
     # The affine maps; A once per pattern of nulls and weight.
@@ -111,7 +114,7 @@ def ewm_columns(df: DataFrame, specs: list[Ewm], eras: int, rn: str = "rn",
         c, d, a = s.seen, f"pow({X.num(1.0 - s.alpha)}, CAST({rn} - _p_{s.seen} AS DOUBLE))", X.num(s.alpha)
         maps.append(f"CASE WHEN {s.source} IS NULL THEN {zero} WHEN _p_{c} IS NULL THEN {s.source} "
                     f"ELSE {a} * {s.source} / ({d} + {a}) END AS _b_{s.name}")
-    df = df.selectExpr(*[X.q(c) for c in df.columns if not c.startswith("_p_")], *maps)
+    df = df.selectExpr("*", *maps)
 
     # Running products and sums of an era; `product` has no SQL name.
     of_era = (Window.partitionBy(W.PARTITION, W.ERA).orderBy("market_date")
@@ -128,11 +131,22 @@ def ewm_columns(df: DataFrame, specs: list[Ewm], eras: int, rn: str = "rn",
         kept = [X.q(c) for c in df.columns if not c.startswith("_z_")]
         df = df.selectExpr(*kept, *[f"_y_{s.name} + {product[s.seen, s.alpha]} * {ends[s.name]} AS _z_{s.name}" for s in specs])
 
-    state, final = "_z" if eras > 1 else "_y", []
+    # The last step again as the recursion does it, from the state of the row before: its rounding, where that is exact.
+    state = "_z" if eras > 1 else "_y"
+    gone = {"_ends", *product.values(), *(f"_{fn}_{c}" for c in sources for fn in ("min", "max")),
+            *(f"{y}_{s.name}" for s in specs for y in ("_y", "_z"))}
+    df = df.selectExpr(*[X.q(c) for c in df.columns if c not in gone], *[
+        f"CASE WHEN _min_{s.source} = _max_{s.source} THEN _min_{s.source} ELSE {state}_{s.name} END AS _w_{s.name}" for s in specs])
+    df = df.selectExpr("*", *[f"{X.lag(f'_w_{s.name}')} AS _l_{s.name}" for s in specs])
+    final = []
     for s in specs:
+        c, x, a, last = s.seen, s.source, X.num(s.alpha), f"_l_{s.name}"
+        d = f"CASE WHEN {rn} - _p_{c} = 1 THEN {X.num(1.0 - s.alpha)} ELSE pow({X.num(1.0 - s.alpha)}, CAST({rn} - _p_{c} AS DOUBLE)) END"
+        step = (f"CASE WHEN {x} IS NULL OR _p_{c} IS NULL THEN _w_{s.name} WHEN {last} = {x} THEN {x} "
+                f"ELSE ({d} * {last} + {a} * {x}) / ({d} + {a}) END")
         final.append(f"CASE WHEN {W.ERA} - _first_era >= {eras} THEN CAST(raise_error('series longer than the scan reaches') AS DOUBLE) "
-                     f"WHEN _n_{s.seen} >= {max(s.min_periods, 1)} THEN {state}_{s.name} END AS {s.name}")
-    gone = {"_ends", "_first_era", *product.values(), *(f"_n_{c}" for c in patterns), *(f"{y}_{s.name}" for s in specs for y in ("_y", "_z"))}
+                     f"WHEN _n_{c} >= {max(s.min_periods, 1)} THEN {step} END AS {s.name}")
+    gone = {"_first_era", *(f"_{k}_{c}" for c in patterns for k in ("n", "p")), *(f"_{k}_{s.name}" for s in specs for k in ("w", "l"))}
     return df.selectExpr(*[X.q(c) for c in df.columns if c not in gone], *final)
 
 

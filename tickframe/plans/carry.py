@@ -84,7 +84,7 @@ def carry_of(bars: DataFrame, partitions: int | None = None) -> DataFrame:
 def _stepped(s: Ewm) -> list[str]:
     """The mean's next state under the name that ``w`` + name has, from the row's observation."""
     a, d, w = X.num(s.alpha), f"pow({X.num(1.0 - s.alpha)}, CAST(gap_{s.seen} + 1 AS DOUBLE))", f"w{s.name}"
-    return [f"CASE WHEN {s.source} IS NULL THEN {w} WHEN {w} IS NULL THEN {s.source} "
+    return [f"CASE WHEN {s.source} IS NULL THEN {w} WHEN {w} IS NULL OR {w} = {s.source} THEN {s.source} "
             f"ELSE {d} / ({d} + {a}) * {w} + {a} * {s.source} / ({d} + {a}) END AS {w}"]
 
 
