@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from tickframe.operators import asof, screens
 from tickframe.operators.indicators import indicators
-from tickframe.plans import jobs
+from tickframe.plans import catalog, jobs
 from tickframe.schemas import BARS
 from tickframe.sources import bucketed, fixtures, ingest, sink
 from tickframe.streaming import landed_days
@@ -109,3 +109,10 @@ def test_one_day_load_reads_one_folder(spark):
     text = plan(df)
     assert "PartitionFilters: [isnotnull(market_date" in text and "1995-01-01" in text
     assert {str(r[0]) for r in df.select("market_date").distinct().collect()} == {"1995-01-01"}
+
+
+def test_family_query_builds_its_own_columns_alone(spark):
+    bars = catalog.bars(spark, SF_SMALL)
+    text = plan(catalog.spark_queries()["ind_obv"](spark, SF_SMALL))
+    assert "Window [" in text and not re.search(r"close_slope|macd|vol_sma", text)
+    assert text.count("Window [") < plan(jobs.bulk_indicators(bars)).count("Window [")
