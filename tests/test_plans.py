@@ -116,3 +116,16 @@ def test_family_query_builds_its_own_columns_alone(spark):
     text = plan(catalog.spark_queries()["ind_obv"](spark, SF_SMALL))
     assert "Window [" in text and not re.search(r"close_slope|macd|vol_sma", text)
     assert text.count("Window [") < plan(jobs.bulk_indicators(bars)).count("Window [")
+
+
+def test_daily_build_sends_no_wide_history_through_an_exchange(spark):
+    bars = catalog.bars(spark, SF_SMALL)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(jobs.daily_indicators(bars, bars.withColumn("obv", F.lit(0.0)), "2001-11-04", 100000, partitions=3))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    for below in re.split("Exchange hashpartitioning", text)[1:]:
+        # what an exchange takes from all the windows is one date
+        assert below.count("Window [") < 5 or "= 2001-11-04)" in below[:below.index("Window [")]
