@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tickframe.operators import asof, screens
-from tickframe.operators.indicators import indicators
+from tickframe.operators.indicators import ROWS_PER_PARTITION, indicators
 from tickframe.plans import catalog, jobs
 from tickframe.schemas import BARS
 from tickframe.sources import bucketed, fixtures, ingest, sink
@@ -129,3 +129,10 @@ def test_daily_build_sends_no_wide_history_through_an_exchange(spark):
     for below in re.split("Exchange hashpartitioning", text)[1:]:
         # what an exchange takes from all the windows is one date
         assert below.count("Window [") < 5 or "= 2001-11-04)" in below[:below.index("Window [")]
+
+
+def test_window_tasks_fill_their_waves():
+    for cores in (1, 12, 24):
+        for rows in (0, 500_000, 36_000_000, 200_000_000):
+            tasks = bucketed.buckets_for(rows, cores)
+            assert tasks % cores == 0 and tasks >= cores and rows <= tasks * ROWS_PER_PARTITION

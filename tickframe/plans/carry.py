@@ -29,7 +29,7 @@ from ..functions import sqlexpr as X
 from ..functions import windows as W
 from ..operators.ewm import Ewm, era_bounds, ewm_columns
 from ..operators.indicators import (DIFFERENCED, FIRST_LEVEL, SECOND_LEVEL, averages, drop_all_null, moves, signals,
-                                    stage_moves, stage_wide_outputs)
+                                    stage_moves, stage_wide_outputs, tasks_for)
 from ..operators.rolling import lag_name
 from ..schemas import BAR_INPUT, INDICATOR_COLUMNS, TRAJECTORY_METRICS, TRAJECTORY_WINDOWS
 from ..sources import files
@@ -53,7 +53,7 @@ def carry_of(bars: DataFrame, partitions: int | None = None) -> DataFrame:
     """The state of each ticker after its last bar (``STATE_COLUMNS``), from all its bars."""
     bars = bars.select(*BAR_INPUT)
     eras, rows = era_bounds(bars)
-    n = partitions or max(bars.sparkSession.sparkContext.defaultParallelism, -(-rows // 2_000_000), 1)
+    n = partitions or tasks_for(rows, bars.sparkSession.sparkContext.defaultParallelism)
 
     def observed(specs: list[Ewm]) -> list[str]:
         seen = list(dict.fromkeys(s.seen for s in specs))
