@@ -136,3 +136,12 @@ def test_window_tasks_fill_their_waves():
         for rows in (0, 500_000, 36_000_000, 200_000_000):
             tasks = bucketed.buckets_for(rows, cores)
             assert tasks % cores == 0 and tasks >= cores and rows <= tasks * ROWS_PER_PARTITION
+
+
+def test_lines_are_dealt_out_to_tasks_of_bounded_number(spark, monkeypatch):
+    before = sorted(map(str, fixtures.bars_from_lineitem(spark, SF_SMALL).collect()))
+    assert "REPARTITION_BY_NUM" not in plan(fixtures.bars_from_lineitem(spark, SF_SMALL))
+    monkeypatch.setattr(fixtures, "LINES_PER_TASK", 100)
+    dealt = fixtures.bars_from_lineitem(spark, SF_SMALL)
+    assert re.search(r"hashpartitioning\(l_orderkey#\d+L?, l_linenumber#\d+, 6\d\), REPARTITION_BY_NUM", plan(dealt))
+    assert sorted(map(str, dealt.collect())) == before
