@@ -145,3 +145,12 @@ def test_lines_are_dealt_out_to_tasks_of_bounded_number(spark, monkeypatch):
     dealt = fixtures.bars_from_lineitem(spark, SF_SMALL)
     assert re.search(r"hashpartitioning\(l_orderkey#\d+L?, l_linenumber#\d+, 6\d\), REPARTITION_BY_NUM", plan(dealt))
     assert sorted(map(str, dealt.collect())) == before
+
+
+def test_landed_objects_are_compressed(spark):
+    root = tempfile.mkdtemp(prefix="tf-land-")
+    payload = fixtures.payload_from_lineitem(spark, SF_SMALL).withColumn("market_date", F.trunc("market_date", "year"))
+    landed_days.land(payload, root)
+    landed = ingest.read_payload(spark, root)
+    assert all(f.endswith(".json.gz") for f in landed.inputFiles())
+    assert sorted(map(str, landed.select(*payload.columns).collect())) == sorted(map(str, payload.collect()))
