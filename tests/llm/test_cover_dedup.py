@@ -74,3 +74,15 @@ def test_covers_meet_every_shift():
                 assert any((i + s) % period in cover and (j + s) % period in cover for s in range(period))
         assert period - 1 + (window - period + 1) <= window
     assert len(D.difference_cover(13)) == 4
+
+
+def test_windows_leave_in_the_order_of_texts_and_repeats_of_a_batch_share_a_key(spark):
+    passage = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(i, f"a{i} {passage} z{i}") for i in range(6)], "row bigint, text string").coalesce(1)
+    anchors = D._repeated_anchors(D._anchors(docs, 20))
+    joined = docs.join(anchors, "row").select("row", "text", "places").coalesce(1).sortWithinPartitions("row")
+    rows = [(r["row"], r["more"] & 0x7FFFFFFF, r["more"] >> 31 & 1, r["key"]) for r in D._windows(joined, 20).collect()]
+    assert [r[:2] for r in rows] == sorted(r[:2] for r in rows)
+    assert all(later == (row > 0) for row, place, later, _ in rows if 1 <= place <= 11)
+    assert all(len({key for row, _, later, key in rows if row == n and later}) == 1 for n in range(1, 6))
+    assert all(0 <= r["key"] < 1 << 48 for r in D._anchors(docs, 20).collect())
