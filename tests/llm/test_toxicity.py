@@ -93,3 +93,75 @@ def test_scores_equal_a_plain_loop(make_docs, workers):
     found = X.predict(model, texts)
     assert np.allclose(found, [plain_score(model, t) for t in texts], atol=2e-4)
     assert len({round(x, 3) for x in found}) > 5
+
+
+def test_all_labelled_documents_are_learned_from(make_docs, workers, monkeypatch):
+    rng = random.Random(8)
+    bad = ["".join(rng.choice("bcdfgklmnprstvwz") + rng.choice("aeiou") for _ in range(4)) for _ in range(40)]
+    rows, labels = [], []
+    for i in range(1000):
+        words = [rng.choice("the of and to in by".split()) for _ in range(30)]
+        if i % 3 == 0:
+            words[rng.randrange(30)] = bad[i // 3 % 40]
+        rows.append((i, " ".join(words), "it" if i % 50 == 49 else "en"))
+        labels.append((i, int(i % 3 == 0)))
+    monkeypatch.setattr(X, "DOCS_PER_SHARD", 150)
+    model = X.fit(make_docs(rows), workers.createDataFrame(labels[:800], "doc_id bigint, toxic int"), docs_per_class=6)
+    assert model.languages == ["en", "it"]
+    found = X.predict(model, [t for _, t, _ in rows[800:]]) >= 0.5  # a sample of 12 documents holds 6 of the 40 words at most
+    assert np.mean(found == [y for _, y in labels[800:]]) > 0.95
+
+
+def test_many_languages_are_counted_together(make_docs, workers, monkeypatch):
+    rows, labels = corpus(300, 9)
+    rows = [(i, t, f"{i % 7}" if i % 5 == 0 else lang) for i, t, lang in rows]
+    monkeypatch.setattr(X, "MAX_LANGUAGES", 2)
+    model = X.fit(make_docs(rows), workers.createDataFrame(labels, "doc_id bigint, toxic int"))
+    assert model.languages == ["de", "en", X.OTHER_LANGUAGES] and model.table.shape[1] == X._COLUMNS + 3
+
+
+def test_long_texts_come_in_pieces(make_docs, workers, monkeypatch):
+    rows, labels = corpus(300, 10)
+    model = X.fit(make_docs(rows), workers.createDataFrame(labels, "doc_id bigint, toxic int"))
+    words = X._rows_of_table(model.table)
+    ids, rows_of = words.numbers([t for _, t, _ in rows[:20]] + ["", "scum"])
+    rows_of[words.count] = 0
+    want = X._raw_scores(model, ids, rows_of, words.count)
+    flat, bounds = X._spread(ids, words.count)
+    tops = X._tops(rows_of[:words.count + 1, :X._COLUMNS], flat, bounds)
+    monkeypatch.setattr(X, "PLACES_AT_ONCE", 7)
+    for a, b in zip(X._raw_scores(model, ids, rows_of, words.count), want, strict=True):
+        assert np.allclose(a, b, atol=1e-5)
+    for a, b in zip(X._tops(rows_of[:words.count + 1, :X._COLUMNS], flat, bounds), tops, strict=True):
+        assert np.array_equal(a, b)
+
+
+def test_a_step_follows_the_gradient():
+    rng = np.random.default_rng(4)
+    params = [p.astype(np.float64) for p in X._started(rng.normal(size=X.BUCKETS), 1)]
+    params[-3] += rng.normal(0, 0.1, X._OUTPUTS)  # no text's maximum lies where the filters' output bends
+    buckets = rng.integers(1, 30, (12, X._FEATURES))
+    ids, label, weight = [rng.integers(0, 12, n).astype(np.int32) for n in (9, 1, 0, 5)], np.array([1, 0, 1, 0]), np.array([0.6, 1.7])
+
+    def loss(at):
+        table, *filters, bias, out, intercept = at
+        total = 0.0
+        for words, y in zip(ids, label, strict=True):
+            vectors = np.vstack([table[buckets[words]].sum(axis=1), np.zeros((3, X.DIMENSIONS))])
+            tops = [max(sum(vectors[i + o] @ f[o] for o in range(len(f)))[k] for i in range(max(1, len(words))))
+                    for f in filters for k in range(X.FILTERS)]
+            p = 1 / (1 + np.exp(-(np.maximum(np.array(tops) + bias, 0) @ out + intercept[0])))
+            wanted = y * (1 - X.SMOOTHING) + X.SMOOTHING / 2
+            total -= weight[y] * (wanted * np.log(p) + (1 - wanted) * np.log(1 - p)) / len(label)
+        return total
+
+    training = X._Training([p.copy() for p in params], weight)
+    training.step(buckets, ids, label)
+    for n, p in enumerate(params):
+        for at in rng.permutation(np.flatnonzero(training.first[n]))[:6]:
+            ends = []
+            for change in (1e-6, -1e-6):
+                moved = [q.copy() for q in params]
+                moved[n].ravel()[at] += change
+                ends.append(loss(moved))
+            assert np.isclose((ends[0] - ends[1]) / 2e-6, training.first[n].ravel()[at] / 0.1, rtol=1e-4, atol=1e-8), (n, at)
