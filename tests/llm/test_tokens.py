@@ -33,6 +33,21 @@ def test_stretches_have_the_ids_of_whole_texts(library):
         assert np.frombuffer(encoder.encode([text])[0], dtype=encoder.dtype).tolist() == library(text), repr(text)
 
 
+def test_marks_behind_a_word_are_encoded_once(library):
+    rng, encoder = random.Random(5), Encoder(default_tokenizer())
+    tails = ["&&&", "%%%", ",***", "!!", "$$$", "###", ".", ",", '."', "'s", "'", ".'s", "|", "`~", "=9", "\n&&", "…", "²"]
+    words = ["Wort", "é", "ab", "größ", "x1", "日本", "ße", "a", "1", "µ", "Ωm", "it's"]
+    for _ in range(300):
+        text = " ".join(rng.choice(words) + rng.choice(["", *tails]) for _ in range(8))
+        assert np.frombuffer(encoder.encode([text])[0], dtype=encoder.dtype).tolist() == library(text), repr(text)
+    seen = []
+    encoder = Encoder(default_tokenizer())
+    plain = encoder._learned
+    encoder._learned = lambda words, lead: seen.extend(words) or plain(words, lead)
+    encoder.encode(["the wort&&& wort%%% wort,*** wort wort."])
+    assert sorted(seen) == ["the", "wort"]
+
+
 def test_special_tokens_in_a_text_are_the_librarys(library):
     encoder = Encoder(default_tokenizer())
     for text in ("a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y  <|endoftext|> ", "plain <|endoftext"):

@@ -19,12 +19,15 @@ import pyarrow.compute as pc
 from tickframe.llm._common import kept_by_worker, starts_of
 
 KEPT_STRETCHES = 800_000
+KEPT_MARKS = 20_000
 ENCODED_AT_ONCE = 20_000
 
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 _SPACE = re.compile(r"\s")
 #: White space other than single spaces and line ends between other characters (for Arrow's regular expressions).
 _UNEVEN = (r"[ \n][ \n]|\A[ \n]|[ \n]\z|[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
+#: ASCII marks behind a Latin letter up to the end of a stretch are a pre-token of their own (an apostrophe may begin a contraction).
+_MARKED = r"^(?P<stem>[^\n].*[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}])[!-&(-/:-@\[-`{-~]+\z"
 #: Keys of kept stretches: as they are behind a space, with this before them at the begin of a text or line.
 BEGIN = "\n"
 LINE_END = "\n\n"
@@ -50,7 +53,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         line_end = self._ids(["\n"])[0]
         self.line_end = line_end[0] if len(line_end) == 1 else None
-        self.mark = {m: self._bytes(self._ids([m])[0]) for m in ",."}
+        self.marks: dict[str, bytes] = {}  # of the latest texts
         # the kept stretches: keys, and the ids of the i-th from starts[i] to starts[i + 1] of `flat`
         self.keys = pa.array([BEGIN, LINE_END], pa.large_string())
         self.starts = np.array([0, 0, len(line_end)], dtype=np.int64)
@@ -83,35 +86,44 @@ class Encoder:
     def _kept(self, place: int) -> bytes:
         return self.flat[self.starts[place]:self.starts[place + 1]].tobytes()
 
-    def _add(self, new: list[str]) -> None:
-        """Learns different keys that are not kept, and keeps them in their order."""
+    def _add(self, new: list[str], stems: dict[str, str], kept: dict[str, int]) -> None:
+        """Learns different keys that are not kept, and keeps them in their order.
+
+        ``stems``: those of them that end in marks, without these; ``kept``: where the stems that are kept are.
+        """
         begin = [k[1:] for k in new if k[0] == BEGIN]
         inner = [k for k in new if k[0] != BEGIN]
-        # a comma or full stop behind a Latin letter is a pre-token of its own
-        marked = {s for s in inner if s[-1:] in (",", ".") and s[-2:-1].isalpha() and s[-2] < "\u0250"}
-        plain = [s for s in inner if s not in marked]
-        stems = list({s[:-1] for s in marked}.difference(plain))
-        held = pc.index_in(pa.array(stems, pa.large_string()), value_set=self.keys).to_pylist()
-        stem_ids = {s: self._kept(at) for s, at in zip(stems, held, strict=True) if at is not None}
-        stems = [s for s in stems if s not in stem_ids]
-        ids = dict(zip(plain + stems, self._learned(plain + stems, " "), strict=True))
+        plain = [s for s in inner if s not in stems]
+        more = list({s for s in stems.values() if s not in kept}.difference(plain))
+        ids = dict(zip(plain + more, self._learned(plain + more, " "), strict=True))
         begin_ids = dict(zip(begin, self._learned(begin, ""), strict=True))
-        stem_ids |= ids
-        values = [begin_ids[k[1:]] if k[0] == BEGIN else stem_ids[k[:-1]] + self.mark[k[-1]] if k in marked else ids[k] for k in new]
-        values += [ids[s] for s in stems]
+        marks = list({k[len(s):] for k, s in stems.items()}.difference(self.marks))
+        self.marks.update(zip(marks, map(self._bytes, self._ids(marks)), strict=True))
+        ids |= {s: self._kept(at) for s, at in kept.items()}
+        values = [begin_ids[k[1:]] if k[0] == BEGIN else ids[stems[k]] + self.marks[k[len(stems[k]):]] if k in stems else ids[k] for k in new]
+        values += [ids[s] for s in more]
         sizes = np.array([len(v) for v in values], dtype=np.int64) // self.dtype.itemsize
-        self.keys = pa.concat_arrays([self.keys, pa.array(new + stems, pa.large_string())])
+        self.keys = pa.concat_arrays([self.keys, pa.array(new + more, pa.large_string())])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
         self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(values), dtype=self.dtype)])
 
     def _places(self, keys: pa.Array) -> np.ndarray:
         """Where different keys are kept; unknown ones are learned together."""
-        found = pc.index_in(keys, value_set=self.keys)
-        out = found.fill_null(-1).to_numpy().astype(np.int64)
+        # the stems of keys with marks are looked up with the keys: each look-up hashes all that is kept
+        stem = pc.struct_field(pc.extract_regex(keys, _MARKED), "stem")
+        marked = np.flatnonzero(stem.is_valid().to_numpy(zero_copy_only=False))
+        stem = stem.drop_null()
+        found = pc.index_in(pa.concat_arrays([keys, stem]), value_set=self.keys).fill_null(-1).to_numpy().astype(np.int64)
+        out, stem_at = found[:len(keys)].copy(), found[len(keys):]
         holes = np.flatnonzero(out < 0)
         if len(holes):
+            new = keys.take(pa.array(holes)).to_pylist()
+            unknown = np.flatnonzero(out[marked] < 0)
+            parts = stem.take(pa.array(unknown)).to_pylist()
+            stems = dict(zip(keys.take(pa.array(marked[unknown])).to_pylist(), parts, strict=True))
+            kept = {s: at for s, at in zip(parts, stem_at[unknown].tolist(), strict=True) if at >= 0}
             out[holes] = len(self.keys) + np.arange(len(holes))
-            self._add(keys.take(pa.array(holes)).to_pylist())
+            self._add(new, stems, kept)
         return out
 
     def _uneven_keys(self, text: str) -> list[str]:
@@ -125,6 +137,8 @@ class Encoder:
 
     def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Ids of each text (strings without nulls) as little-endian bytes of ``dtype``."""
+        if len(self.marks) > KEPT_MARKS:
+            self.marks.clear()
         # the first stretches seen are the frequent ones: of too many the later half goes
         if len(self.keys) > KEPT_STRETCHES:
             half = max(2, KEPT_STRETCHES // 2)
