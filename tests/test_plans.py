@@ -1,5 +1,6 @@
 """Physical plan shape: one shuffle for the indicator job, pushdown and pruning."""
 
+import datetime as dt
 import re
 import tempfile
 
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from tickframe.operators import asof, screens
 from tickframe.operators.indicators import ROWS_PER_PARTITION, indicators
-from tickframe.plans import catalog, jobs
-from tickframe.schemas import BARS
+from tickframe.plans import catalog, jobs, quality
+from tickframe.schemas import BARS, INDICATORS
 from tickframe.sources import bucketed, fixtures, ingest, sink
 from tickframe.streaming import landed_days
 
@@ -154,3 +155,18 @@ def test_landed_objects_are_compressed(spark):
     landed = ingest.read_payload(spark, root)
     assert all(f.endswith(".json.gz") for f in landed.inputFiles())
     assert sorted(map(str, landed.select(*payload.columns).collect())) == sorted(map(str, payload.collect()))
+
+
+def test_invariant_rules_are_evaluated_once_over_the_formulas(spark):
+    found = quality.invariant_violations(jobs.bulk_indicators(fixtures.bars_from_lineitem(spark, SF_SMALL), partitions=2))
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("bands_ordered") == 1  # no copy in a filter below, with the formulas of the columns in it
+
+
+def test_broken_invariants_are_found(spark):
+    day = dt.date(2024, 1, 2)
+    good = {"bb_lower": 1.0, "bb_mid": 2.0, "bb_upper": 3.0, "rsi_14": 50.0, "close_r2_3d": 1.0, "atr_14": 0.0}
+    planted = {"ok": good, "nulls": {}, "bands": good | {"bb_lower": 2.5}, "two": good | {"rsi_14": 101.0, "close_r2_3d": -0.1}}
+    rows = [(t, day, *[values.get(c) for c in INDICATORS.fieldNames()[2:]]) for t, values in planted.items()]
+    found = quality.invariant_violations(spark.createDataFrame(rows, INDICATORS))
+    assert sorted(map(tuple, found.collect())) == [("bands", day, "bands_ordered"), ("two", day, "close_r2_3d_in_range"), ("two", day, "rsi_14_in_range")]

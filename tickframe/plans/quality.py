@@ -23,10 +23,9 @@ def invariant_violations(ind: DataFrame) -> DataFrame:
            for c in ind.columns if "_r2_" in c},
         "atr_non_negative": F.col("atr_14") >= 0,
     }
+    # all rules in the generator itself: a filter on them would be moved below the formulas, with a copy of these for each rule
     broken = F.array_compact(F.array(*[F.when(~cond, F.lit(name)) for name, cond in rules.items()]))
-    return (ind.select("ticker", "market_date", broken.alias("broken"))
-            .where(F.size("broken") > 0)
-            .select("ticker", "market_date", F.explode("broken").alias("rule")))
+    return ind.select("ticker", "market_date", F.explode(broken).alias("rule"))
 
 
 def key_check(df: DataFrame) -> DataFrame:
