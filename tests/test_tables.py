@@ -4,14 +4,16 @@ import datetime as dt
 import glob
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from tickframe import session
 from tickframe.operators import asof
 from tickframe.plans import carry, jobs
 from tickframe.schemas import BARS, INDICATOR_COLUMNS, INDICATORS, KEY
-from tickframe.sources import delimited, files, ingest, sink, versions
+from tickframe.sources import bucketed, delimited, files, ingest, sink, versions
 
 DAYS = [dt.date(2024, 1, 30) + dt.timedelta(days=i) for i in range(6)]  # 30 January to 4 February
 
@@ -125,6 +127,50 @@ def test_rows_lie_by_date_in_small_row_groups(spark, path):
         assert t == sorted(t, key=lambda r: (r["market_date"], r["ticker"]))
 
 
+def shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for d in blocks.localDirsString() for f in glob.glob(f"{d}/**/shuffle_*", recursive=True)}
+
+
+def left_over(spark, before):
+    """Shuffle files since ``before``; they are deleted in the background."""
+    for _ in range(50):
+        if not (found := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    return found
+
+
+def test_writes_leave_no_shuffle_files(spark, path):
+    before = shuffle_files(spark)
+    sink.replace_table(bars(spark, DAYS), path)
+    sink.add_missing(bars(spark, DAYS, "ABC", 7.0), path, BARS)
+    bucketed.write(bars(spark, DAYS), f"{path}-buckets", buckets=2)
+    carry.save(bars(spark, DAYS).repartition(3, "ticker"), f"{path}-state", DAYS[0])
+    assert left_over(spark, before) == set()
+    assert spark.conf.get(session.SHUFFLE_CLEANUP_CONF) == "false"  # nothing else is changed
+
+
+@pytest.mark.parametrize("grain", ["month", "day"])
+def test_folders_are_merged_in_groups(spark, path, monkeypatch, grain):
+    written = []
+    write = versions._write
+    monkeypatch.setattr(versions, "_write", lambda df, *a: written.append(df.count()) or write(df, *a))
+    monkeypatch.setattr(versions, "VALUES_AT_ONCE", 5 * len(BARS.fieldNames()))
+    late = [dt.date(2024, 5, 7), dt.date(2024, 6, 1)]
+    sink.replace_days(bars(spark, DAYS[:4]), path, BARS) if grain == "month" else sink.replace_table(bars(spark, DAYS[:4]), path, grain=grain)
+    written.clear()
+    sink.add_missing(bars(spark, [*DAYS, *late], "ABC", 7.0), path, BARS)
+    assert len(written) == (4 if grain == "month" else 8) and max(written) < 16
+    want = rows(DAYS[:4]) + rows(DAYS[:4], "C", 7.0) + rows(DAYS[4:], "ABC", 7.0) + rows(late, "ABC", 7.0)
+    assert content(spark, path) == sorted(want) and sink.latest_date(spark, path) == late[-1]
+    sink.replace_days(bars(spark, [DAYS[0], DAYS[3], late[0]], "D", 9.0), path, BARS)
+    gone = {DAYS[0], DAYS[3], late[0]}
+    assert content(spark, path) == sorted([r for r in want if r[0] not in gone] + rows(sorted(gone), "D", 9.0))
+    assert not [n for n in os.listdir(session.checkpoint_dir(spark).removeprefix("file:")) if n.startswith("aside-")]
+    assert versions._groups({"b": 3, "a": 2, "c": 9, "d": 1}, 5) == [["a", "b"], ["c"], ["d"]]
+
+
 def random_bars(spark, n_days, tickers, seed):
     rng, out = random.Random(seed), []
     for t in range(tickers):

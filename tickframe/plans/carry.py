@@ -32,6 +32,7 @@ from ..operators.indicators import (DIFFERENCED, FIRST_LEVEL, SECOND_LEVEL, aver
                                     stage_moves, stage_wide_outputs, tasks_for)
 from ..operators.rolling import lag_name
 from ..schemas import BAR_INPUT, INDICATOR_COLUMNS, TRAJECTORY_METRICS, TRAJECTORY_WINDOWS
+from ..session import shuffles_released
 from ..sources import files
 
 #: How many values before the current bar the windows of each series reach.
@@ -175,7 +176,8 @@ def save(state: DataFrame, path: str, day: dt.date) -> DataFrame:
     spark = state.sparkSession
     before = files.read_text(spark, f"{path}/_current")
     name = f"state-{day.isoformat()}-{uuid.uuid4().hex}"
-    state.write.parquet(f"{path}/{name}")
+    with shuffles_released(spark):
+        state.write.parquet(f"{path}/{name}")
     files.replace_text(spark, f"{path}/_current", json.dumps({"folder": name, "day": day.isoformat()}))
     keep = {name, json.loads(before)["folder"] if before else name}
     for old in files.child_names(spark, path):
