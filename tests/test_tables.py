@@ -151,6 +151,17 @@ def test_writes_leave_no_shuffle_files(spark, path):
     assert spark.conf.get(session.SHUFFLE_CLEANUP_CONF) == "false"  # nothing else is changed
 
 
+def test_a_build_may_be_stored_by_the_tasks_that_compute_it(spark, path, monkeypatch):
+    delivered, before = versions._with_folder(bars(spark, DAYS, "CAB"), "month"), shuffle_files(spark)
+    assert versions._write_as_dealt(delivered, f"{path}-dealt", "1", "month") == ["2024-01-01", "2024-02-01"]
+    assert shuffle_files(spark) <= before  # no exchange
+    monkeypatch.setattr(versions, "_write", lambda *a: pytest.fail("an exchange by folder"))
+    sink.replace_table(bars(spark, DAYS, "CAB"), path, by_ticker=True)
+    assert content(spark, path) == sorted(rows(DAYS, "ABC")) and sink.latest_date(spark, path) == DAYS[-1]
+    monkeypatch.setattr(jobs, "WRITTEN_BY_TICKER_FROM", 18)
+    assert jobs.written_by_ticker(bars(spark, DAYS, "CAB")) and not jobs.written_by_ticker(bars(spark, DAYS))
+
+
 @pytest.mark.parametrize("grain", ["month", "day"])
 def test_folders_are_merged_in_groups(spark, path, monkeypatch, grain):
     written = []

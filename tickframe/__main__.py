@@ -54,7 +54,7 @@ def main(argv: list[str] | None = None) -> int:
         print(f"business days without bars: {gaps.count()}")
     elif a.mode == "recalculate":
         bars = ingest.read_bars(spark, a.bars)
-        if not sink.replace_table(jobs.bulk_indicators(bars), a.indicators, source=bars):
+        if not sink.replace_table(jobs.bulk_indicators(bars), a.indicators, source=bars, by_ticker=jobs.written_by_ticker(bars)):
             print("no bars: indicator table left unchanged")
     else:
         day = a.date or sink.latest_date(spark, a.landing or a.bars)
