@@ -9,9 +9,10 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from tickframe import session
 from tickframe.operators import asof
-from tickframe.plans import carry, jobs
+from tickframe.plans import carry, catalog, jobs
 from tickframe.schemas import BARS, INDICATOR_COLUMNS, INDICATORS, KEY
 from tickframe.sources import bucketed, delimited, files, ingest, sink, versions
 
@@ -269,3 +270,21 @@ def test_as_of_join_equals_its_definition(spark, same):
         want = max(earlier, default=None)
         assert (at, obv) == ((want[1], right[want]) if want else (None, None)), (t, d, n)
     assert found.count() == len(left)
+
+
+def test_stored_bars_leave_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    stored = catalog.bars(spark, f"{SF_SMALL}//")  # a name that no other test has
+    assert left_over(spark, before) == set()
+    assert sorted(map(str, stored.collect())) == sorted(map(str, catalog.bars(spark, SF_SMALL).collect()))
+
+
+def test_tables_are_written_as_zstd_unless_the_session_says_otherwise(spark, path):
+    other = spark.newSession()
+    assert session.configure(other).conf.get("spark.sql.parquet.compression.codec") == "zstd"
+    other.conf.set("spark.sql.parquet.compression.codec", "gzip")
+    assert session.configure(other).conf.get("spark.sql.parquet.compression.codec") == "gzip"
+    sink.replace_table(bars(other, DAYS), path)
+    bucketed.write(bars(other, DAYS), f"{path}-buckets", buckets=2)
+    found = glob.glob(f"{path}/version=*/*/*.parquet") + glob.glob(f"{path}-buckets/*.parquet")
+    assert found and all(f.endswith(".zstd.parquet") for f in found)
